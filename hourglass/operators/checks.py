@@ -29,3 +29,13 @@ def fk_orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None =
         keys = F.broadcast(keys)
     f = fact.where(F.col(key).isNotNull())
     return f.join(keys, f[key] == keys["_k"], "left_anti")
+
+
+def partition_guard(rows: DataFrame, landed: str = "landed_dt") -> DataFrame:
+    """Rows whose business day differs from the day partition they landed in.
+
+    A load into day D's partition must only hold rows with dt = D (a
+    day-decorated load rejects the file otherwise); the offending rows are
+    returned so the caller can fail or quarantine them.
+    """
+    return rows.where(~F.col("dt").eqNullSafe(F.col(landed)))

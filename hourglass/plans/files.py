@@ -1,24 +1,129 @@
-"""File-backed plans and their registered queries (filled in below)."""
+"""Registered queries that go through files.
+
+Each call lands the driver's events as bronze JSON in a fresh folder below
+the session's shared checkpoint root (``spark.checkpoint.dir``), runs the
+file plans on it and returns a DataFrame read back from what was written.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as _dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourglass.functions.clock import local_day
+from hourglass.operators.normalize import normalize_commits
+from hourglass.plans import scenarios as sc
+from hourglass.sources.events import events_as_bronze, read_events
+from hourglass.sources.landed import land_bronze, read_bronze, read_gold, read_silver
+from hourglass.sources.schemas import STAGING_COLUMNS
+from hourglass.sources.warehouse import Warehouse
+from hourglass.session import scratch_path
+
+API_PAGE_SIZE = 100   # commits per page of the extractor
+
+
+def _land(spark: SparkSession, sf_dir: str, email: str, root: str,
+          records_per_file: int | None = None) -> tuple[_dt.date, _dt.date]:
+    """Land events as bronze day folders; returns the first and last day."""
+    b = events_as_bronze(read_events(spark, sf_dir), email).withColumn("dt", local_day(F.col("ts")))
+    land_bronze(b, root, records_per_file)
+    r = read_events(spark, sf_dir).agg(F.min(local_day(F.col("ts"))).alias("a"),
+                                       F.max(local_day(F.col("ts"))).alias("b")).first()
+    return r["a"], r["b"]
+
+
+def _warehouse(spark: SparkSession, label: str) -> Warehouse:
+    root = scratch_path(spark, label)
+    db = "hg_" + root.rsplit("-", 1)[-1]
+    return Warehouse(spark, root, db).create()
+
+
+def q_bronze_scan(spark, sf_dir):
+    """Bronze day folders (JSON Lines) -> normalised commits."""
+    root = scratch_path(spark, "bronze")
+    first, last = _land(spark, sf_dir, "fine", root)
+    return normalize_commits(read_bronze(spark, root, first, last, layout="lines")).select(*STAGING_COLUMNS)
+
+
+def q_pages_union(spark, sf_dir):
+    """Each day landed as many page files of 100 commits; all pages read,
+    concatenated without de-duplication."""
+    root = scratch_path(spark, "pages")
+    first, last = _land(spark, sf_dir, "fine", root, records_per_file=API_PAGE_SIZE)
+    return normalize_commits(read_bronze(spark, root, first, last, layout="lines")).select(*STAGING_COLUMNS)
+
+
+def q_silver_scan(spark, sf_dir):
+    wh = _warehouse(spark, "silver")
+    first, last = _land(spark, sf_dir, "fine", wh.bronze_path())
+    rows = normalize_commits(read_bronze(spark, wh.bronze_path(), first, last, layout="lines"))
+    wh.replace_days("silver_commits", rows, first, last)
+    return read_silver(spark, wh.path("silver_commits"), first, last).select(*STAGING_COLUMNS)
+
+
+def q_gold_parquet(spark, sf_dir):
+    wh = _warehouse(spark, "gold")
+    first, last = _land(spark, sf_dir, "fine", wh.bronze_path())
+    rows = normalize_commits(read_bronze(spark, wh.bronze_path(), first, last, layout="lines"))
+    wh.replace_days("silver_commits", rows, first, last)
+    wh.replace_days("staging_commits", read_silver(spark, wh.path("silver_commits"), first, last),
+                    first, last)
+    return read_gold(spark, wh.path("staging_commits"), first, last).select(*STAGING_COLUMNS)
+
+
+def _backfilled(spark, sf_dir, label: str, runs: int = 1) -> Warehouse:
+    from hourglass.plans.backfill import run_days
+    wh = _warehouse(spark, label)
+    first, last = _land(spark, sf_dir, "dirty", wh.bronze_path())
+    for _ in range(runs):
+        run_days(wh, first, last, layout="lines")
+    return wh
+
+
+def q_backfill_range(spark, sf_dir):
+    """Whole date range in one run; the fact table read back."""
+    return _backfilled(spark, sf_dir, "backfill").table("f_commits_hourly")
+
+
+def q_backfill_rerun(spark, sf_dir):
+    """The same range run twice: tables equal a single run (idempotent)."""
+    return _backfilled(spark, sf_dir, "rerun", runs=2).table("f_commits_hourly")
 
-def partition_guard(rows: DataFrame, landed: str = "landed_dt") -> DataFrame:
-    """Rows whose business day differs from the day partition they landed in.
 
-    A load into day D's partition must only hold rows with dt = D; a
-    day-decorated load rejects the file otherwise.  Here the offending rows
-    are returned so the caller can fail or quarantine them.
-    """
-    return rows.where(~F.col("dt").eqNullSafe(F.col(landed)))
+def q_staging_day(spark, sf_dir):
+    """One day of staging_commits after a backfill (partition pruned scan)."""
+    wh = _backfilled(spark, sf_dir, "stagingday")
+    return wh.days("staging_commits", sc.STAGING_DAY, sc.STAGING_DAY).select(*STAGING_COLUMNS)
 
 
 def queries() -> dict:
-    return {}
+    return {
+        "bronze_scan": q_bronze_scan,
+        "pages_union": q_pages_union,
+        "silver_scan": q_silver_scan,
+        "gold_parquet": q_gold_parquet,
+        "backfill_range": q_backfill_range,
+        "backfill_rerun": q_backfill_rerun,
+        "staging_day": q_staging_day,
+    }
 
 
 def oracle_sql() -> dict:
-    return {}
+    from hourglass.plans.oracle import STAGING_DAY, combined_cte, commits_cte, fact_cte
+    staging = f"""WITH {commits_cte('fine')}
+SELECT commit_sha, committer_id, committer_name, committer_email, committer_date, dt FROM commits"""
+    backfill = f"""WITH {commits_cte('dirty')}, {fact_cte()}, {combined_cte('fact', 'f')}
+SELECT d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FROM f"""
+    return {
+        "bronze_scan": staging,
+        "pages_union": staging,
+        "silver_scan": staging,
+        "gold_parquet": staging,
+        "backfill_range": backfill,
+        "backfill_rerun": backfill,
+        "staging_day": f"""WITH {commits_cte('dirty')}
+SELECT commit_sha, committer_id, committer_name, committer_email, committer_date, dt
+FROM commits WHERE dt = {STAGING_DAY}""",
+    }

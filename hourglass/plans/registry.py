@@ -139,7 +139,7 @@ def q_partition_guard(spark, sf_dir):
     b = events_as_bronze(read_events(spark, sf_dir), "dirty").withColumn(
         "landed_dt", F.col("ts").cast("date"))
     rows = normalize_commits(b, keep=("landed_dt",))
-    return files.partition_guard(rows).select("commit_sha", "landed_dt", "dt")
+    return checks.partition_guard(rows).select("commit_sha", "landed_dt", "dt")
 
 
 # --- step 6: quality -----------------------------------------------------------
