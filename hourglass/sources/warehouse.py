@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -104,12 +105,18 @@ class Warehouse:
         schema = TABLES[table][0]
         cols = [f.name for f in schema.fields]
         out = rows.where(F.col("dt").between(F.lit(first), F.lit(last))).select(*cols)
-        obs = Observation(f"days_{table}")
+        obs = Observation(f"days_{table}_{uuid.uuid4().hex}")   # names must be unique per session
         out = out.observe(obs, F.collect_set("dt").alias("days"))
         (out.hint("rebalance", "dt").write
          .option("partitionOverwriteMode", "dynamic")
          .insertInto(self.name(table), overwrite=True))
-        written = set(obs.get["days"] or [])
+        try:
+            days = obs.get.get("days")
+        except Exception:
+            # The write succeeded but no task ran the observed node: the input
+            # had no partitions at all, so no day received rows.
+            days = None
+        written = set(days or [])
         empty = [d for d in day_range(first, last) if d not in written]
         for day in empty:
             self.clear_day(table, day)
