@@ -29,16 +29,14 @@ _COMMIT_TS_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]
 def parse_commit_ts(text: Column) -> Column:
     """UTC commit time text -> TIMESTAMP_NTZ, NULL when it is not a valid time.
 
-    Never raises, whatever the ANSI setting; strict callers turn NULL into an
-    error themselves (see ``operators.normalize``).
+    The exact shape is checked first; the text without its ``Z`` is then
+    cast to TIMESTAMP_NTZ, which needs no time zone and yields NULL for
+    impossible dates (Feb 30, hour 24, second 60).  Never raises, whatever
+    the ANSI setting; strict callers turn NULL into an error themselves (see
+    ``operators.normalize``).
     """
-    parts = F.split(text, "[-T:Z]")
-    return F.when(
-        text.rlike(_COMMIT_TS_SHAPE),
-        F.try_make_timestamp_ntz(
-            parts[0].cast("int"), parts[1].cast("int"), parts[2].cast("int"),
-            parts[3].cast("int"), parts[4].cast("int"), parts[5].cast("int")),
-    )
+    return F.when(text.rlike(_COMMIT_TS_SHAPE),
+                  text.substr(F.lit(1), F.length(text) - 1).try_cast("timestamp_ntz"))
 
 
 def format_commit_ts(ts: Column) -> Column:

@@ -19,27 +19,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.functions.clock import LOCAL_OFFSET_HOURS, local_day, parse_commit_ts
+from hourglass.functions.clock import LOCAL_OFFSET_HOURS, parse_commit_ts, to_local
 from hourglass.sources.schemas import CORRUPT_COLUMN, STAGING_COLUMNS
 
+REQUIRED_KEYS = ("name", "email", "date")
 REJECT_REASONS = ("malformed_json", "missing_commit_committer", "missing_field",
                   "bad_date", "bad_committer_id")
 
 
-def _reject_reason(df: DataFrame) -> Column:
+def _fields(bronze: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """Read every needed field once; the parsed time is computed once too
+    (later steps refer to ``_ts`` instead of re-parsing)."""
     cc = F.col("commit.committer")
     committer = F.col("committer")
-    id_text = committer.getItem("id")
-    has_all = (F.map_contains_key(cc, "name") & F.map_contains_key(cc, "email")
-               & F.map_contains_key(cc, "date"))
+    cols = [
+        F.col("sha").alias("_sha"),
+        (committer.isNull() | (F.size(committer) == 0)).alias("_unknown"),
+        committer.getItem("id").alias("_id_text"),
+        cc.isNull().alias("_no_cc"),
+        (F.size(F.array_except(F.array(*[F.lit(k) for k in REQUIRED_KEYS]), F.map_keys(cc)))
+         == 0).alias("_has_all"),
+        cc.getItem("name").alias("_name"),
+        cc.getItem("email").alias("_email"),
+        cc.getItem("date").alias("_date"),
+    ]
+    if CORRUPT_COLUMN in bronze.columns:
+        cols.append(F.col(CORRUPT_COLUMN))
+    f = bronze.select(*cols, *[F.col(c) for c in keep])
+    return f.withColumn("_ts", parse_commit_ts(F.col("_date")))
+
+
+def _reject_reason(f: DataFrame) -> Column:
     checks = []
-    if CORRUPT_COLUMN in df.columns:
+    if CORRUPT_COLUMN in f.columns:
         checks.append((F.col(CORRUPT_COLUMN).isNotNull(), "malformed_json"))
+    id_text = F.col("_id_text")
     checks += [
-        (cc.isNull(), "missing_commit_committer"),
-        (~has_all, "missing_field"),
-        (parse_commit_ts(cc.getItem("date")).isNull(), "bad_date"),
-        (id_text.isNotNull() & id_text.try_cast("bigint").isNull(), "bad_committer_id"),
+        (F.col("_no_cc"), "missing_commit_committer"),
+        (~F.col("_has_all"), "missing_field"),
+        (F.col("_ts").isNull(), "bad_date"),
+        (~F.col("_unknown") & id_text.isNotNull() & id_text.try_cast("bigint").isNull(),
+         "bad_committer_id"),
     ]
     reason = None
     for cond, name in checks:
@@ -48,17 +68,14 @@ def _reject_reason(df: DataFrame) -> Column:
 
 
 def _flatten(offset_hours: int) -> list[Column]:
-    cc = F.col("commit.committer")
-    committer = F.col("committer")
-    unknown = committer.isNull() | (F.size(committer) == 0)
     return [
-        F.coalesce(F.col("sha"), F.lit("")).alias("commit_sha"),
-        F.when(unknown, F.lit(-1).cast("bigint"))
-         .otherwise(committer.getItem("id").try_cast("bigint")).alias("committer_id"),
-        cc.getItem("name").alias("committer_name"),
-        cc.getItem("email").alias("committer_email"),
-        cc.getItem("date").alias("committer_date"),
-        local_day(parse_commit_ts(cc.getItem("date")), offset_hours).alias("dt"),
+        F.coalesce(F.col("_sha"), F.lit("")).alias("commit_sha"),
+        F.when(F.col("_unknown"), F.lit(-1).cast("bigint"))
+         .otherwise(F.col("_id_text").try_cast("bigint")).alias("committer_id"),
+        F.col("_name").alias("committer_name"),
+        F.col("_email").alias("committer_email"),
+        F.col("_date").alias("committer_date"),
+        to_local(F.col("_ts"), offset_hours).cast("date").alias("dt"),
     ]
 
 
@@ -71,16 +88,18 @@ def normalize_commits(bronze: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS,
     records are dropped here; get them with :func:`split_rejects`.
     ``keep`` names extra input columns to carry through (e.g. the landed day).
     """
-    reason = _reject_reason(bronze)
+    f = _fields(bronze, keep)
+    reason = _reject_reason(f)
     if mode == "strict":
-        guard = F.when(reason.isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(
+        ok = F.when(reason.isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(
             F.lit("invalid commit record ("), reason, F.lit("), sha="),
-            F.coalesce(F.col("sha"), F.lit("<none>")))))
+            F.coalesce(F.col("_sha"), F.lit("<none>")))))
     elif mode == "lenient":
-        guard = reason.isNull()
+        ok = reason.isNull()
     else:
         raise ValueError("mode must be 'strict' or 'lenient'")
-    return bronze.where(guard).select(*_flatten(offset_hours), *[F.col(c) for c in keep])
+    return (f.select("*", ok.alias("_ok")).where(F.col("_ok"))
+            .select(*_flatten(offset_hours), *[F.col(c) for c in keep]))
 
 
 def split_rejects(bronze: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS,
@@ -91,12 +110,13 @@ def split_rejects(bronze: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS,
     the input had a corrupt-record column; never a row with id -1 invented
     from a broken file.
     """
-    tagged = bronze.withColumn("reject_reason", _reject_reason(bronze))
+    f = _fields(bronze, keep)
+    tagged = f.withColumn("reject_reason", _reject_reason(f))
     good = tagged.where(F.col("reject_reason").isNull()).select(
         *_flatten(offset_hours), *[F.col(c) for c in keep])
-    raw = [F.coalesce(F.col("sha"), F.lit("")).alias("commit_sha"),
-           F.col("commit.committer").getItem("date").alias("committer_date")]
-    if CORRUPT_COLUMN in bronze.columns:
+    raw = [F.coalesce(F.col("_sha"), F.lit("")).alias("commit_sha"),
+           F.col("_date").alias("committer_date")]
+    if CORRUPT_COLUMN in f.columns:
         raw.append(F.col(CORRUPT_COLUMN))
     bad = tagged.where(F.col("reject_reason").isNotNull()).select(
         *raw, F.col("reject_reason"), *[F.col(c) for c in keep])
