@@ -94,20 +94,25 @@ class Warehouse:
         return self.table(table).where(F.col("dt").between(F.lit(first), F.lit(last)))
 
     # -- writes -------------------------------------------------------------
-    def replace_days(self, table: str, rows: DataFrame, first: _dt.date, last: _dt.date) -> list[_dt.date]:
+    def replace_days(self, table: str, rows: DataFrame, first: _dt.date, last: _dt.date,
+                     rebalance: bool = True) -> list[_dt.date]:
         """Make days first..last of ``table`` hold exactly ``rows`` (restricted
         to those days).  Returns the days that were cleared for lack of rows.
 
-        Rows are rebalanced on ``dt`` before writing: AQE merges small days
-        into one task and splits a very large day across several, so file
-        sizes stay even without one task per day.
+        ``rebalance``: shuffle rows on ``dt`` before writing; AQE merges small
+        days into one task and splits a very large day across several, so a
+        day gets a few even files instead of one file per input task.  Pass
+        False when every input task already holds a single day (rows read
+        from day folders through narrow steps), which saves the shuffle.
         """
         schema = TABLES[table][0]
         cols = [f.name for f in schema.fields]
         out = rows.where(F.col("dt").between(F.lit(first), F.lit(last))).select(*cols)
         obs = Observation(f"days_{table}_{uuid.uuid4().hex}")   # names must be unique per session
         out = out.observe(obs, F.collect_set("dt").alias("days"))
-        (out.hint("rebalance", "dt").write
+        if rebalance:
+            out = out.hint("rebalance", "dt")
+        (out.write
          .option("partitionOverwriteMode", "dynamic")
          .insertInto(self.name(table), overwrite=True))
         try:
