@@ -76,6 +76,13 @@ D_TIME_LITERAL = """d_time AS (
 LABELS = ("01-03", "04-06", "07-09", "10-12", "13-15", "16-18", "19-21", "22-00")
 
 
+def hours_sql(d_time_cte: str) -> str:
+    return f"""WITH {commits_cte('fine')}, {fact_cte()}, {d_time_cte},
+per AS (SELECT d_time_id, SUM(commit_count) AS commit_count FROM fact GROUP BY d_time_id)
+SELECT t.d_time_id, t.hour_range_str, CAST(COALESCE(p.commit_count, 0) AS BIGINT) AS commit_count
+FROM d_time t LEFT JOIN per p ON t.d_time_id = p.d_time_id"""
+
+
 def heatmap_sql(d_time_cte: str, distinct: bool) -> str:
     cells = ",\n    ".join(
         f"CAST(SUM(CASE WHEN hour_range_str = '{x}' THEN commit_count ELSE 0 END) AS BIGINT) AS \"{x}\""
@@ -164,6 +171,9 @@ FROM agg ORDER BY r ASC, committer_email ASC NULLS FIRST LIMIT 5""",
         "d_date": f"""WITH {fine}, {d_date_cte()}
 SELECT d_date_id, date_str, weekday, weekday_number, dt FROM d_date""",
 
+        "d_time_3h": hours_sql(D_TIME_3H),
+        "d_time_literal": hours_sql(D_TIME_LITERAL),
+
         "fact_enriched": f"""WITH {commits_cte('coarse')}, {fact_cte()}, {d_date_cte()}, {D_TIME_3H}
 SELECT f.d_date_id, f.d_time_id, f.committer_email, f.commit_count, f.dt,
        d.weekday, d.weekday_number, t.hour_range_str

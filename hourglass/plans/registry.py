@@ -86,6 +86,18 @@ def _heat(variant: str, distinct_first: bool) -> Query:
     return q
 
 
+def _hours(variant: str) -> Query:
+    """The hour dimension with the commits of each hour: all 24 rows, LEFT
+    JOIN so an hour without commits shows 0."""
+    def q(spark, sf_dir):
+        per = (sc.fact(spark, sf_dir, "fine").groupBy("d_time_id")
+               .agg(F.sum("commit_count").alias("commit_count")))
+        return (d_time(spark, variant).join(per, "d_time_id", "left")
+                .select("d_time_id", "hour_range_str",
+                        F.coalesce(F.col("commit_count"), F.lit(0)).cast("bigint").alias("commit_count")))
+    return q
+
+
 # --- step 3: streaks ---------------------------------------------------------
 def q_daily_activity(spark, sf_dir):
     return streaks.daily_activity(sc.fact(spark, sf_dir, "fine"))
@@ -178,6 +190,8 @@ def queries() -> dict[str, Query]:
         "committer_rank": q_committer_rank,
         "top_committers": q_top_committers,
         "d_date": q_d_date,
+        "d_time_3h": _hours("3h"),
+        "d_time_literal": _hours("literal"),
         "fact_enriched": q_fact_enriched,
         "heatmap": _heat("3h", False),
         "heatmap_distinct_3h": _heat("3h", True),
