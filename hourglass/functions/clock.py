@@ -22,21 +22,23 @@ COMMIT_TS_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 LOCAL_OFFSET_HOURS = 7
 HOUR_RANGE_LABELS = ("01-03", "04-06", "07-09", "10-12", "13-15", "16-18", "19-21", "22-00")
 
-# Shape accepted by a strptime with the pattern above (fields may be unpadded).
-_COMMIT_TS_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}Z$"
+# Shape accepted by a strptime with the pattern above (fields may be unpadded);
+# group 1 is the text without its trailing Z.
+_COMMIT_TS_SHAPE = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})Z$"
 
 
 def parse_commit_ts(text: Column) -> Column:
     """UTC commit time text -> TIMESTAMP_NTZ, NULL when it is not a valid time.
 
-    The exact shape is checked first; the text without its ``Z`` is then
-    cast to TIMESTAMP_NTZ, which needs no time zone and yields NULL for
-    impossible dates (Feb 30, hour 24, second 60).  Never raises, whatever
-    the ANSI setting; strict callers turn NULL into an error themselves (see
-    ``operators.normalize``).
+    One regular expression checks the exact shape and takes the text without
+    its ``Z`` ('' when the shape is wrong); that is cast to TIMESTAMP_NTZ,
+    which needs no time zone and yields NULL for '' and for impossible dates
+    (Feb 30, hour 24, second 60).  The input is referenced once, so an
+    expensive upstream expression is not evaluated several times.  Never
+    raises, whatever the ANSI setting; strict callers turn NULL into an error
+    themselves (see ``operators.normalize``).
     """
-    return F.when(text.rlike(_COMMIT_TS_SHAPE),
-                  text.substr(F.lit(1), F.length(text) - 1).try_cast("timestamp_ntz"))
+    return F.regexp_extract(text, _COMMIT_TS_SHAPE, 1).try_cast("timestamp_ntz")
 
 
 def format_commit_ts(ts: Column) -> Column:

@@ -93,4 +93,16 @@ def events_as_faulty_bronze(events: DataFrame) -> DataFrame:
 
 
 def read_events(spark, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    """The events table.  When the scan yields fewer splits than the session
+    has cores (a small table stored as one row group), rows are spread round
+    robin over the cores, since per-record normalisation is CPU work; a large
+    table has far more splits than cores and is read as is, with no shuffle."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spread_small_scan(df)
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
