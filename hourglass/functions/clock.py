@@ -22,23 +22,27 @@ COMMIT_TS_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 LOCAL_OFFSET_HOURS = 7
 HOUR_RANGE_LABELS = ("01-03", "04-06", "07-09", "10-12", "13-15", "16-18", "19-21", "22-00")
 
-# Shape accepted by a strptime with the pattern above (fields may be unpadded);
-# group 1 is the text without its trailing Z.
-_COMMIT_TS_SHAPE = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})Z$"
+# Text accepted by Python's strptime with the pattern above, which is what the
+# original transform applies: the field grammar of %Y %m %d %H %M %S (fields may
+# be unpadded, a day may be space-padded, seconds 60-61 match but are then
+# rejected as a date), letters compared case-insensitively, years 0001-9999.
+_COMMIT_TS_SHAPE = (r"^(?!0000)[0-9]{4}-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])"
+                    r"T(2[0-3]|[01][0-9]|[0-9]):([0-5][0-9]|[0-9]):(6[01]|[0-5][0-9]|[0-9])Z$")
 
 
 def parse_commit_ts(text: Column) -> Column:
     """UTC commit time text -> TIMESTAMP_NTZ, NULL when it is not a valid time.
 
-    One regular expression checks the exact shape and takes the text without
-    its ``Z`` ('' when the shape is wrong); that is cast to TIMESTAMP_NTZ,
-    which needs no time zone and yields NULL for '' and for impossible dates
-    (Feb 30, hour 24, second 60).  The input is referenced once, so an
-    expensive upstream expression is not evaluated several times.  Never
-    raises, whatever the ANSI setting; strict callers turn NULL into an error
-    themselves (see ``operators.normalize``).
+    One regular expression keeps the (upper-cased) text when its shape is
+    right and gives '' otherwise; without the day's padding space and the
+    trailing Z it is cast to TIMESTAMP_NTZ, which needs no time zone and
+    yields NULL for '' and for impossible dates (Feb 30, second 60).  The input
+    is referenced once, so an expensive upstream expression is not evaluated
+    several times.  Never raises, whatever the ANSI setting; strict callers
+    turn NULL into an error themselves (see ``operators.normalize``).
     """
-    return F.regexp_extract(text, _COMMIT_TS_SHAPE, 1).try_cast("timestamp_ntz")
+    shaped = F.regexp_extract(F.upper(text), _COMMIT_TS_SHAPE, 0)
+    return F.translate(shaped, " Z", "").try_cast("timestamp_ntz")
 
 
 def format_commit_ts(ts: Column) -> Column:
