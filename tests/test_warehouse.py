@@ -96,3 +96,27 @@ def test_streaming_trigger(spark, tmp_path):
     q = start_bronze_trigger(wh, str(tmp_path / "ckpt"), available_now=True)
     q.awaitTermination(120)
     assert wh.table("staging_commits").count() == 5
+
+
+def test_sql_views_equal_dataframe_plans(spark, tmp_path):
+    from hourglass.operators.dims import d_time
+    from hourglass.plans import analytics
+    from hourglass.plans.views import create_views
+    wh = _wh(spark, tmp_path)
+    for i, day in enumerate(("2024-01-01", "2024-01-02", "2024-01-03", "2024-01-05")):
+        _land(wh, day, _day_commits(day, 4 + i, email=f"{i % 3}@x") + _day_commits(day, 2, email="z@x"))
+    run_days(wh, D("2024-01-01"), D("2024-01-05"))
+    names = create_views(wh)
+    fact, dd = wh.table("f_commits_hourly"), wh.table("d_date")
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    def view(n):
+        return spark.table(wh.name(n))
+    assert rows(view("top_committers")) == rows(analytics.top_committers(fact))
+    assert rows(view("committer_longest_streak")) == rows(analytics.committers_longest_streak(fact))
+    assert rows(view("heat_map")) == rows(analytics.weekday_hour_heatmap(fact, dd, wh.table("d_time")))
+    assert rows(view("heat_map_distinct")) == rows(
+        analytics.weekday_hour_heatmap(fact, dd, d_time(spark, "3h"), distinct_first=True))
+    assert len(names) == 4
