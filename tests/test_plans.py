@@ -84,3 +84,18 @@ def test_registered_query_matches_oracle(spark, name):
     idx = [dcols.index(c) for c in sorted(cols)]
     want = sorted(tuple(_norm(r[i]) for i in idx) for r in cur.fetchall())
     assert got == want
+
+
+@pytest.mark.parametrize("name", ["f_commits_hourly", "committer_totals", "top_committers",
+                                  "daily_activity", "heatmap", "pk_violations"])
+def test_shuffles_are_pre_aggregated(spark, name):
+    """Every hash exchange over commit rows sits on a partial aggregate, so a
+    committer holding a third of all commits sends at most a few rows per
+    task into the shuffle, not its commits."""
+    plan = E.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    lines = text.split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line and i + 1 < len(lines):
+            below = lines[i + 1]
+            assert "HashAggregate" in below, f"{name}: exchange without partial aggregate:\n{text}"
