@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.functions.clock import LOCAL_OFFSET_HOURS, parse_commit_ts, to_local
-from hourglass.sources.schemas import CORRUPT_COLUMN, STAGING_COLUMNS
+from hourglass.sources.schemas import CORRUPT_COLUMN
 
 REQUIRED_KEYS = ("name", "email", "date")
 REJECT_REASONS = ("malformed_json", "missing_commit_committer", "missing_field",
@@ -121,7 +121,3 @@ def split_rejects(bronze: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS,
     bad = tagged.where(F.col("reject_reason").isNotNull()).select(
         *raw, F.col("reject_reason"), *[F.col(c) for c in keep])
     return good, bad
-
-
-def staging_order(df: DataFrame) -> DataFrame:
-    return df.select(*STAGING_COLUMNS)

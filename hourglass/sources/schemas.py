@@ -61,15 +61,11 @@ F_COMMITS_HOURLY = StructType([
     StructField("dt", DateType()),
 ])
 
-# Merge key of the fact (what the upsert matches on); the declared primary key
-# (committer_email, d_date_id) is coarser than the table's grain.
+# Merge key of the fact (what the upsert matches on).  The declared primary
+# key (committer_email, d_date_id) is coarser than the table's hourly grain, so
+# checks use this key instead.
 FACT_MERGE_KEY = ("committer_email", "d_time_id", "d_date_id")
-FACT_DECLARED_PK = ("committer_email", "d_date_id")
 
 
 def with_field(schema: StructType, field: StructField) -> StructType:
     return StructType(list(schema.fields) + [field])
-
-
-def without_field(schema: StructType, name: str) -> StructType:
-    return StructType([f for f in schema.fields if f.name != name])
