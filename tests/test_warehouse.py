@@ -120,3 +120,15 @@ def test_sql_views_equal_dataframe_plans(spark, tmp_path):
     assert rows(view("heat_map_distinct")) == rows(
         analytics.weekday_hour_heatmap(fact, dd, d_time(spark, "3h"), distinct_first=True))
     assert len(names) == 4
+
+
+def test_command_line_run(spark, tmp_path):
+    from hourglass.__main__ import main
+    root = str(tmp_path / "cli")
+    write_json(f"{root}/bronze/commits/dt=2024-01-04/commits.json", _day_commits("2024-01-04", 3))
+    assert main(["run", "--root", root, "--db", "cli_db", "--first", "2024-01-04",
+                 "--last", "2024-01-05", "--layout", "array"]) == 0
+    wh = Warehouse(spark, root, "cli_db")
+    assert wh.table("f_commits_hourly").groupBy().sum("commit_count").first()[0] == 3
+    assert main(["views", "--root", root, "--db", "cli_db"]) == 0
+    assert spark.table(wh.name("top_committers")).count() == 1
