@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from hourglass.functions.clock import local_day
 from hourglass.operators.normalize import normalize_commits
 from hourglass.plans import scenarios as sc
-from hourglass.sources.events import events_as_bronze, read_events
+from hourglass.sources.events import events_as_bronze, events_as_faulty_bronze, read_events
 from hourglass.sources.landed import land_bronze, read_bronze, read_gold, read_silver
 from hourglass.sources.schemas import STAGING_COLUMNS
 from hourglass.sources.warehouse import Warehouse
@@ -92,6 +92,32 @@ def q_backfill_rerun(spark, sf_dir):
     return _backfilled(spark, sf_dir, "rerun", runs=2).table("f_commits_hourly")
 
 
+def _lenient_run(spark, sf_dir) -> tuple[Warehouse, str]:
+    """Faulty records landed as bronze, then a lenient range run: valid rows
+    are loaded, the rest written to a reject folder."""
+    from hourglass.plans.backfill import run_days
+    wh = _warehouse(spark, "lenient")
+    events = read_events(spark, sf_dir)
+    land_bronze(events_as_faulty_bronze(events).withColumn("dt", local_day(F.col("ts"))), wh.bronze_path())
+    r = events.agg(F.min(local_day(F.col("ts"))).alias("a"), F.max(local_day(F.col("ts"))).alias("b")).first()
+    rejects = scratch_path(spark, "rejects")
+    run_days(wh, r["a"], r["b"], layout="lines", mode="lenient", reject_root=rejects)
+    return wh, rejects
+
+
+def q_lenient_rejects(spark, sf_dir):
+    """Rejected records of a lenient run, read back from the reject folder."""
+    _, rejects = _lenient_run(spark, sf_dir)
+    return (spark.read.schema("commit_sha STRING, committer_date STRING, reject_reason STRING")
+            .json(rejects).select("commit_sha", "committer_date", "reject_reason"))
+
+
+def q_lenient_fact(spark, sf_dir):
+    """The fact table a lenient run builds from the valid records only."""
+    wh, _ = _lenient_run(spark, sf_dir)
+    return wh.table("f_commits_hourly")
+
+
 def q_staging_day(spark, sf_dir):
     """One day of staging_commits after a backfill (partition pruned scan)."""
     wh = _backfilled(spark, sf_dir, "stagingday")
@@ -107,11 +133,14 @@ def queries() -> dict:
         "backfill_range": q_backfill_range,
         "backfill_rerun": q_backfill_rerun,
         "staging_day": q_staging_day,
+        "lenient_rejects": q_lenient_rejects,
+        "lenient_fact": q_lenient_fact,
     }
 
 
 def oracle_sql() -> dict:
-    from hourglass.plans.oracle import STAGING_DAY, combined_cte, commits_cte, fact_cte
+    from hourglass.plans.oracle import (FAULTY, STAGING_DAY, combined_cte, commits_cte, fact_cte,
+                                        reject_sql)
     staging = f"""WITH {commits_cte('fine')}
 SELECT commit_sha, committer_id, committer_name, committer_email, committer_date, dt FROM commits"""
     backfill = f"""WITH {commits_cte('dirty')}, {fact_cte()}, {combined_cte('fact', 'f')}
@@ -123,6 +152,10 @@ SELECT d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FRO
         "gold_parquet": staging,
         "backfill_range": backfill,
         "backfill_rerun": backfill,
+        "lenient_rejects": reject_sql(),
+        "lenient_fact": f"""WITH {commits_cte('fine', where=f'NOT ({FAULTY})')}, {fact_cte()},
+{combined_cte('fact', 'f')}
+SELECT d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FROM f""",
         "staging_day": f"""WITH {commits_cte('dirty')}
 SELECT commit_sha, committer_id, committer_name, committer_email, committer_date, dt
 FROM commits WHERE dt = {STAGING_DAY}""",

@@ -140,6 +140,21 @@ UNION ALL
 SELECT * FROM merged {keep_zero}"""
 
 
+# events whose record the faulty adapter breaks (see sources.events)
+FAULTY = "event_id % 83 = 0 OR event_id % 89 = 0 OR (event_id % 79 = 0 AND event_id % 11 <> 0)"
+
+
+def reject_sql() -> str:
+    return f"""SELECT CAST(event_id AS VARCHAR) AS commit_sha,
+       CASE WHEN event_id % 89 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE strftime(ts, {TS_FMT}) END
+         AS committer_date,
+       CASE WHEN event_id % 83 = 0 THEN 'missing_field'
+            WHEN event_id % 89 = 0 THEN 'bad_date'
+            ELSE 'bad_committer_id' END AS reject_reason
+FROM events
+WHERE {FAULTY}"""
+
+
 def oracle_sql() -> dict[str, str]:
     fine = commits_cte("fine")
     sql = {
@@ -222,14 +237,7 @@ FROM commits GROUP BY dt""",
         "partition_guard": f"""WITH {commits_cte('dirty')}
 SELECT commit_sha, CAST(ts AS DATE) AS landed_dt, dt FROM commits WHERE dt <> CAST(ts AS DATE)""",
 
-        "reject_split": f"""SELECT CAST(event_id AS VARCHAR) AS commit_sha,
-       CASE WHEN event_id % 89 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE strftime(ts, {TS_FMT}) END
-         AS committer_date,
-       CASE WHEN event_id % 83 = 0 THEN 'missing_field'
-            WHEN event_id % 89 = 0 THEN 'bad_date'
-            ELSE 'bad_committer_id' END AS reject_reason
-FROM events
-WHERE event_id % 83 = 0 OR event_id % 89 = 0 OR (event_id % 79 = 0 AND event_id % 11 <> 0)""",
+        "reject_split": reject_sql(),
 
         "pk_violations": f"""WITH {fine}, {fact_cte()}
 SELECT committer_email, d_time_id, d_date_id, COUNT(*) AS n
