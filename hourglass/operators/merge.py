@@ -71,14 +71,18 @@ def combine_duplicate_keys(source: DataFrame) -> DataFrame:
     target row twice and fail on the second run.  NULL emails group together
     here (they never match a target row anyway).
     """
-    return (source.groupBy("d_date_id", "d_time_id", "committer_email", "dt")
+    # Grouped on exactly the join keys (dt follows from d_date_id), so the
+    # join below reuses this aggregate's partitioning instead of shuffling again.
+    return (source.groupBy(*FACT_MERGE_KEY)
             .agg(F.max("committer_id").alias("committer_id"),
-                 F.sum("commit_count").alias("commit_count"))
+                 F.sum("commit_count").alias("commit_count"),
+                 F.max("dt").alias("dt"))
             .select(*FACT_COLUMNS))
 
 
 def upsert_fact(target: DataFrame, source: DataFrame, first: _dt.date, last: _dt.date,
-                on_duplicate: str = "combine", delete_zero: bool = True) -> DataFrame:
+                on_duplicate: str = "combine", delete_zero: bool = True,
+                source_combined: bool = False) -> DataFrame:
     """New fact rows for days first..last.
 
     Matched on (email, hour, date id) with plain ``=`` (NULL emails never
@@ -87,6 +91,8 @@ def upsert_fact(target: DataFrame, source: DataFrame, first: _dt.date, last: _dt
     to 0, and with ``delete_zero`` every 0-count row of those days is then
     dropped, which together make the day equal to the source aggregate.
 
+    ``source_combined``: the source already has one row per merge key
+    (``facts.hourly_fact_by_key``), so combining is skipped.
     ``on_duplicate``: ``combine`` sums rows that share a merge key first;
     ``error`` fails when a target row would match several source rows (the
     original engine's behaviour on a re-run), while unmatched duplicates are
@@ -96,7 +102,8 @@ def upsert_fact(target: DataFrame, source: DataFrame, first: _dt.date, last: _dt
         raise ValueError(f"on_duplicate must be one of {DUPLICATE_POLICIES}")
     s = source.where(in_days(first, last)).select(*FACT_COLUMNS)
     if on_duplicate == "combine":
-        s = combine_duplicate_keys(s)
+        if not source_combined:
+            s = combine_duplicate_keys(s)
         s = s.withColumn("_n", F.lit(1))
     else:
         # Same keys as the join, so the window reuses the join's partitioning.

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hourglass.functions.clock import LOCAL_OFFSET_HOURS
 from hourglass.operators.dims import d_date_rows
-from hourglass.operators.facts import hourly_fact
+from hourglass.operators.facts import hourly_fact, hourly_fact_by_key
 from hourglass.operators.checks import partition_guard
 from hourglass.operators.merge import upsert_d_date, upsert_fact
 from hourglass.operators.normalize import normalize_commits, split_rejects
@@ -79,7 +79,12 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
     # d_date before the fact, so every fact row has its date row when readers look
     new_dates = upsert_d_date(wh.days("d_date", first, last), d_date_rows(staging), first, last)
     empty["d_date"] = wh.replace_days("d_date", new_dates, first, last)
-    new_fact = upsert_fact(wh.days("f_commits_hourly", first, last), hourly_fact(staging, offset_hours),
-                           first, last, on_duplicate=on_duplicate, delete_zero=True)
+    if on_duplicate == "combine":
+        source = hourly_fact_by_key(staging, offset_hours)      # one aggregation, keyed for the join
+    else:
+        source = hourly_fact(staging, offset_hours)             # as-written grain, duplicates kept
+    new_fact = upsert_fact(wh.days("f_commits_hourly", first, last), source, first, last,
+                           on_duplicate=on_duplicate, delete_zero=True,
+                           source_combined=on_duplicate == "combine")
     empty["f_commits_hourly"] = wh.replace_days("f_commits_hourly", new_fact, first, last)
     return RunResult(first, last, empty, rejects)

@@ -95,3 +95,18 @@ def test_d_date_arms(spark):
     assert (20240111, "2024-01-11", "Thursday", 4, D("2024-01-11")) in got
     gone = merge_d_date_table(target, source.where("dt > DATE'2024-01-10'"), DAY, DAY).collect()
     assert sorted(tuple(r) for r in gone) == [other]             # M11 deleted
+
+
+def test_fact_by_key_equals_combined_fact(spark):
+    from hourglass.operators.facts import hourly_fact, hourly_fact_by_key
+    from hourglass.operators.merge import combine_duplicate_keys
+    from hourglass.sources.schemas import STAGING
+    rows = [("s1", -1, "n", "a", "2024-01-09T18:00:00Z", D("2024-01-10")),
+            ("s2", 7, "n", "a", "2024-01-09T18:30:00Z", D("2024-01-10")),
+            ("s3", 2, "n", None, "2024-01-09T18:10:00Z", D("2024-01-10")),
+            ("s4", 3, "n", None, "2024-01-09T18:20:00Z", D("2024-01-10")),
+            ("s5", 1, "n", "b", "2024-01-10T03:00:00Z", D("2024-01-10"))]
+    st = spark.createDataFrame(rows, STAGING)
+    a = sorted(tuple(r) for r in hourly_fact_by_key(st).collect())
+    b = sorted(tuple(r) for r in combine_duplicate_keys(hourly_fact(st)).collect())
+    assert a == b and len(a) == 3
