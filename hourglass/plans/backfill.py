@@ -78,7 +78,9 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
     staging = wh.days("staging_commits", first, last)
     # d_date before the fact, so every fact row has its date row when readers look
     new_dates = upsert_d_date(wh.days("d_date", first, last), d_date_rows(staging), first, last)
-    empty["d_date"] = wh.replace_days("d_date", new_dates, first, last)
+    # d_date rows come out of a DISTINCT on dt (hash-partitioned by dt), so each
+    # day is already in one task: no rebalance needed for one file per day.
+    empty["d_date"] = wh.replace_days("d_date", new_dates, first, last, rebalance=False)
     if on_duplicate == "combine":
         source = hourly_fact_by_key(staging, offset_hours)      # one aggregation, keyed for the join
     else:

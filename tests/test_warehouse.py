@@ -1,6 +1,7 @@
 """Range runs over files: empty days (T5), re-runs, ranges, guard, streaming."""
 
 import datetime as dt
+import os
 import uuid
 
 import pytest
@@ -50,6 +51,10 @@ def test_run_rerun_and_empty_day(spark, tmp_path):
     assert len(first["d_date"]) == 3
     run_days(wh, D("2024-01-01"), D("2024-01-03"))                    # same run twice = once
     assert _snapshot(wh) == first
+    for t in ("silver_commits", "staging_commits", "d_date", "f_commits_hourly"):   # no small files
+        for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+            files = [f for f in os.listdir(f"{wh.path(t)}/dt={day}") if not f.startswith((".", "_"))]
+            assert len(files) == 1, (t, day, files)
     # the day is re-extracted and now holds no commits: every layer drops it (T5)
     _land(wh, "2024-01-02", [])
     res = run_days(wh, D("2024-01-02"), D("2024-01-02"))
