@@ -1,9 +1,5 @@
 """Dimensions (D1-D3) and the analyst queries (Q1-Q7)."""
 
-import datetime as dt
-
-from pyspark.sql import functions as F
-
 from conftest import D
 from hourglass.functions.clock import HOUR_RANGE_LABELS
 from hourglass.operators.dims import d_date_rows, d_time
