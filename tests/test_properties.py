@@ -148,3 +148,44 @@ def test_rank_desc_brute_force(spark, values):
     for k, v in enumerate(values):
         want[k] = (1 + sum(1 for w in nonnull if w > v)) if v is not None else len(nonnull) + 1
     assert got == want
+
+
+_fact_row = st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 9),
+                      st.integers(0, 23), st.integers(1, 4))
+
+
+@SETTINGS
+@given(st.lists(_fact_row, min_size=1, max_size=25), st.sets(st.integers(0, 9), max_size=10),
+       st.booleans(), st.sampled_from(["3h", "literal"]))
+def test_heatmap_brute_force(spark, rows, known_days, distinct, variant):
+    from hourglass.functions.clock import HOUR_RANGE_LABELS
+    from hourglass.operators.dims import d_date_rows, d_time
+    from hourglass.operators.heatmap import heatmap
+    base = dt.date(2024, 3, 4)                       # a Monday
+    fact = _fact(spark, [(e, base + dt.timedelta(days=k), h, 1, c) for e, k, h, c in rows])
+    days = spark.createDataFrame([(base + dt.timedelta(days=k),) for k in known_days] or [(None,)],
+                                 "dt date").where("dt IS NOT NULL")
+    got = {r.weekday: tuple(r[x] for x in HOUR_RANGE_LABELS)
+           for r in heatmap(fact, d_date_rows(days), d_time(spark, variant), distinct).collect()}
+
+    def label(h):
+        if variant == "3h":
+            if h == 0 or h >= 22:
+                return "22-00"
+            lo = (h - 1) // 3 * 3 + 1
+            return f"{lo:02d}-{lo + 2:02d}"
+        return "22-00" if h == 0 else f"{h:02d}-{h + 2:02d}"
+    names = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+    cells = []
+    for e, k, h, c in rows:
+        wd = names[(base + dt.timedelta(days=k)).weekday()] if k in known_days else None
+        wn = (base + dt.timedelta(days=k)).isoweekday() if k in known_days else None
+        cells.append((wd, wn, label(h), c))
+    if distinct:
+        cells = list(set(cells))
+    want = {}
+    for wd, wn, lab, c in cells:
+        acc = want.setdefault(wd, dict.fromkeys(HOUR_RANGE_LABELS, 0))
+        if lab in acc:
+            acc[lab] += c
+    assert got == {wd: tuple(acc[x] for x in HOUR_RANGE_LABELS) for wd, acc in want.items()}
