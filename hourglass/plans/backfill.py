@@ -40,7 +40,8 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
 
     ``mode="strict"`` fails on any invalid record or on a record whose day
     differs from the day folder it was landed in; ``"lenient"`` writes those
-    to ``reject_root`` (JSON, by landed day) and loads the rest.
+    to ``reject_root`` (JSON, by landed day) and loads the rest.  The reject
+    write is its own job, so lenient mode reads bronze twice.
     """
     spark = wh.spark
     bronze = read_bronze(spark, bronze_root or wh.bronze_path(), first, last, layout, mode)
@@ -65,8 +66,9 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
     rows = rows.drop("landed_dt")
 
     # silver (JSON) then gold (Parquet, the staging table) converted from it.
-    # Each input task reads one day folder and every kept row has that day,
-    # so these writes need no shuffle to produce one file per day per split.
+    # Every input split lies inside one day folder and every kept row has that
+    # day, so each day is written only by the tasks that read its files: one
+    # output file per day per split, with no shuffle.
     if write_silver:
         empty["silver_commits"] = wh.replace_days("silver_commits", rows, first, last, rebalance=False)
         gold_in = read_silver(spark, wh.path("silver_commits"), first, last)
