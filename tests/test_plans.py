@@ -99,3 +99,13 @@ def test_shuffles_are_pre_aggregated(spark, name):
         if "Exchange hashpartitioning" in line and i + 1 < len(lines):
             below = lines[i + 1]
             assert "HashAggregate" in below, f"{name}: exchange without partial aggregate:\n{text}"
+
+
+def test_backfill_conserves_commits(spark):
+    """sum(fact.commit_count) equals the staging rows, which equal the events."""
+    from hourglass.plans.files import _backfilled
+    wh = _backfilled(spark, SMALL, "conserve")
+    n_events = read_events(spark, SMALL).count()
+    assert wh.table("staging_commits").count() == n_events
+    assert wh.table("f_commits_hourly").agg(F.sum("commit_count")).first()[0] == n_events
+    assert wh.table("d_date").count() == wh.table("staging_commits").select("dt").distinct().count()
