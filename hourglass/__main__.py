@@ -56,7 +56,7 @@ def main(argv: list[str] | None = None) -> int:
     res = run_days(wh, first, last, bronze_root=args.bronze, layout=args.layout, mode=args.mode,
                    offset_hours=args.offset_hours, on_duplicate=args.on_duplicate,
                    write_silver=not args.no_silver, reject_root=args.rejects)
-    print(json.dumps({"first": str(first), "last": str(last),
+    print(json.dumps({"first": str(first), "last": str(last), "rows": res.rows,
                       "empty_days": {t: [str(d) for d in ds] for t, ds in res.empty_days.items()}}))
     return 0
 

@@ -28,7 +28,8 @@ from hourglass.sources.warehouse import Warehouse
 class RunResult:
     first: _dt.date
     last: _dt.date
-    empty_days: dict[str, list[_dt.date]]
+    empty_days: dict[str, list[_dt.date]]     # per table: days left without rows
+    rows: dict[str, int]                      # per table: rows written for the range
     rejects: DataFrame | None = None
 
 
@@ -43,9 +44,11 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
     to ``reject_root`` (JSON, by landed day) and loads the rest.  The reject
     write is its own job, so lenient mode reads bronze twice.
     """
+    if first > last:
+        raise ValueError(f"first day {first} is after last day {last}")
     spark = wh.spark
     bronze = read_bronze(spark, bronze_root or wh.bronze_path(), first, last, layout, mode)
-    empty: dict[str, list[_dt.date]] = {}
+    writes = {}
     rejects = None
     if mode == "strict":
         rows = normalize_commits(bronze, offset_hours, "strict", keep=("landed_dt",))
@@ -70,19 +73,19 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
     # day, so each day is written only by the tasks that read its files: one
     # output file per day per split, with no shuffle.
     if write_silver:
-        empty["silver_commits"] = wh.replace_days("silver_commits", rows, first, last, rebalance=False)
+        writes["silver_commits"] = wh.replace_days("silver_commits", rows, first, last, rebalance=False)
         gold_in = read_silver(spark, wh.path("silver_commits"), first, last)
     else:
         gold_in = rows
-    empty["staging_commits"] = wh.replace_days("staging_commits", gold_in, first, last,
-                                               rebalance=False)
+    writes["staging_commits"] = wh.replace_days("staging_commits", gold_in, first, last,
+                                                rebalance=False)
 
     staging = wh.days("staging_commits", first, last)
     # d_date before the fact, so every fact row has its date row when readers look
     new_dates = upsert_d_date(wh.days("d_date", first, last), d_date_rows(staging), first, last)
     # d_date rows come out of a DISTINCT on dt (hash-partitioned by dt), so each
     # day is already in one task: no rebalance needed for one file per day.
-    empty["d_date"] = wh.replace_days("d_date", new_dates, first, last, rebalance=False)
+    writes["d_date"] = wh.replace_days("d_date", new_dates, first, last, rebalance=False)
     if on_duplicate == "combine":
         source = hourly_fact_by_key(staging, offset_hours)      # one aggregation, keyed for the join
     else:
@@ -90,5 +93,6 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
     new_fact = upsert_fact(wh.days("f_commits_hourly", first, last), source, first, last,
                            on_duplicate=on_duplicate, delete_zero=True,
                            source_combined=on_duplicate == "combine")
-    empty["f_commits_hourly"] = wh.replace_days("f_commits_hourly", new_fact, first, last)
-    return RunResult(first, last, empty, rejects)
+    writes["f_commits_hourly"] = wh.replace_days("f_commits_hourly", new_fact, first, last)
+    return RunResult(first, last, {t: w.empty_days for t, w in writes.items()},
+                     {t: w.rows for t, w in writes.items()}, rejects)

@@ -24,6 +24,8 @@ import datetime as _dt
 import os
 import uuid
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -49,6 +51,13 @@ def _quote(path: str) -> str:
     return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+@dataclass
+class DayWrite:
+    """Outcome of one day replacement: rows written, days left empty."""
+    rows: int
+    empty_days: list[_dt.date]
+
+
 def day_range(first: _dt.date, last: _dt.date) -> list[_dt.date]:
     return [first + _dt.timedelta(days=i) for i in range((last - first).days + 1)]
 
@@ -95,9 +104,10 @@ class Warehouse:
 
     # -- writes -------------------------------------------------------------
     def replace_days(self, table: str, rows: DataFrame, first: _dt.date, last: _dt.date,
-                     rebalance: bool = True) -> list[_dt.date]:
+                     rebalance: bool = True) -> DayWrite:
         """Make days first..last of ``table`` hold exactly ``rows`` (restricted
-        to those days).  Returns the days that were cleared for lack of rows.
+        to those days).  Returns the row count and the days that were cleared
+        for lack of rows, both observed on the write job itself.
 
         ``rebalance``: shuffle rows on ``dt`` before writing; AQE merges small
         days into one task and splits a very large day across several, so a
@@ -109,23 +119,23 @@ class Warehouse:
         cols = [f.name for f in schema.fields]
         out = rows.where(F.col("dt").between(F.lit(first), F.lit(last))).select(*cols)
         obs = Observation(f"days_{table}_{uuid.uuid4().hex}")   # names must be unique per session
-        out = out.observe(obs, F.collect_set("dt").alias("days"))
+        out = out.observe(obs, F.collect_set("dt").alias("days"), F.count(F.lit(1)).alias("rows"))
         if rebalance:
             out = out.hint("rebalance", "dt")
         (out.write
          .option("partitionOverwriteMode", "dynamic")
          .insertInto(self.name(table), overwrite=True))
         try:
-            days = obs.get.get("days")
+            metrics = obs.get
         except Exception:
             # The write succeeded but no task ran the observed node: the input
             # had no partitions at all, so no day received rows.
-            days = None
-        written = set(days or [])
+            metrics = {}
+        written = set(metrics.get("days") or [])
         empty = [d for d in day_range(first, last) if d not in written]
         for day in empty:
             self.clear_day(table, day)
-        return empty
+        return DayWrite(int(metrics.get("rows") or 0), empty)
 
     def clear_day(self, table: str, day: _dt.date) -> None:
         """Remove one day partition (static overwrite with no rows)."""

@@ -44,7 +44,8 @@ def test_run_rerun_and_empty_day(spark, tmp_path):
     wh = _wh(spark, tmp_path)
     for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
         _land(wh, day, _day_commits(day, 5))
-    run_days(wh, D("2024-01-01"), D("2024-01-03"))
+    res = run_days(wh, D("2024-01-01"), D("2024-01-03"))
+    assert res.rows["staging_commits"] == 15 and res.rows["d_date"] == 3
     first = _snapshot(wh)
     assert len(first["staging_commits"]) == 15
     assert sum(r[4] for r in first["f_commits_hourly"]) == 15        # sum(count) = staging rows
@@ -65,6 +66,11 @@ def test_run_rerun_and_empty_day(spark, tmp_path):
     assert len(after["staging_commits"]) == 10 and len(after["d_date"]) == 2
 
 
+def test_inverted_range_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError):
+        run_days(_wh(spark, tmp_path), D("2024-01-03"), D("2024-01-01"))
+
+
 def test_range_equals_days(spark, tmp_path):
     a, b = _wh(spark, tmp_path / "a"), _wh(spark, tmp_path / "b")
     for wh in (a, b):
