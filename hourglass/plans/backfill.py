@@ -81,8 +81,12 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
                                                 rebalance=False)
 
     staging = wh.days("staging_commits", first, last)
-    # d_date before the fact, so every fact row has its date row when readers look
-    new_dates = upsert_d_date(wh.days("d_date", first, last), d_date_rows(staging), first, last)
+    # d_date before the fact, so every fact row has its date row when readers
+    # look.  The staging days are known from the staging write's own
+    # observation (at most one value per day of the range), so no scan of
+    # the new staging files is needed to find them.
+    staged = spark.createDataFrame([(d,) for d in writes["staging_commits"].days], "dt date")
+    new_dates = upsert_d_date(wh.days("d_date", first, last), d_date_rows(staged), first, last)
     # d_date rows come out of a DISTINCT on dt (hash-partitioned by dt), so each
     # day is already in one task: no rebalance needed for one file per day.
     writes["d_date"] = wh.replace_days("d_date", new_dates, first, last, rebalance=False)

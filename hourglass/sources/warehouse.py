@@ -53,8 +53,10 @@ def _quote(path: str) -> str:
 
 @dataclass
 class DayWrite:
-    """Outcome of one day replacement: rows written, days left empty."""
+    """Outcome of one day replacement: rows written, days that received rows,
+    days left empty."""
     rows: int
+    days: list[_dt.date]
     empty_days: list[_dt.date]
 
 
@@ -135,7 +137,7 @@ class Warehouse:
         empty = [d for d in day_range(first, last) if d not in written]
         for day in empty:
             self.clear_day(table, day)
-        return DayWrite(int(metrics.get("rows") or 0), empty)
+        return DayWrite(int(metrics.get("rows") or 0), sorted(written), empty)
 
     def clear_day(self, table: str, day: _dt.date) -> None:
         """Remove one day partition (static overwrite with no rows)."""
