@@ -109,3 +109,23 @@ def test_backfill_conserves_commits(spark):
     assert wh.table("staging_commits").count() == n_events
     assert wh.table("f_commits_hourly").agg(F.sum("commit_count")).first()[0] == n_events
     assert wh.table("d_date").count() == wh.table("staging_commits").select("dt").distinct().count()
+
+
+def test_warehouse_analytics_and_views_plans(spark):
+    """Q1-Q3 on written tables and as SQL views: top-k without a global sort,
+    dimensions broadcast, the streak maximum as a one-row value."""
+    from hourglass.plans.files import _backfilled
+    from hourglass.plans.views import create_views
+    wh = _backfilled(spark, SMALL, "planviews")
+    create_views(wh)
+    fact = wh.table("f_commits_hourly")
+    q1 = _plan(analytics.top_committers(fact))
+    assert "TakeOrderedAndProject" in q1 and "rangepartitioning" not in q1
+    q3 = _plan(analytics.weekday_hour_heatmap(fact, wh.table("d_date"), wh.table("d_time")))
+    assert q3.count("BroadcastExchange") == 2 and "SortMergeJoin" not in q3
+    v1 = _plan(spark.table(wh.name("top_committers")))
+    assert "TakeOrderedAndProject" in v1 and "rangepartitioning" not in v1
+    v2 = _plan(spark.table(wh.name("committer_longest_streak")))
+    assert "Subquery" in v2 or "BroadcastExchange" in v2
+    v3 = _plan(spark.table(wh.name("heat_map")))
+    assert v3.count("BroadcastExchange") == 2 and "SortMergeJoin" not in v3
