@@ -67,9 +67,9 @@ def q_d_date(spark, sf_dir):
 
 def _fact_and_dates(spark, sf_dir, email):
     """The fact and the date rows of its days.  A fact row exists for every
-    staging row, so its days are the staging days; deriving both from one
-    DataFrame lets Spark reuse the fact's shuffle instead of normalising the
-    input twice."""
+    staging row, so its days are the staging days.  (Catalyst prunes the date
+    branch down to a DISTINCT on dt over its own scan, so the input is still
+    read twice; on written tables d_date is simply read.)"""
     f = sc.fact(spark, sf_dir, email)
     return f, d_date_rows(f)
 
