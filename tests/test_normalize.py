@@ -104,3 +104,23 @@ def test_landed_day_is_kept(spark, tmp_path):
     bronze = _read(spark, tmp_path, [commit("a", {"id": 1}, date="2024-01-01T18:00:00Z")])
     row = normalize_commits(bronze, keep=("landed_dt",)).first()
     assert row.landed_dt == dt.date(2024, 1, 2) == row.dt
+
+
+def test_pages_are_concatenated_without_dedup(spark, tmp_path):
+    """E2: two array pages of one day, one commit on both -> both rows kept."""
+    root = tmp_path / "bronze"
+    write_json(f"{root}/dt=2024-01-02/page1.json", [commit("p1", {"id": 1}), commit("both", {"id": 1})])
+    write_json(f"{root}/dt=2024-01-02/page2.json", [commit("both", {"id": 1}), commit("p2", {"id": 2})])
+    shas = sorted(r.commit_sha for r in normalize_commits(
+        read_bronze(spark, str(root), D("2024-01-02"), D("2024-01-02"))).collect())
+    assert shas == ["both", "both", "p1", "p2"]
+
+
+def test_day_filter_is_exact(spark, tmp_path):
+    """S1: a folder whose name only starts like the day is not read as that day."""
+    root = tmp_path / "bronze"
+    write_json(f"{root}/dt=2024-01-02/commits.json", [commit("a", {"id": 1})])
+    write_json(f"{root}/dt=2024-01-02_old/commits.json", [commit("old", {"id": 1})])
+    got = [r.commit_sha for r in normalize_commits(
+        read_bronze(spark, str(root), D("2024-01-02"), D("2024-01-02"))).collect()]
+    assert got == ["a"]
