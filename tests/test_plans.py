@@ -129,3 +129,7 @@ def test_warehouse_analytics_and_views_plans(spark):
     assert "Subquery" in v2 or "BroadcastExchange" in v2
     v3 = _plan(spark.table(wh.name("heat_map")))
     assert v3.count("BroadcastExchange") == 2 and "SortMergeJoin" not in v3
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
