@@ -119,3 +119,20 @@ def test_heatmap_sorted_by_weekday_number(spark):
     fact = _fact(spark, [("a", f"2024-01-{d:02d}", 5, 1) for d in range(1, 8)])
     assert [r.weekday for r in _heat(spark, fact)] == [
         "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+
+
+def test_local_day_window_boundaries(spark):
+    """E1: day D is (D-1) 17:00:00Z .. D 16:59:59Z inclusive at second precision."""
+    import datetime as _dt
+
+    from pyspark.sql import functions as F
+
+    from hourglass.functions.clock import api_window_text, local_day_window
+    ts = [_dt.datetime(2024, 1, 14, 16, 59, 59), _dt.datetime(2024, 1, 14, 17, 0, 0),
+          _dt.datetime(2024, 1, 15, 16, 59, 59, 999999), _dt.datetime(2024, 1, 15, 17, 0, 0)]
+    df = spark.createDataFrame([(t,) for t in ts], "ts timestamp_ntz")
+    got = [r.ts for r in df.where(local_day_window(F.col("ts"), D("2024-01-15"), D("2024-01-15"))).collect()]
+    assert got == ts[1:3]
+    since, until = api_window_text(F.lit(D("2024-01-15")))
+    row = spark.range(1).select(since.alias("s"), until.alias("u")).first()
+    assert (row.s, row.u) == ("2024-01-14T17:00:00Z", "2024-01-15T16:59:59Z")
