@@ -143,3 +143,9 @@ def test_command_line_run(spark, tmp_path):
     assert wh.table("f_commits_hourly").groupBy().sum("commit_count").first()[0] == 3
     assert main(["views", "--root", root, "--db", "cli_db"]) == 0
     assert spark.table(wh.name("top_committers")).count() == 1
+
+
+def test_literal_hour_labels_in_warehouse(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "lit"), "t_" + uuid.uuid4().hex[:8], d_time_variant="literal").create()
+    labels = {r.d_time_id: r.hour_range_str for r in wh.table("d_time").collect()}
+    assert labels[2] == "02-04" and labels[0] == "22-00" and len(labels) == 24
