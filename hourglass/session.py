@@ -57,21 +57,19 @@ def get_session(master: str | None = None, app: str = "hourglass",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is the only place this package writes intermediate
-    tables, so that they survive the loss of an executor.  Only when the
-    setting is absent (a bare local session, as in tests) is a folder created
-    and registered as the checkpoint directory.
+    This is the only place this package writes intermediate tables, so that
+    they survive the loss of an executor.  When the setting is absent, a
+    session whose executors all live in the driver's process (``local[...]``,
+    as in tests) gets a folder of its own; on a cluster an error is raised,
+    because a machine-local folder there would lose rows in silence.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="hourglass-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        try:
-            spark.conf.set("spark.checkpoint.dir", root)
-        except Exception:
-            pass
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="hourglass-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
