@@ -3,12 +3,14 @@ express them on whole tables."""
 
 from __future__ import annotations
 
-from hourglass.llm import decontaminate
+from hourglass.llm import bpe, decontaminate, token_count
 
 
 def queries():
     return {
         "op2_decontaminate": decontaminate.op2_decontaminate,
+        "op4_bpe": bpe.op4_bpe,
+        "op10_token_count": token_count.op10_token_count,
     }
 
 
