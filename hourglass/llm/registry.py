@@ -3,11 +3,12 @@ express them on whole tables."""
 
 from __future__ import annotations
 
-from hourglass.llm import bpe, decontaminate, token_count
+from hourglass.llm import bpe, decontaminate, simhash, token_count
 
 
 def queries():
     return {
+        "op1_simhash": simhash.op1_simhash,
         "op2_decontaminate": decontaminate.op2_decontaminate,
         "op4_bpe": bpe.op4_bpe,
         "op10_token_count": token_count.op10_token_count,
