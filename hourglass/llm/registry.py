@@ -3,7 +3,7 @@ express them on whole tables."""
 
 from __future__ import annotations
 
-from hourglass.llm import bpe, decontaminate, secret_scan, simhash, token_count
+from hourglass.llm import bpe, chat_format, decontaminate, secret_scan, simhash, token_count
 
 
 def queries():
@@ -11,6 +11,7 @@ def queries():
         "op1_simhash": simhash.op1_simhash,
         "op2_decontaminate": decontaminate.op2_decontaminate,
         "op4_bpe": bpe.op4_bpe,
+        "op5_chat_format": chat_format.op5_chat_format,
         "op8_secret_scan": secret_scan.op8_secret_scan,
         "op10_token_count": token_count.op10_token_count,
     }
@@ -19,4 +20,5 @@ def queries():
 def oracle_sql():
     return {
         "op2_decontaminate": decontaminate.ORACLE_SQL,
+        "op5_chat_format": chat_format.ORACLE_SQL,
     }
