@@ -155,10 +155,9 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", r
 
     def make():
         units = _coder(held)[1]
-        return lambda key, text: (key, b"".join(units((text or b"").decode())))
+        return lambda text: (b"".join(units((text or b"").decode())),)
 
-    return map_rows(docs.select(id_col, F.col(text_col).cast("string").alias("text")), make,
-                    f"`{id_col}` {dict(docs.dtypes)[id_col]}, ids binary")
+    return map_rows(docs, [text_col], make, "ids binary", [id_col])
 
 
 def decode(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "ids", ranks_path: str | None = None) -> DataFrame:
@@ -168,14 +167,9 @@ def decode(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "ids",
     def make():
         of = _coder(held)[0].bytes_of.__getitem__
 
-        def row(key, ids):
-            ids = ids or b""
-            return key, ids, b"".join(map(of, np.frombuffer(ids, "<u4").tolist()))
+        return lambda ids: (b"".join(map(of, np.frombuffer(ids or b"", "<u4").tolist())),)
 
-        return row
-
-    return map_rows(encoded.select(id_col, F.col(ids_col).alias("ids")), make,
-                    f"`{id_col}` {dict(encoded.dtypes)[id_col]}, ids binary, decoded binary")
+    return map_rows(encoded, [ids_col], make, "decoded binary", [id_col, ids_col])
 
 
 def op4_bpe(spark, sf_dir):

@@ -31,21 +31,27 @@ def struct(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable[..., tuple]], ddl: str) -> DataFrame:
-    """One output row for each row of ``df``; string columns arrive as UTF-8
-    bytes.  ``make()`` runs once in each task and returns the row function.
-    Rows are taken a few at a time, so that memory follows the texts at hand.
+def map_rows(df: DataFrame, args: list[str], make: Callable[[], Callable[..., tuple]], ddl: str,
+             keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``df`` as they are, and those of ``ddl``: the
+    row function's results for the columns ``args``, of which strings arrive
+    as UTF-8 bytes.  ``make()`` runs once in each task and returns the row
+    function.  Rows are taken a few at a time, so that memory follows the
+    texts at hand.
     """
-    schema = struct(ddl)
+    keep = keep or []
+    df = df.select(*(f"`{c}`" for c in dict.fromkeys([*keep, *args])))
+    schema = StructType([f for f in df.schema if f.name in keep] + struct(ddl).fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, out = make(), to_arrow_schema(schema)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                columns = [c.cast(pa.binary()) if pa.types.is_string(c.type) else c for c in part.columns]
-                rows = [row(*values) for values in zip(*(c.to_pylist() for c in columns))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), type=f.type) for c, f in zip(zip(*rows), out)], schema=out)
+                given = (part.column(c) for c in args)
+                given = (c.cast(pa.binary()) if pa.types.is_string(c.type) else c for c in given)
+                made = zip(*(row(*values) for values in zip(*(c.to_pylist() for c in given))))
+                columns = [part.column(c) for c in keep] + [pa.array(list(c), f.type) for c, f in zip(made, list(out)[len(keep):])]
+                yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     return df.mapInArrow(run, schema)

@@ -34,8 +34,7 @@ WINDOW = 10
 MAX_AUTOMATON_BYTES = 16 << 20
 
 _KEEP = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_UPPER = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -91,44 +90,40 @@ def _shards(items: DataFrame, id_col: str, text_col: str, limit: int) -> list[Da
 
 def decontaminate(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                   item_id_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                  max_automaton_bytes: int = MAX_AUTOMATON_BYTES) -> DataFrame:
-    """One row per document: id, ``n_words``, ``n_hit``, ``item_ids`` (sorted)
+                  max_automaton_bytes: int = MAX_AUTOMATON_BYTES,
+                  keep_all: bool = False) -> DataFrame:
+    """One row per document: its id (``keep_all``: all its columns), ``n_words``, ``n_hit``, ``item_ids`` (sorted)
     and ``spans``, the hit passages as character offsets (end exclusive) of
     the original text."""
-    ddl = f"`{id_col}` {dict(docs.dtypes)[id_col]}, text string, found array<struct<first:int,last:int,items:array<bigint>>>"
     none = "array<struct<first:int,last:int,items:array<bigint>>>"
-    scanned = docs.select(F.col(id_col), F.col(text_col).alias("text"), F.lit(None).cast(none).alias("found"))
-    shards = _shards(items, item_id_col, item_text_col, max_automaton_bytes)
-    if len(shards) > 1:
-        for shard in shards:
-            held = _sent(shard, window)
+    scanned = docs.select(*docs.columns if keep_all else [id_col, text_col], F.lit(None).cast(none).alias("found"))
+    *more, rest = [_sent(shard, window) for shard in _shards(items, item_id_col, item_text_col, max_automaton_bytes)]
+    for held in more:
 
-            def one(held=held):
-                machine = _automaton(held)
-                return lambda key, text, found: (key, text, [*(found or []), *machine.scan(words_of(text))])
+        def one(held=held):
+            machine = _automaton(held)
+            return lambda text, found: ([*(found or []), *({"first": a, "last": b, "items": i} for a, b, i in machine.scan(words_of(text)))],)
 
-            scanned = map_rows(scanned, one, ddl)
-        held = _sent(shards[0].limit(0), window)
-    else:
-        held = _sent(shards[0], window)
+        scanned = map_rows(scanned, [text_col, "found"], one, f"again {none}", [c for c in scanned.columns if c != "found"])
+        scanned = scanned.withColumnRenamed("again", "found")
 
     def last():
-        machine = _automaton(held)
+        machine = _automaton(rest)
 
-        def row(key, text, found):
+        def row(text, found):
             words = words_of(text)
             found = [tuple(x.values()) for x in found or []] + machine.scan(words)
             if not found:
-                return key, len(words), 0, [], []
+                return len(words), 0, [], []
             runs = _runs([(a, b) for a, b, _ in found])
-            at = [m.span() for m in _WORD.finditer(text.decode().translate(_UPPER))]
+            at = [m.span() for m in _WORD.finditer(text.decode())]
             spans = [{"start": at[a][0], "end": at[b][1]} for a, b in runs]
-            return key, len(words), sum(b - a + 1 for a, b in runs), sorted({i for x in found for i in x[2]}), spans
+            return len(words), sum(b - a + 1 for a, b in runs), sorted({i for x in found for i in x[2]}), spans
 
         return row
 
-    return map_rows(scanned, last, f"`{id_col}` {dict(docs.dtypes)[id_col]}, n_words bigint, n_hit bigint, "
-                    "item_ids array<bigint>, spans array<struct<start:int,end:int>>")
+    return map_rows(scanned, [text_col, "found"], last, "n_words bigint, n_hit bigint, item_ids array<bigint>, "
+                    "spans array<struct<start:int,end:int>>", docs.columns if keep_all else [id_col])
 
 
 _MACHINES: dict[str, Automaton] = {}

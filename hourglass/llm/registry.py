@@ -3,7 +3,7 @@ express them on whole tables."""
 
 from __future__ import annotations
 
-from hourglass.llm import bpe, chat_format, decontaminate, secret_scan, simhash, token_count
+from hourglass.llm import bpe, chat_format, decontaminate, language_id, secret_scan, simhash, token_count
 
 
 def queries():
@@ -12,6 +12,7 @@ def queries():
         "op2_decontaminate": decontaminate.op2_decontaminate,
         "op4_bpe": bpe.op4_bpe,
         "op5_chat_format": chat_format.op5_chat_format,
+        "op6_language_id": language_id.op6_language_id,
         "op8_secret_scan": secret_scan.op8_secret_scan,
         "op10_token_count": token_count.op10_token_count,
     }

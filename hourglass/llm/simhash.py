@@ -78,10 +78,9 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """``doc_id`` and ``fp``, the 64 bits as a signed long."""
 
     def make():
-        return lambda key, text: (key, fingerprint(text, width))
+        return lambda text: (fingerprint(text, width),)
 
-    return map_rows(docs.select(id_col, F.col(text_col).cast("string").alias("text")), make,
-                    f"doc_id {dict(docs.dtypes)[id_col]}, fp bigint")
+    return map_rows(docs, [text_col], make, "fp bigint", [id_col]).withColumnRenamed(id_col, "doc_id")
 
 
 # --- what the plan of the parts is made from: counts of fixed size over all fingerprints

@@ -181,10 +181,9 @@ def count_tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     def make():
         counter = _counter(held)
-        return lambda key, text: (key, len(text or b""), counter.count((text or b"").decode()))
+        return lambda text: (len(text or b""), counter.count((text or b"").decode()))
 
-    return map_rows(docs.select(id_col, F.col(text_col).cast("string").alias("text")), make,
-                    f"`{id_col}` {dict(docs.dtypes)[id_col]}, n_bytes bigint, n_tokens bigint")
+    return map_rows(docs, [text_col], make, "n_bytes bigint, n_tokens bigint", [id_col])
 
 
 def op10_token_count(spark, sf_dir):
