@@ -1,0 +1,88 @@
+"""The pipeline against plain versions of its stages."""
+
+import hashlib
+
+import public_tokenizers as P
+import pytest
+import tiktoken
+from test_decontaminate import brute
+from test_secret_scan import plain
+from test_simhash import plain_components, plain_fingerprint
+
+import corpus_pipeline
+from hourglass.llm import bpe, language_id, secret_scan
+
+SF = "/root/testdata/sf0.001"
+
+
+def expected(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    learned = language_id.learn(docs.where(~language_id.held_out("doc_id")))
+    known = language_id.Identifier(learned, language_id.LEVEL, language_id.REJECT_MARGIN)
+    rows = [r for r in docs.collect() if not known((r.text or "").encode())[2]]
+    fp = {r.doc_id: plain_fingerprint(r.text) for r in rows}
+    roots = plain_components(set(fp.values()), 2)
+    first = {}
+    for doc_id in sorted(fp):
+        first.setdefault(roots[fp[doc_id]], doc_id)
+    rows = [r for r in rows if first[roots[fp[r.doc_id]]] == r.doc_id and brute_hits(r.text, items) == 0]
+    coder = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(P.path("byte_bpe_50k.tiktoken")), special_tokens={})
+    out = {}
+    for r in rows:
+        text, at, clean = r.text, 0, ""
+        for a, b in sorted(tuple(map(int, s.split(":")[1:])) for s in plain(text)[2].split(",") if s):
+            if a >= at:
+                clean += text[at:a] + secret_scan.MARK
+            at = max(at, b)
+        clean += text[at:]
+        ids = b"".join(i.to_bytes(4, "little") for i in coder.encode_ordinary(clean))
+        out[r.doc_id] = (len(ids) // 4, ids, hashlib.sha256(clean.encode()).hexdigest())
+    return out
+
+
+def brute_hits(text, items):
+    """Hit words, with a quick look for items that share no ten words."""
+    words = " ".join(brute_words(text))
+    grams = {" ".join(w[i:i + 10]) for w in (brute_words(t) for _, t in items) for i in range(max(1, len(w) - 9)) if w}
+    return brute(text, items, 10)[1] if any(g in words for g in grams) else 0
+
+
+def brute_words(text):
+    from test_decontaminate import WORD, low
+
+    return WORD.findall(low(text))
+
+
+def test_run_is_the_plain_pipeline(spark):
+    want = expected(spark)
+    got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
+    assert 20 < len(want) < 200 and set(got) == set(want)
+    for doc_id, (n, ids, digest) in want.items():
+        assert (got[doc_id].n_tokens, bytes(got[doc_id].ids), got[doc_id].decoded_sha256) == (n, ids, digest)
+
+
+def test_clean_documents_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = corpus_pipeline.stage_language_id(spark, docs, SF)
+    assert kept.count() > 0.95 * docs.count()
+
+
+@pytest.mark.parametrize("rows", ["odd", "none"])
+def test_odd_tables(spark, rows):
+    base = "plain words that no one has written before today or so they say"
+    data = [(1, base, "en", "s", 5, 1, 2), (1, base, "en", "s", 5, 1, 2), (2, base, "en", "s", 5, 1, 2), (3, None, None, None, None, None, None),
+            (4, "", "en", "s", 0, 1, 2), (None, "x token=abcdefghij y " * 40000, "en", "s", 5, 1, 2), (7, "42", "en", "s", 5, 1, 2)]
+    docs = spark.createDataFrame(data if rows == "odd" else [], "doc_id long, text string, lang string, source string, n_chars long, fp int, lang_score int")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        if name != "bpe":
+            assert out.columns == docs.columns
+            out = spark.createDataFrame(out.collect(), docs.schema)
+        docs = out
+    got = {r.doc_id: r.n_tokens for r in docs.collect()}
+    assert set(got) == ({1, None} if rows == "odd" else set())
+
+
+def test_names_of_the_stages():
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_dedup", "decontaminate", "secret_scan", "bpe"]
