@@ -3,7 +3,7 @@ express them on whole tables."""
 
 from __future__ import annotations
 
-from hourglass.llm import bpe, chat_format, decontaminate, language_id, secret_scan, simhash, token_count
+from hourglass.llm import bpe, chat_format, decontaminate, language_id, secret_scan, simhash, token_count, warc
 
 
 def queries():
@@ -14,6 +14,7 @@ def queries():
         "op5_chat_format": chat_format.op5_chat_format,
         "op6_language_id": language_id.op6_language_id,
         "op8_secret_scan": secret_scan.op8_secret_scan,
+        "op9_warc": warc.op9_warc,
         "op10_token_count": token_count.op10_token_count,
     }
 
@@ -22,4 +23,5 @@ def oracle_sql():
     return {
         "op2_decontaminate": decontaminate.ORACLE_SQL,
         "op5_chat_format": chat_format.ORACLE_SQL,
+        "op9_warc": warc.ORACLE_SQL,
     }
