@@ -3,13 +3,14 @@ express them on whole tables."""
 
 from __future__ import annotations
 
-from hourglass.llm import bpe, chat_format, decontaminate, language_id, secret_scan, simhash, token_count, warc
+from hourglass.llm import ann, bpe, chat_format, decontaminate, language_id, secret_scan, simhash, token_count, warc
 
 
 def queries():
     return {
         "op1_simhash": simhash.op1_simhash,
         "op2_decontaminate": decontaminate.op2_decontaminate,
+        "op3_ann": ann.op3_ann,
         "op4_bpe": bpe.op4_bpe,
         "op5_chat_format": chat_format.op5_chat_format,
         "op6_language_id": language_id.op6_language_id,
