@@ -3,7 +3,7 @@ express them on whole tables."""
 
 from __future__ import annotations
 
-from hourglass.llm import ann, bpe, chat_format, decontaminate, language_id, secret_scan, simhash, token_count, warc
+from hourglass.llm import ann, bpe, chat_format, decontaminate, language_id, secret_scan, simhash, suffix_dedup, token_count, warc
 
 
 def queries():
@@ -14,6 +14,7 @@ def queries():
         "op4_bpe": bpe.op4_bpe,
         "op5_chat_format": chat_format.op5_chat_format,
         "op6_language_id": language_id.op6_language_id,
+        "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
         "op8_secret_scan": secret_scan.op8_secret_scan,
         "op9_warc": warc.op9_warc,
         "op10_token_count": token_count.op10_token_count,
