@@ -61,6 +61,22 @@ def test_production_length(spark):
     assert S.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_the_query_on_its_table(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    raw = [(r.doc_id, (r.text or "").encode()) for r in rows]
+    seen = Counter(hash(t[p:p + 400]) for _, t in raw for p in range(len(t) - 399))
+    want = []
+    for doc_id, t in raw:
+        gone = np.zeros(len(t), bool)
+        for p in range(len(t) - 399):
+            if seen[hash(t[p:p + 400])] > 1:
+                gone[p:p + 400] = True
+        want.append((doc_id, len(t), int(gone.sum()), hashlib.sha256(np.frombuffer(t, np.uint8)[~gone].tobytes()).hexdigest()))
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in S.op7_suffix_dedup(spark, sf).collect()]
+    assert sorted(got) == sorted(want) and sum(w[2] for w in want) > 10_000
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(4)
     for _ in range(30):
