@@ -45,6 +45,9 @@ def main(argv: list[str] | None = None) -> int:
 
     from hourglass.sources.warehouse import Warehouse
     spark = get_session(args.master)
+    if args.cmd == "views" and spark.conf.get("spark.sql.catalogImplementation") == "in-memory":
+        ap.error("views need a persistent catalog (e.g. spark.sql.catalogImplementation=hive): "
+                 "in the in-memory catalog they end with this process")
     wh = Warehouse(spark, args.root, args.db).create()
     if args.cmd == "views":
         from hourglass.plans.views import create_views
@@ -56,7 +59,8 @@ def main(argv: list[str] | None = None) -> int:
     res = run_days(wh, first, last, bronze_root=args.bronze, layout=args.layout, mode=args.mode,
                    offset_hours=args.offset_hours, on_duplicate=args.on_duplicate,
                    write_silver=not args.no_silver, reject_root=args.rejects)
-    print(json.dumps({"first": str(first), "last": str(last), "rows": res.rows,
+    print(json.dumps({"first": str(first), "last": str(last),
+                      "days": {t: len(ds) for t, ds in res.days.items()},
                       "empty_days": {t: [str(d) for d in ds] for t, ds in res.empty_days.items()}}))
     return 0
 

@@ -16,17 +16,10 @@ def pk_violations(df: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame
             .where(F.col("n") > 1))
 
 
-def fk_orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None,
-               broadcast_dim: bool = False) -> DataFrame:
-    """Rows of ``fact`` whose non-NULL ``key`` has no row in ``dim``.
-
-    ``broadcast_dim`` only for dimensions whose size is bounded independently
-    of the data (calendar days, hours); otherwise the anti join is planned
-    from measured sizes.
-    """
+def fk_orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
+    """Rows of ``fact`` whose non-NULL ``key`` has no row in ``dim``.  The anti
+    join is planned from measured sizes."""
     keys = dim.select(F.col(dim_key or key).alias("_k")).distinct()
-    if broadcast_dim:
-        keys = F.broadcast(keys)
     f = fact.where(F.col(key).isNotNull())
     return f.join(keys, f[key] == keys["_k"], "left_anti")
 

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.functions.clock import LOCAL_OFFSET_HOURS, date_id, local_hour, parse_commit_ts
+from hourglass.operators.normalize import LOCAL_TS
 from hourglass.sources.schemas import F_COMMITS_HOURLY, FACT_MERGE_KEY
 
 FACT_COLUMNS = tuple(f.name for f in F_COMMITS_HOURLY.fields)
 
 
+def _hour(staging: DataFrame, offset_hours: int) -> Column:
+    """The local hour: from the time a run carries along, else parsed from the text."""
+    if LOCAL_TS in staging.columns:
+        return F.hour(LOCAL_TS).cast("bigint")
+    return local_hour(parse_commit_ts(F.col("committer_date")), offset_hours)
+
+
 def hourly_fact(staging: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
     """COUNT(1) per (date id, local hour, committer_id, email, dt).
 
@@ -20,7 +28,7 @@ def hourly_fact(staging: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS) -> D
     the map side, so a very active committer costs at most 24 rows per day
     per task in the shuffle.
     """
-    hour = local_hour(parse_commit_ts(F.col("committer_date")), offset_hours)
+    hour = _hour(staging, offset_hours)
     return (staging
             .groupBy(date_id(F.col("dt")).alias("d_date_id"), hour.alias("d_time_id"),
                      "committer_id", "committer_email", "dt")
@@ -36,7 +44,7 @@ def hourly_fact_by_key(staging: DataFrame, offset_hours: int = LOCAL_OFFSET_HOUR
     but with one shuffle instead of two, partitioned on the merge key the
     upsert joins on.
     """
-    hour = local_hour(parse_commit_ts(F.col("committer_date")), offset_hours)
+    hour = _hour(staging, offset_hours)
     keyed = staging.select(F.col("committer_email"), hour.alias("d_time_id"),
                            date_id(F.col("dt")).alias("d_date_id"), "committer_id", "dt")
     return (keyed.groupBy(*FACT_MERGE_KEY)

@@ -11,15 +11,15 @@ from hourglass.functions.clock import HOUR_RANGE_LABELS
 def fact_enriched(fact: DataFrame, d_date: DataFrame, d_time: DataFrame) -> DataFrame:
     """Fact LEFT JOIN d_date ON d_date_id LEFT JOIN d_time ON d_time_id.
 
-    Both dimensions are broadcast: d_date has one row per calendar day
-    (a century is 36,525 rows) and d_time has 24 rows, so their size does
-    not grow with the number of commits.  The fact is never shuffled.
+    d_date should hold one row per calendar day and d_time holds 24, but
+    nothing enforces it: both are left to Spark, which broadcasts a side that
+    it measures small enough and joins by a shuffle otherwise.
     """
     dd = d_date.select("d_date_id", "weekday", "weekday_number")
     dt_ = d_time.select("d_time_id", "hour_range_str")
     return (fact.select("d_date_id", "d_time_id", "committer_email", "commit_count", "dt")
-            .join(F.broadcast(dd), "d_date_id", "left")
-            .join(F.broadcast(dt_), "d_time_id", "left")
+            .join(dd, "d_date_id", "left")
+            .join(dt_, "d_time_id", "left")
             .select("d_date_id", "d_time_id", "committer_email", "commit_count", "dt",
                     "weekday", "weekday_number", "hour_range_str"))
 

@@ -10,8 +10,10 @@ Rules (per record):
 
 ``mode="strict"`` fails the job on the first invalid record, as the original
 per-file transform does; ``mode="lenient"`` keeps going and routes invalid
-records to a reject split with a reason.  Both are single-pass projections,
-no Python.
+records to a reject split with a reason.  Both are projections, no Python.
+The commit time is parsed once for each record: the local time is a column of
+its own (``LOCAL_TS``), from which the day and, within a run, the fact's hour
+are taken.
 """
 
 from __future__ import annotations
@@ -28,8 +30,7 @@ REJECT_REASONS = ("malformed_json", "missing_commit_committer", "missing_field",
 
 
 def _fields(bronze: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """Read every needed field once; the parsed time is computed once too
-    (later steps refer to ``_ts`` instead of re-parsing)."""
+    """Read every needed field once; ``_ts`` is the parsed time."""
     cc = F.col("commit.committer")
     committer = F.col("committer")
     cols = [
@@ -67,7 +68,10 @@ def _reject_reason(f: DataFrame) -> Column:
     return reason
 
 
-def _flatten(offset_hours: int) -> list[Column]:
+LOCAL_TS = "local_ts"   # business wall clock of a row, carried within a run
+
+
+def _flatten(local: Column) -> list[Column]:
     return [
         F.coalesce(F.col("_sha"), F.lit("")).alias("commit_sha"),
         F.when(F.col("_unknown"), F.lit(-1).cast("bigint"))
@@ -75,49 +79,67 @@ def _flatten(offset_hours: int) -> list[Column]:
         F.col("_name").alias("committer_name"),
         F.col("_email").alias("committer_email"),
         F.col("_date").alias("committer_date"),
-        to_local(F.col("_ts"), offset_hours).cast("date").alias("dt"),
+        local.alias(LOCAL_TS),
     ]
 
 
+def _with_day(rows: DataFrame, carry_time: bool) -> DataFrame:
+    """The staging columns: ``dt`` from the parsed time, which is then dropped unless carried on."""
+    out = rows.withColumn("dt", F.col(LOCAL_TS).cast("date"))
+    order = ["commit_sha", "committer_id", "committer_name", "committer_email", "committer_date", "dt"]
+    rest = [c for c in out.columns if c not in order and (carry_time or c != LOCAL_TS)]
+    return out.select(*order, *rest)
+
+
 def normalize_commits(bronze: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS,
-                      mode: str = "strict", keep: tuple[str, ...] = ()) -> DataFrame:
+                      mode: str = "strict", keep: tuple[str, ...] = (), carry_time: bool = False) -> DataFrame:
     """Flatten bronze records to the staging schema.
 
-    strict: any invalid record raises (``raise_error`` inside a filter, so
-    the check cannot be pruned away by a later projection).  lenient: invalid
-    records are dropped here; get them with :func:`split_rejects`.
-    ``keep`` names extra input columns to carry through (e.g. the landed day).
+    strict: an invalid record raises when its time (or day) is read, which
+    every layer write and every fact does; the check is part of that value, so
+    it costs no second parse.  lenient: invalid records are dropped here; get
+    them with :func:`split_rejects`.  ``keep`` names extra input columns to
+    carry through (e.g. the landed day); ``carry_time`` keeps ``LOCAL_TS``.
     """
     f = _fields(bronze, keep)
     reason = _reject_reason(f)
+    local = to_local(F.col("_ts"), offset_hours)
     if mode == "strict":
-        ok = F.when(reason.isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(
+        local = F.when(reason.isNull(), local).otherwise(F.raise_error(F.concat(
             F.lit("invalid commit record ("), reason, F.lit("), sha="),
-            F.coalesce(F.col("_sha"), F.lit("<none>")))))
+            F.coalesce(F.col("_sha"), F.lit("<none>")))).cast("timestamp_ntz"))
     elif mode == "lenient":
-        ok = reason.isNull()
+        f = f.where(reason.isNull())
     else:
         raise ValueError("mode must be 'strict' or 'lenient'")
-    return (f.select("*", ok.alias("_ok")).where(F.col("_ok"))
-            .select(*_flatten(offset_hours), *[F.col(c) for c in keep]))
+    return _with_day(f.select(*_flatten(local), *[F.col(c) for c in keep]), carry_time)
 
 
-def split_rejects(bronze: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS,
-                  keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Lenient split: (valid staging rows, rejects with ``reject_reason``).
+def tag_rejects(bronze: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every record, flattened, with ``reject_reason`` (NULL: valid) and the
+    corrupt text when the input had a corrupt-record column."""
+    f = _fields(bronze, keep)
+    extra = [F.col(CORRUPT_COLUMN)] if CORRUPT_COLUMN in f.columns else []
+    tagged = f.select(*_flatten(to_local(F.col("_ts"), offset_hours)), _reject_reason(f).alias("reject_reason"),
+                      *extra, *[F.col(c) for c in keep])
+    return _with_day(tagged, carry_time=True)
+
 
-    Rejects keep the raw fields that could be read plus the corrupt text when
-    the input had a corrupt-record column; never a row with id -1 invented
-    from a broken file.
+def split_tagged(tagged: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(valid staging rows, rejects) of :func:`tag_rejects`.
+
+    Rejects keep the raw fields that could be read plus the corrupt text;
+    never a row with id -1 invented from a broken file.
     """
-    f = _fields(bronze, keep)
-    tagged = f.withColumn("reject_reason", _reject_reason(f))
     good = tagged.where(F.col("reject_reason").isNull()).select(
-        *_flatten(offset_hours), *[F.col(c) for c in keep])
-    raw = [F.coalesce(F.col("_sha"), F.lit("")).alias("commit_sha"),
-           F.col("_date").alias("committer_date")]
-    if CORRUPT_COLUMN in f.columns:
-        raw.append(F.col(CORRUPT_COLUMN))
+        "commit_sha", "committer_id", "committer_name", "committer_email", "committer_date", "dt", *keep)
+    extra = [CORRUPT_COLUMN] if CORRUPT_COLUMN in tagged.columns else []
     bad = tagged.where(F.col("reject_reason").isNotNull()).select(
-        *raw, F.col("reject_reason"), *[F.col(c) for c in keep])
+        "commit_sha", "committer_date", *extra, "reject_reason", *keep)
     return good, bad
+
+
+def split_rejects(bronze: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS,
+                  keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Lenient split: (valid staging rows, rejects with ``reject_reason``)."""
+    return split_tagged(tag_rejects(bronze, offset_hours, keep), keep)

@@ -1,15 +1,15 @@
 """Longest run of consecutive commit days per committer.
 
-The stages mirror the analyst query: daily activity -> streak boundaries
-(LAG) -> streak groups (running SUM) -> streak lengths -> per-committer
-maximum -> committers whose maximum equals the global maximum (RANK() = 1,
-all ties kept).
-
-Partitioning: the daily aggregate shuffles on (email, dt); both window
-functions and both later aggregations reuse one shuffle on email, and a
-committer's window partition holds one row per active day, however many
-commits they made.  The global maximum is a one-row aggregate that is
-broadcast into the final join.
+The stages of the analyst query are separate functions: daily activity ->
+streak boundaries (LAG) -> streak groups (running SUM) -> streak lengths.  The
+answer itself needs one window only: on a run of consecutive days, the day less
+its row number is constant.
+
+Partitioning: the distinct (email, dt) rows shuffle once; the window and both
+aggregates after it reuse one shuffle on email, and a committer's window holds
+one row per active day, however many commits they made.  The per-committer
+result passes an exchange that the global maximum and the comparison with it
+both read, so the window is evaluated once.
 """
 
 from __future__ import annotations
@@ -53,24 +53,24 @@ def streak_lengths(groups: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("streak_length")))
 
 
-def longest_streak_from_lengths(lengths: DataFrame) -> DataFrame:
-    per = lengths.groupBy("committer_email").agg(F.max("streak_length").alias("longest_streak"))
-    best = per.agg(F.max("longest_streak").alias("_best"))     # one row
-    return (per.join(F.broadcast(best), per["longest_streak"] == best["_best"], "inner")
+def committers_at_best(per: DataFrame) -> DataFrame:
+    """Rows (committer_email, longest_streak) that hold the largest length, ties included."""
+    per = per.repartition("committer_email")     # read by both branches below
+    # The maximum reads both columns, so both branches share one exchange.
+    best = per.agg(F.max(F.struct("longest_streak", "committer_email")).alias("_b")).select(F.col("_b.longest_streak").alias("_best"))
+    return (per.join(best, per["longest_streak"] == best["_best"], "inner")
             .select("committer_email", "longest_streak"))
 
 
 def longest_streak(fact: DataFrame) -> DataFrame:
     """Committer(s) with the longest streak: (committer_email, longest_streak)."""
-    return longest_streak_from_lengths(
-        streak_lengths(streak_groups(streak_boundaries(daily_activity(fact)))))
-
-
-def longest_streak_islands(fact: DataFrame) -> DataFrame:
-    """Same answer by gaps-and-islands: dt - row_number is constant on a run."""
     days = fact.select("committer_email", "dt").distinct()
     island = F.date_sub(F.col("dt"), F.row_number().over(_by_committer()))
-    lengths = (days.withColumn("streak_group", island)
-               .groupBy("committer_email", "streak_group")
+    lengths = (days.withColumn("island", island).groupBy("committer_email", "island")
                .agg(F.count(F.lit(1)).alias("streak_length")))
-    return longest_streak_from_lengths(lengths)
+    return committers_at_best(lengths.groupBy("committer_email").agg(F.max("streak_length").alias("longest_streak")))
+
+
+def longest_streak_from_lengths(lengths: DataFrame) -> DataFrame:
+    """The same answer from the stages' streak lengths."""
+    return committers_at_best(lengths.groupBy("committer_email").agg(F.max("streak_length").alias("longest_streak")))

@@ -17,7 +17,7 @@ def committer_totals(fact: DataFrame) -> DataFrame:
 
 def committer_rank(fact: DataFrame) -> DataFrame:
     """Every committer with RANK() OVER (ORDER BY sum_count DESC) as ``r``."""
-    return rank_desc(committer_totals(fact), "sum_count", "r").select(
+    return rank_desc(committer_totals(fact), "sum_count", ["committer_email"], "r").select(
         "committer_email", "sum_count", "r")
 
 

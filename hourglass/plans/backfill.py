@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from hourglass.functions.clock import LOCAL_OFFSET_HOURS
 from hourglass.operators.dims import d_date_rows
 from hourglass.operators.facts import hourly_fact, hourly_fact_by_key
-from hourglass.operators.checks import partition_guard
 from hourglass.operators.merge import upsert_d_date, upsert_fact
-from hourglass.operators.normalize import normalize_commits, split_rejects
+from hourglass.operators.normalize import normalize_commits, split_tagged, tag_rejects
+from hourglass.session import scratch_path
+from hourglass.sources.daystore import replace_days
 from hourglass.sources.landed import read_bronze, read_silver
 from hourglass.sources.warehouse import Warehouse
 
@@ -29,7 +30,7 @@ class RunResult:
     first: _dt.date
     last: _dt.date
     empty_days: dict[str, list[_dt.date]]     # per table: days left without rows
-    rows: dict[str, int]                      # per table: rows written for the range
+    days: dict[str, list[_dt.date]]           # per table: days that received rows
     rejects: DataFrame | None = None
 
 
@@ -41,8 +42,10 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
 
     ``mode="strict"`` fails on any invalid record or on a record whose day
     differs from the day folder it was landed in; ``"lenient"`` writes those
-    to ``reject_root`` (JSON, by landed day) and loads the rest.  The reject
-    write is its own job, so lenient mode reads bronze twice.
+    to ``reject_root`` (JSON, by landed day) and loads the rest.  A lenient
+    run parses bronze once: the flattened records are written with their
+    reject reason to the shared scratch folder, and both sides read from there.
+    The rejects of the range's days are replaced like every other layer.
     """
     if first > last:
         raise ValueError(f"first day {first} is after last day {last}")
@@ -57,38 +60,35 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
                               F.lit("commit landed in the wrong day folder: sha="),
                               F.col("commit_sha")))))
     else:
-        rows, bad = split_rejects(bronze, offset_hours, keep=("landed_dt",))
-        misplaced = partition_guard(rows).select(
-            "commit_sha", "committer_date", F.lit("wrong_day_folder").alias("reject_reason"),
-            "landed_dt")
-        rows = rows.where(F.col("dt").eqNullSafe(F.col("landed_dt")))
-        rejects = bad.unionByName(misplaced, allowMissingColumns=True)
+        tagged = tag_rejects(bronze, offset_hours, keep=("landed_dt",))
+        misplaced = F.when(F.col("reject_reason").isNull() & ~F.col("dt").eqNullSafe(F.col("landed_dt")),
+                           F.lit("wrong_day_folder"))
+        tagged = tagged.withColumn("reject_reason", F.coalesce(F.col("reject_reason"), misplaced))
+        held = scratch_path(spark, "tagged")
+        tagged.write.parquet(held)
+        rows, rejects = split_tagged(spark.read.schema(tagged.schema).parquet(held), keep=("landed_dt",))
         if reject_root:
-            (rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("landed_dt").json(reject_root))
+            replace_days(rejects, reject_root, "json", first, last, column="landed_dt")
     rows = rows.drop("landed_dt")
 
     # silver (JSON) then gold (Parquet, the staging table) converted from it.
-    # Every input split lies inside one day folder and every kept row has that
-    # day, so each day is written only by the tasks that read its files: one
-    # output file per day per split, with no shuffle.
+    # Spark deals small files to tasks by size, so a day of many pages is spread
+    # over many tasks: the flat rows are rebalanced on dt, which gives each day
+    # a few even files.  Gold is converted from silver's compacted days.
     if write_silver:
-        writes["silver_commits"] = wh.replace_days("silver_commits", rows, first, last, rebalance=False)
+        writes["silver_commits"] = wh.replace_days("silver_commits", rows, first, last)
         gold_in = read_silver(spark, wh.path("silver_commits"), first, last)
     else:
         gold_in = rows
-    writes["staging_commits"] = wh.replace_days("staging_commits", gold_in, first, last,
-                                                rebalance=False)
+    writes["staging_commits"] = wh.replace_days("staging_commits", gold_in, first, last, rebalance=not write_silver)
 
     staging = wh.days("staging_commits", first, last)
     # d_date before the fact, so every fact row has its date row when readers
-    # look.  The staging days are known from the staging write's own
-    # observation (at most one value per day of the range), so no scan of
-    # the new staging files is needed to find them.
+    # look.  The staging days are known from the folders that the staging write
+    # changed (at most one per day of the range), so no scan finds them.
     staged = spark.createDataFrame([(d,) for d in writes["staging_commits"].days], "dt date")
     new_dates = upsert_d_date(wh.days("d_date", first, last), d_date_rows(staged), first, last)
-    # d_date rows come out of a DISTINCT on dt (hash-partitioned by dt), so each
-    # day is already in one task: no rebalance needed for one file per day.
+    # One row per day: no rebalance needed for one file per day.
     writes["d_date"] = wh.replace_days("d_date", new_dates, first, last, rebalance=False)
     if on_duplicate == "combine":
         source = hourly_fact_by_key(staging, offset_hours)      # one aggregation, keyed for the join
@@ -99,4 +99,4 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
                            source_combined=on_duplicate == "combine")
     writes["f_commits_hourly"] = wh.replace_days("f_commits_hourly", new_fact, first, last)
     return RunResult(first, last, {t: w.empty_days for t, w in writes.items()},
-                     {t: w.rows for t, w in writes.items()}, rejects)
+                     {t: w.days for t, w in writes.items()}, rejects)

@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass.functions.clock import local_day
 from hourglass.operators.normalize import normalize_commits
 from hourglass.plans import scenarios as sc
 from hourglass.sources.events import events_as_bronze, events_as_faulty_bronze, read_events
-from hourglass.sources.landed import land_bronze, read_bronze, read_gold, read_silver
+from hourglass.sources.daystore import replace_days
+from hourglass.sources.landed import land_bronze, land_pages, read_bronze, read_gold, read_silver
 from hourglass.sources.schemas import STAGING_COLUMNS
 from hourglass.sources.warehouse import Warehouse
 from hourglass.session import scratch_path
@@ -24,14 +25,15 @@ from hourglass.session import scratch_path
 API_PAGE_SIZE = 100   # commits per page of the extractor
 
 
+def _landed(spark: SparkSession, sf_dir: str, email: str) -> DataFrame:
+    return events_as_bronze(read_events(spark, sf_dir), email).withColumn("dt", local_day(F.col("ts")))
+
+
 def _land(spark: SparkSession, sf_dir: str, email: str, root: str,
           records_per_file: int | None = None) -> tuple[_dt.date, _dt.date]:
     """Land events as bronze day folders; returns the first and last day."""
-    b = events_as_bronze(read_events(spark, sf_dir), email).withColumn("dt", local_day(F.col("ts")))
-    land_bronze(b, root, records_per_file)
-    r = read_events(spark, sf_dir).agg(F.min(local_day(F.col("ts"))).alias("a"),
-                                       F.max(local_day(F.col("ts"))).alias("b")).first()
-    return r["a"], r["b"]
+    land_bronze(_landed(spark, sf_dir, email), root, records_per_file)
+    return sc.bounds(spark, sf_dir)
 
 
 def _warehouse(spark: SparkSession, label: str) -> Warehouse:
@@ -55,6 +57,24 @@ def q_pages_union(spark, sf_dir):
     return normalize_commits(read_bronze(spark, root, first, last, layout="lines")).select(*STAGING_COLUMNS)
 
 
+def _array_scan(spark, sf_dir, page_size: int):
+    root = scratch_path(spark, "arrays")
+    land_pages(_landed(spark, sf_dir, "fine"), root, page_size)
+    first, last = sc.bounds(spark, sf_dir)
+    # Spark's text writer names its files .txt
+    return normalize_commits(read_bronze(spark, root, first, last, layout="array", file_glob="*.txt")).select(*STAGING_COLUMNS)
+
+
+def q_bronze_scan_array(spark, sf_dir):
+    """Bronze as the extractor lands it: files that hold one JSON array."""
+    return _array_scan(spark, sf_dir, 1000)
+
+
+def q_pages_union_array(spark, sf_dir):
+    """The same in pages of at most 100 commits."""
+    return _array_scan(spark, sf_dir, API_PAGE_SIZE)
+
+
 def q_silver_scan(spark, sf_dir):
     wh = _warehouse(spark, "silver")
     first, last = _land(spark, sf_dir, "fine", wh.bronze_path())
@@ -92,26 +112,68 @@ def q_backfill_rerun(spark, sf_dir):
     return _backfilled(spark, sf_dir, "rerun", runs=2).table("f_commits_hourly")
 
 
-def _lenient_run(spark, sf_dir) -> tuple[Warehouse, str]:
+def q_empty_day_rerun(spark, sf_dir):
+    """A range run, then a re-run with the run's middle day re-landed without
+    commits: the fact has lost that day and nothing else."""
+    from hourglass.plans.backfill import run_days
+    wh = _backfilled(spark, sf_dir, "emptyday")
+    days = sc.run_days_of(spark, sf_dir)
+    b = _landed(spark, sf_dir, "dirty").where(F.col("dt").between(F.lit(days[0]), F.lit(days[-1])))
+    replace_days(b.where(F.col("dt") != F.lit(days[1])).select("sha", "committer", "commit", "dt"),
+                 wh.bronze_path(), "json", days[0], days[-1])
+    run_days(wh, days[0], days[-1], layout="lines")
+    return wh.table("f_commits_hourly")
+
+
+def q_merge_reopened(spark, sf_dir):
+    """A range run; the same root opened anew under another database, as a new
+    process does; a re-run of the run's days with every id raised by 100.  Ids
+    of matched keys are the first run's, and all other days are still there."""
+    from hourglass.plans.backfill import run_days
+    first = _backfilled(spark, sf_dir, "reopened")
+    days = sc.run_days_of(spark, sf_dir)
+    b = _landed(spark, sf_dir, "dirty").where(F.col("dt").between(F.lit(days[0]), F.lit(days[-1])))
+    raised = F.transform_values("committer", lambda k, v: (v.cast("bigint") + 100).cast("string"))
+    replace_days(b.select("sha", raised.alias("committer"), "commit", "dt"), first.bronze_path(), "json", days[0], days[-1])
+    again = Warehouse(spark, first.root, first.database + "_again").create()
+    run_days(again, days[0], days[-1], layout="lines")
+    return again.table("f_commits_hourly")
+
+
+def _lenient_run(spark, sf_dir, mended: bool = False) -> tuple[Warehouse, str]:
     """Faulty records landed as bronze, then a lenient range run: valid rows
-    are loaded, the rest written to a reject folder."""
+    are loaded, the rest written to a reject folder.  ``mended``: the run's
+    days are landed again without faults, and re-run."""
     from hourglass.plans.backfill import run_days
     wh = _warehouse(spark, "lenient")
-    events = read_events(spark, sf_dir)
-    land_bronze(events_as_faulty_bronze(events).withColumn("dt", local_day(F.col("ts"))), wh.bronze_path())
-    r = events.agg(F.min(local_day(F.col("ts"))).alias("a"), F.max(local_day(F.col("ts"))).alias("b")).first()
+    land_bronze(events_as_faulty_bronze(read_events(spark, sf_dir)).withColumn("dt", local_day(F.col("ts"))), wh.bronze_path())
+    first, last = sc.bounds(spark, sf_dir)
     rejects = scratch_path(spark, "rejects")
-    run_days(wh, r["a"], r["b"], layout="lines", mode="lenient", reject_root=rejects)
+    run_days(wh, first, last, layout="lines", mode="lenient", reject_root=rejects)
+    if mended:
+        days = sc.run_days_of(spark, sf_dir)
+        b = _landed(spark, sf_dir, "fine").where(F.col("dt").between(F.lit(days[0]), F.lit(days[-1])))
+        land_bronze(b, wh.bronze_path())
+        run_days(wh, days[0], days[-1], layout="lines", mode="lenient", reject_root=rejects)
     return wh, rejects
 
 
-def q_lenient_rejects(spark, sf_dir):
-    """Rejected records of a lenient run, read back from the reject folder."""
-    _, rejects = _lenient_run(spark, sf_dir)
+def _rejects(spark, sf_dir, mended: bool):
+    _, rejects = _lenient_run(spark, sf_dir, mended)
     return (spark.read.schema("commit_sha STRING, committer_date STRING, reject_reason STRING")
             .json(rejects).select("commit_sha", "committer_date", "reject_reason"))
 
 
+def q_lenient_rejects(spark, sf_dir):
+    """Rejected records of a lenient run, read back from the reject folder."""
+    return _rejects(spark, sf_dir, mended=False)
+
+
+def q_lenient_rejects_rerun(spark, sf_dir):
+    """The rejects after days without faults were run again: theirs are gone."""
+    return _rejects(spark, sf_dir, mended=True)
+
+
 def q_lenient_fact(spark, sf_dir):
     """The fact table a lenient run builds from the valid records only."""
     wh, _ = _lenient_run(spark, sf_dir)
@@ -119,44 +181,65 @@ def q_lenient_fact(spark, sf_dir):
 
 
 def q_staging_day(spark, sf_dir):
-    """One day of staging_commits after a backfill (partition pruned scan)."""
-    wh = _backfilled(spark, sf_dir, "stagingday")
-    return wh.days("staging_commits", sc.STAGING_DAY, sc.STAGING_DAY).select(*STAGING_COLUMNS)
+    """One day of staging_commits: the table is loaded, one day folder read."""
+    wh = _warehouse(spark, "stagingday")
+    first, last = _land(spark, sf_dir, "dirty", wh.bronze_path())
+    rows = normalize_commits(read_bronze(spark, wh.bronze_path(), first, last, layout="lines"))
+    wh.replace_days("staging_commits", rows, first, last)
+    day = sc.run_days_of(spark, sf_dir)[0]
+    return wh.days("staging_commits", day, day).select(*STAGING_COLUMNS)
 
 
 def queries() -> dict:
     return {
         "bronze_scan": q_bronze_scan,
         "pages_union": q_pages_union,
+        "bronze_scan_array": q_bronze_scan_array,
+        "pages_union_array": q_pages_union_array,
         "silver_scan": q_silver_scan,
         "gold_parquet": q_gold_parquet,
         "backfill_range": q_backfill_range,
         "backfill_rerun": q_backfill_rerun,
         "staging_day": q_staging_day,
+        "empty_day_rerun": q_empty_day_rerun,
+        "merge_reopened": q_merge_reopened,
+        "lenient_rejects_rerun": q_lenient_rejects_rerun,
         "lenient_rejects": q_lenient_rejects,
         "lenient_fact": q_lenient_fact,
     }
 
 
 def oracle_sql() -> dict:
-    from hourglass.plans.oracle import (FAULTY, STAGING_DAY, combined_cte, commits_cte, fact_cte,
-                                        reject_sql)
+    from hourglass.plans.oracle import FAULTY, RUN, combined_cte, commits_cte, fact_cte, reject_sql
     staging = f"""WITH {commits_cte('fine')}
 SELECT commit_sha, committer_id, committer_name, committer_email, committer_date, dt FROM commits"""
     backfill = f"""WITH {commits_cte('dirty')}, {fact_cte()}, {combined_cte('fact', 'f')}
 SELECT d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FROM f"""
     return {
         "bronze_scan": staging,
+        "bronze_scan_array": staging,
         "pages_union": staging,
+        "pages_union_array": staging,
         "silver_scan": staging,
         "gold_parquet": staging,
         "backfill_range": backfill,
         "backfill_rerun": backfill,
+        "empty_day_rerun": f"""WITH {RUN}, {commits_cte('dirty')}, {fact_cte()}, {combined_cte('fact', 'f')}
+SELECT d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FROM f, run WHERE dt <> run.day + 1""",
+        # NULL emails never match, so their rows are inserted anew, with the second run's ids
+        "merge_reopened": f"""WITH {RUN}, {commits_cte('dirty')}, {fact_cte()}, {combined_cte('fact', 'f')}
+SELECT d_date_id, d_time_id,
+       CASE WHEN committer_email IS NULL AND dt BETWEEN run.day AND run.day + 2 AND committer_id >= 0
+            THEN committer_id + 100 ELSE committer_id END AS committer_id,
+       committer_email, commit_count, dt FROM f, run""",
         "lenient_rejects": reject_sql(),
+        "lenient_rejects_rerun": f"""WITH {RUN}
+SELECT r.commit_sha, r.committer_date, r.reject_reason FROM ({reject_sql(', CAST(ts + INTERVAL 7 HOUR AS DATE) AS dt')}) AS r, run
+WHERE r.dt NOT BETWEEN run.day AND run.day + 2""",
         "lenient_fact": f"""WITH {commits_cte('fine', where=f'NOT ({FAULTY})')}, {fact_cte()},
 {combined_cte('fact', 'f')}
 SELECT d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FROM f""",
-        "staging_day": f"""WITH {commits_cte('dirty')}
+        "staging_day": f"""WITH {RUN}, {commits_cte('dirty')}
 SELECT commit_sha, committer_id, committer_name, committer_email, committer_date, dt
-FROM commits WHERE dt = {STAGING_DAY}""",
+FROM commits, run WHERE dt = run.day""",
     }

@@ -16,10 +16,10 @@ EMAIL = {
               "ELSE event_type || CAST(user_id % 7 AS VARCHAR) || '@example.com' END"),
 }
 
-RUN_FIRST = "DATE '2024-01-15'"
-RUN_LAST = "DATE '2024-01-16'"
-SNAPSHOT = "TIMESTAMP '2024-01-15 05:00:00'"
-STAGING_DAY = "DATE '2024-01-15'"
+# the run's first day: the middle day of the table
+RUN = """run AS (
+  SELECT min(d) + CAST(floor((max(d) - min(d)) / 2) AS INTEGER) AS day
+  FROM (SELECT CAST(date_trunc('second', ts) + INTERVAL 7 HOUR AS DATE) AS d FROM events))"""
 
 
 def commits_cte(email: str, name: str = "commits", where: str = "TRUE") -> str:
@@ -83,78 +83,85 @@ SELECT t.d_time_id, t.hour_range_str, CAST(COALESCE(p.commit_count, 0) AS BIGINT
 FROM d_time t LEFT JOIN per p ON t.d_time_id = p.d_time_id"""
 
 
-def heatmap_sql(d_time_cte: str, distinct: bool) -> str:
+def heatmap_sql(d_time_cte: str, distinct: bool, days: str = "TRUE") -> str:
+    """Each cell as a filtered sum over (day, label, count) rows."""
     cells = ",\n    ".join(
-        f"CAST(SUM(CASE WHEN hour_range_str = '{x}' THEN commit_count ELSE 0 END) AS BIGINT) AS \"{x}\""
-        for x in LABELS)
+        f"CAST(coalesce(sum(n) FILTER (WHERE label = '{x}'), 0) AS BIGINT) AS \"{x}\"" for x in LABELS)
     return f"""WITH {commits_cte('coarse')}, {fact_cte()}, {d_date_cte()}, {d_time_cte},
-tmp AS (
-  SELECT {'DISTINCT' if distinct else 'ALL'} d.weekday, d.weekday_number, t.hour_range_str, f.commit_count
-  FROM fact f
-  LEFT JOIN d_date d ON f.d_date_id = d.d_date_id
-  LEFT JOIN d_time t ON f.d_time_id = t.d_time_id)
+known AS (SELECT d_date_id AS k, weekday, weekday_number FROM d_date WHERE {days}),
+counts AS (
+  SELECT {'DISTINCT ' if distinct else ''}known.weekday, known.weekday_number, d_time.hour_range_str AS label, fact.commit_count AS n
+  FROM fact LEFT JOIN known ON known.k = fact.d_date_id LEFT JOIN d_time USING (d_time_id))
 SELECT weekday,
     {cells}
-FROM tmp GROUP BY weekday, weekday_number ORDER BY weekday_number NULLS FIRST"""
+FROM counts GROUP BY ALL ORDER BY min(weekday_number) NULLS FIRST"""
 
 
+# Streaks as islands: on a run of consecutive days, the day less its row number is constant.
 STREAK_CTES = f"""{commits_cte('fine')}, {fact_cte()},
-daily AS (
+days AS (SELECT committer_email, dt, sum(commit_count) AS commits FROM fact GROUP BY ALL),
+islands AS (
   SELECT committer_email, dt,
-         CAST(CASE WHEN SUM(commit_count) = 0 THEN 0 ELSE 1 END AS BIGINT) AS has_commit
-  FROM fact GROUP BY committer_email, dt),
-bounds AS (
-  SELECT committer_email, dt,
-         CAST(CASE WHEN LAG(dt) OVER (PARTITION BY committer_email ORDER BY dt) IS NULL
-                     OR datediff('day', LAG(dt) OVER (PARTITION BY committer_email ORDER BY dt), dt) > 1
-                   THEN 1 ELSE 0 END AS BIGINT) AS new_streak
-  FROM daily),
-groups AS (
-  SELECT committer_email, dt,
-         CAST(SUM(new_streak) OVER (PARTITION BY committer_email ORDER BY dt) AS BIGINT) AS streak_group
-  FROM bounds),
-lengths AS (
-  SELECT committer_email, streak_group, COUNT(*) AS streak_length
-  FROM groups GROUP BY committer_email, streak_group)"""
+         dt - CAST(row_number() OVER (PARTITION BY committer_email ORDER BY dt) AS INTEGER) AS island
+  FROM days),
+runs AS (
+  SELECT committer_email, island, count(*) AS run,
+         row_number() OVER (PARTITION BY committer_email ORDER BY island) AS number
+  FROM islands GROUP BY committer_email, island)"""
+
+
+TARGET_COMMITS = f"""{RUN}, {commits_cte('dirty')}, {fact_cte()},
+{commits_cte('dirty', 'old_all', 'event_id % 3 <> 0')},
+old_commits AS (SELECT old_all.* FROM old_all, run WHERE dt <> run.day + 2),
+{commits_cte('dirty', 'new_all', 'event_id % 5 <> 0')},
+new_commits AS (SELECT new_all.* FROM new_all, run WHERE dt BETWEEN run.day AND run.day + 2 AND dt <> run.day + 1)"""
+
+FACT_COLUMNS = "d_date_id, d_time_id, committer_id, committer_email, commit_count, dt"
 
 
 def merge_fact_sql(delete_zero: bool) -> str:
-    keep_zero = "WHERE commit_count <> 0" if delete_zero else ""
-    return f"""WITH {commits_cte('dirty')}, {fact_cte()},
-{commits_cte('dirty', 'snap_commits', f'ts < {SNAPSHOT}')},
-{fact_cte('snap_commits', 'snap_fact_raw')},
-{combined_cte('snap_fact_raw', 'tgt')},
-{combined_cte(f'(SELECT * FROM fact WHERE dt BETWEEN {RUN_FIRST} AND {RUN_LAST})', 'src')},
-merged AS (
-  SELECT CASE WHEN t.dt IS NOT NULL THEN t.d_date_id ELSE s.d_date_id END AS d_date_id,
-         CASE WHEN t.dt IS NOT NULL THEN t.d_time_id ELSE s.d_time_id END AS d_time_id,
-         CASE WHEN t.dt IS NOT NULL THEN t.committer_id ELSE s.committer_id END AS committer_id,
-         CASE WHEN t.dt IS NOT NULL THEN t.committer_email ELSE s.committer_email END AS committer_email,
-         CASE WHEN s.dt IS NOT NULL THEN s.commit_count ELSE 0 END AS commit_count,
-         CASE WHEN t.dt IS NOT NULL THEN t.dt ELSE s.dt END AS dt
-  FROM (SELECT * FROM tgt WHERE dt BETWEEN {RUN_FIRST} AND {RUN_LAST}) t
-  FULL OUTER JOIN src s
-    ON t.committer_email = s.committer_email AND t.d_time_id = s.d_time_id AND t.d_date_id = s.d_date_id)
-SELECT * FROM tgt WHERE dt IS NULL OR NOT (dt BETWEEN {RUN_FIRST} AND {RUN_LAST})
+    """The merge as three disjoint parts: what stays, what the source brings, what it lacks."""
+    zeroed = "" if delete_zero else """
+UNION ALL
+SELECT d_date_id, d_time_id, committer_id, committer_email, CAST(0 AS BIGINT) AS commit_count, dt FROM tgt, run
+WHERE dt BETWEEN run.day AND run.day + 2
+  AND NOT EXISTS (SELECT 1 FROM src WHERE src.committer_email = tgt.committer_email
+                  AND src.d_time_id = tgt.d_time_id AND src.d_date_id = tgt.d_date_id)"""
+    return f"""WITH {TARGET_COMMITS},
+{fact_cte('old_commits', 'old_fact')}, {combined_cte('old_fact', 'tgt')},
+{fact_cte('new_commits', 'new_fact')}, {combined_cte('new_fact', 'src')}
+SELECT {FACT_COLUMNS} FROM tgt, run WHERE dt NOT BETWEEN run.day AND run.day + 2
 UNION ALL
-SELECT * FROM merged {keep_zero}"""
+SELECT d_date_id, d_time_id, coalesce(
+         (SELECT max(tgt.committer_id) FROM tgt WHERE tgt.committer_email = src.committer_email
+          AND tgt.d_time_id = src.d_time_id AND tgt.d_date_id = src.d_date_id), committer_id) AS committer_id,
+       committer_email, commit_count, dt FROM src{zeroed}"""
 
 
 # events whose record the faulty adapter breaks (see sources.events)
 FAULTY = "event_id % 83 = 0 OR event_id % 89 = 0 OR (event_id % 79 = 0 AND event_id % 11 <> 0)"
 
 
-def reject_sql() -> str:
+def reject_sql(more: str = "") -> str:
     return f"""SELECT CAST(event_id AS VARCHAR) AS commit_sha,
        CASE WHEN event_id % 89 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE strftime(ts, {TS_FMT}) END
          AS committer_date,
        CASE WHEN event_id % 83 = 0 THEN 'missing_field'
             WHEN event_id % 89 = 0 THEN 'bad_date'
-            ELSE 'bad_committer_id' END AS reject_reason
+            ELSE 'bad_committer_id' END AS reject_reason{more}
 FROM events
 WHERE {FAULTY}"""
 
 
+def window_sql(days: str) -> str:
+    return f"""WITH {commits_cte('fine')}
+SELECT dt,
+       strftime(CAST(dt AS TIMESTAMP) - INTERVAL 7 HOUR, {TS_FMT}) AS api_since,
+       strftime(CAST(dt AS TIMESTAMP) + INTERVAL 17 HOUR - INTERVAL 1 SECOND, {TS_FMT}) AS api_until,
+       COUNT(*) AS commits
+FROM commits WHERE {days} GROUP BY dt"""
+
+
 def oracle_sql() -> dict[str, str]:
     fine = commits_cte("fine")
     sql = {
@@ -175,13 +182,15 @@ SELECT d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FRO
 SELECT committer_email, CAST(SUM(commit_count) AS BIGINT) AS sum_count FROM fact GROUP BY committer_email""",
 
         "committer_rank": f"""WITH {fine}, {fact_cte()},
-agg AS (SELECT committer_email, CAST(SUM(commit_count) AS BIGINT) AS sum_count FROM fact GROUP BY committer_email)
-SELECT committer_email, sum_count, CAST(RANK() OVER (ORDER BY sum_count DESC) AS BIGINT) AS r FROM agg""",
+totals AS (SELECT committer_email, CAST(sum(commit_count) AS BIGINT) AS n FROM fact GROUP BY ALL)
+SELECT committer_email, n AS sum_count,
+       1 + (SELECT count(*) FROM totals AS larger WHERE larger.n > totals.n) AS r FROM totals""",
 
         "top_committers": f"""WITH {fine}, {fact_cte()},
-agg AS (SELECT committer_email, CAST(SUM(commit_count) AS BIGINT) AS sum_count FROM fact GROUP BY committer_email)
-SELECT committer_email, sum_count, CAST(RANK() OVER (ORDER BY sum_count DESC) AS BIGINT) AS r
-FROM agg ORDER BY r ASC, committer_email ASC NULLS FIRST LIMIT 5""",
+totals AS (SELECT committer_email, CAST(sum(commit_count) AS BIGINT) AS n FROM fact GROUP BY ALL)
+SELECT committer_email, n AS sum_count,
+       1 + (SELECT count(*) FROM totals AS larger WHERE larger.n > totals.n) AS r
+FROM totals ORDER BY n DESC, committer_email NULLS FIRST LIMIT 5""",
 
         "d_date": f"""WITH {fine}, {d_date_cte()}
 SELECT d_date_id, date_str, weekday, weekday_number, dt FROM d_date""",
@@ -196,43 +205,48 @@ FROM fact f
 LEFT JOIN d_date d ON f.d_date_id = d.d_date_id
 LEFT JOIN d_time t ON f.d_time_id = t.d_time_id""",
 
+        "fact_enriched_gaps": f"""WITH {commits_cte('coarse')}, {fact_cte()}, {d_date_cte()}, {D_TIME_3H},
+known AS (SELECT * FROM d_date WHERE day(dt) % 6 <> 0)
+SELECT fact.d_date_id, fact.d_time_id, fact.committer_email, fact.commit_count, fact.dt,
+       known.weekday, known.weekday_number, d_time.hour_range_str
+FROM fact LEFT JOIN known ON known.d_date_id = fact.d_date_id LEFT JOIN d_time ON d_time.d_time_id = fact.d_time_id""",
+
         "heatmap": heatmap_sql(D_TIME_3H, distinct=False),
         "heatmap_distinct_3h": heatmap_sql(D_TIME_3H, distinct=True),
         "heatmap_literal": heatmap_sql(D_TIME_LITERAL, distinct=True),
-
-        "daily_activity": f"WITH {STREAK_CTES}\nSELECT committer_email, dt, has_commit FROM daily",
-        "streak_boundaries": f"WITH {STREAK_CTES}\nSELECT committer_email, dt, new_streak FROM bounds",
-        "streak_groups": f"WITH {STREAK_CTES}\nSELECT committer_email, dt, streak_group FROM groups",
-        "streak_lengths": f"WITH {STREAK_CTES}\nSELECT committer_email, streak_group, streak_length FROM lengths",
-        "longest_streak": f"""WITH {STREAK_CTES},
-ranked AS (
-  SELECT committer_email, MAX(streak_length) AS longest_streak,
-         RANK() OVER (ORDER BY MAX(streak_length) DESC) AS r
-  FROM lengths GROUP BY committer_email)
-SELECT committer_email, longest_streak FROM ranked WHERE r = 1""",
-
-        "merge_d_date": f"""WITH {commits_cte('dirty')},
-{commits_cte('dirty', 'snap_commits', f'ts < {SNAPSHOT}')},
-{d_date_cte('commits', 'src_all')}, {d_date_cte('snap_commits', 'tgt')},
-src AS (SELECT * FROM src_all WHERE dt BETWEEN {RUN_FIRST} AND {RUN_LAST})
-SELECT * FROM tgt WHERE dt IS NULL OR NOT (dt BETWEEN {RUN_FIRST} AND {RUN_LAST})
+        "heatmap_gaps": heatmap_sql(D_TIME_3H, distinct=False, days="day(dt) % 6 <> 0"),
+
+        "daily_activity": f"""WITH {STREAK_CTES}
+SELECT committer_email, dt, CAST(least(commits, 1) AS BIGINT) AS has_commit FROM days""",
+        "streak_boundaries": f"""WITH {STREAK_CTES}
+SELECT committer_email, dt, CAST(NOT EXISTS (
+         SELECT 1 FROM days AS eve WHERE eve.committer_email = days.committer_email AND eve.dt = days.dt - 1) AS BIGINT) AS new_streak
+FROM days""",
+        "streak_groups": f"""WITH {STREAK_CTES}
+SELECT committer_email, dt, number AS streak_group FROM islands JOIN runs USING (committer_email, island)""",
+        "streak_lengths": f"WITH {STREAK_CTES}\nSELECT committer_email, number AS streak_group, run AS streak_length FROM runs",
+        "longest_streak": f"""WITH {STREAK_CTES}
+SELECT DISTINCT committer_email, run AS longest_streak FROM runs WHERE run = (SELECT max(run) FROM runs)""",
+
+        "merge_d_date": f"""WITH {TARGET_COMMITS},
+{d_date_cte('old_commits', 'tgt_rows')}, {d_date_cte('new_commits', 'src')},
+tgt AS (SELECT * REPLACE (CASE WHEN d_date_id % 2 = 0 THEN 'old ' || weekday ELSE weekday END AS weekday) FROM tgt_rows)
+SELECT tgt.* FROM tgt, run WHERE dt NOT BETWEEN run.day AND run.day + 2 OR dt IN (SELECT dt FROM src)
 UNION ALL
-SELECT CASE WHEN t.dt IS NOT NULL THEN t.d_date_id ELSE s.d_date_id END AS d_date_id,
-       CASE WHEN t.dt IS NOT NULL THEN t.date_str ELSE s.date_str END AS date_str,
-       CASE WHEN t.dt IS NOT NULL THEN t.weekday ELSE s.weekday END AS weekday,
-       CASE WHEN t.dt IS NOT NULL THEN t.weekday_number ELSE s.weekday_number END AS weekday_number,
-       CASE WHEN t.dt IS NOT NULL THEN t.dt ELSE s.dt END AS dt
-FROM src s LEFT JOIN (SELECT * FROM tgt WHERE dt BETWEEN {RUN_FIRST} AND {RUN_LAST}) t ON s.dt = t.dt""",
+SELECT * FROM src WHERE dt NOT IN (SELECT dt FROM tgt)""",
 
         "merge_fact": merge_fact_sql(delete_zero=False),
         "fact_delete_zero": merge_fact_sql(delete_zero=True),
 
-        "local_day_window": f"""WITH {fine}
-SELECT dt,
-       strftime(CAST(dt AS TIMESTAMP) - INTERVAL 7 HOUR, {TS_FMT}) AS api_since,
-       strftime(CAST(dt AS TIMESTAMP) + INTERVAL 17 HOUR - INTERVAL 1 SECOND, {TS_FMT}) AS api_until,
-       COUNT(*) AS commits
-FROM commits GROUP BY dt""",
+        "merge_error_policy": f"""WITH {TARGET_COMMITS},
+{fact_cte('old_commits', 'old_fact')}, {combined_cte('old_fact', 'tgt')}
+SELECT {FACT_COLUMNS} FROM tgt, run WHERE dt NOT BETWEEN run.day AND run.day + 2
+UNION ALL
+SELECT {FACT_COLUMNS} FROM fact, run WHERE dt BETWEEN run.day AND run.day + 2""",
+
+        "local_day_window": window_sql("TRUE"),
+        "local_day_window_inner": window_sql(
+            "dt BETWEEN (SELECT min(dt) + 4 FROM commits) AND (SELECT max(dt) - 4 FROM commits)"),
 
         "partition_guard": f"""WITH {commits_cte('dirty')}
 SELECT commit_sha, CAST(ts AS DATE) AS landed_dt, dt FROM commits WHERE dt <> CAST(ts AS DATE)""",
@@ -243,11 +257,20 @@ SELECT commit_sha, CAST(ts AS DATE) AS landed_dt, dt FROM commits WHERE dt <> CA
 SELECT committer_email, d_time_id, d_date_id, COUNT(*) AS n
 FROM fact GROUP BY committer_email, d_time_id, d_date_id HAVING COUNT(*) > 1""",
 
-        "fk_orphans": f"""WITH {commits_cte('dirty')}, {fact_cte()},
-{commits_cte('dirty', 'snap_commits', f'ts < {SNAPSHOT}')}, {d_date_cte('snap_commits', 'tgt_d_date')}
-SELECT f.* FROM fact f
-WHERE f.d_date_id IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM tgt_d_date d WHERE d.d_date_id = f.d_date_id)""",
+        "pk_violations_sha": f"""WITH {fine}
+SELECT commit_sha, CAST(2 AS BIGINT) AS n FROM commits WHERE CAST(commit_sha AS BIGINT) % 13 = 0""",
+
+        "pk_violations_d_date": f"""WITH {RUN}, {fine}
+SELECT DISTINCT CAST(strftime(dt, '%Y%m%d') AS BIGINT) AS d_date_id, CAST(2 AS BIGINT) AS n FROM commits, run WHERE dt >= run.day""",
+
+        "pk_violations_declared": f"""WITH {commits_cte('dirty')}, {fact_cte()}
+SELECT committer_email, d_date_id, count(*) AS n FROM fact GROUP BY ALL HAVING n > 1""",
+
+        "fk_orphans": f"""WITH {TARGET_COMMITS}
+SELECT {FACT_COLUMNS} FROM fact WHERE dt NOT IN (SELECT dt FROM old_commits)""",
+
+        "fk_orphans_d_time": f"""WITH {commits_cte('dirty')}, {fact_cte()}
+SELECT {FACT_COLUMNS} FROM fact WHERE d_time_id IN (0, 6, 12, 18)""",
     }
     from hourglass.plans.files import oracle_sql as file_sql
     sql.update(file_sql())

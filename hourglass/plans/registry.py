@@ -7,6 +7,7 @@ Spark, so its work grows with the data.  The DuckDB text for each is in
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from hourglass.functions.clock import (
 )
 from hourglass.operators import checks, streaks
 from hourglass.operators.dims import d_date_rows, d_time
+from hourglass.operators.facts import hourly_fact
 from hourglass.operators.heatmap import fact_enriched, heatmap
 from hourglass.operators.merge import merge_d_date_table, merge_fact_table
 from hourglass.operators.normalize import normalize_commits, split_rejects
@@ -74,6 +76,21 @@ def _fact_and_dates(spark, sf_dir, email):
     return f, d_date_rows(f)
 
 
+def _gaps(d_date):
+    """A date dimension without every sixth day of a month."""
+    return d_date.where(F.dayofmonth("dt") % 6 != 0)
+
+
+def q_fact_enriched_gaps(spark, sf_dir):
+    f, dd = _fact_and_dates(spark, sf_dir, "coarse")
+    return fact_enriched(f, _gaps(dd), d_time(spark, "3h"))
+
+
+def q_heatmap_gaps(spark, sf_dir):
+    f, dd = _fact_and_dates(spark, sf_dir, "coarse")
+    return heatmap(f, _gaps(dd), d_time(spark, "3h"))
+
+
 def q_fact_enriched(spark, sf_dir):
     f, dd = _fact_and_dates(spark, sf_dir, "coarse")
     return fact_enriched(f, dd, d_time(spark, "3h"))
@@ -121,39 +138,56 @@ def q_longest_streak(spark, sf_dir):
 
 # --- step 4: merges ------------------------------------------------------------
 def q_merge_d_date(spark, sf_dir):
-    source = sc.d_date(spark, sf_dir, "dirty")
-    return merge_d_date_table(sc.snapshot_d_date(spark, sf_dir), source, sc.RUN_FIRST, sc.RUN_LAST)
+    days = sc.run_days_of(spark, sf_dir)
+    return merge_d_date_table(sc.target_d_date(spark, sf_dir), d_date_rows(sc.source_staging(spark, sf_dir)), days[0], days[-1])
+
+
+def _merged(spark, sf_dir, delete_zero: bool):
+    days = sc.run_days_of(spark, sf_dir)
+    return merge_fact_table(sc.target_fact(spark, sf_dir), hourly_fact(sc.source_staging(spark, sf_dir)),
+                            days[0], days[-1], "combine", delete_zero=delete_zero)
 
 
 def q_merge_fact(spark, sf_dir):
     """The MERGE statement alone: target-only rows of the run are kept at 0."""
-    return merge_fact_table(sc.snapshot_fact(spark, sf_dir), sc.fact(spark, sf_dir, "dirty"),
-                            sc.RUN_FIRST, sc.RUN_LAST, "combine", delete_zero=False)
+    return _merged(spark, sf_dir, delete_zero=False)
 
 
 def q_fact_delete_zero(spark, sf_dir):
     """MERGE followed by the zero-count DELETE: the table a reader sees."""
-    return merge_fact_table(sc.snapshot_fact(spark, sf_dir), sc.fact(spark, sf_dir, "dirty"),
-                            sc.RUN_FIRST, sc.RUN_LAST, "combine", delete_zero=True)
+    return _merged(spark, sf_dir, delete_zero=True)
+
+
+def q_merge_error_policy(spark, sf_dir):
+    """The as-written policy on a first load of the run's days: keys that the
+    source holds twice match nothing and are inserted twice (a second run
+    would fail)."""
+    days = sc.run_days_of(spark, sf_dir)
+    target = sc.target_fact(spark, sf_dir).where(~F.col("dt").between(F.lit(days[0]), F.lit(days[-1])))
+    return merge_fact_table(target, sc.fact(spark, sf_dir, "dirty"), days[0], days[-1], "error")
 
 
 # --- step 5: extraction rules ------------------------------------------------
-def q_local_day_window(spark, sf_dir):
-    """Commits per business day as extracted with the API window predicate.
-
-    The first and last business day come from a one-row aggregate, so the
-    window spans the whole table.
-    """
-    events = read_events(spark, sf_dir)
-    bounds = events.agg(F.min(local_day(F.col("ts"))).alias("a"),
-                        F.max(local_day(F.col("ts"))).alias("b")).first()
-    picked = events.where(local_day_window(F.col("ts"), bounds["a"], bounds["b"]))
+def _window(spark, sf_dir, inner: int):
+    """Commits per business day as extracted with the API window predicate,
+    from ``inner`` days after the first day to as many before the last."""
+    first, last = sc.bounds(spark, sf_dir)
+    inside = _dt.timedelta(days=inner)
+    picked = read_events(spark, sf_dir).where(local_day_window(F.col("ts"), first + inside, last - inside))
     day = local_day(F.col("ts"))
     since, until = api_window_text(F.col("dt"))
     return (picked.groupBy(day.alias("dt")).agg(F.count(F.lit(1)).alias("commits"))
             .select("dt", since.alias("api_since"), until.alias("api_until"), "commits"))
 
 
+def q_local_day_window(spark, sf_dir):
+    return _window(spark, sf_dir, 0)
+
+
+def q_local_day_window_inner(spark, sf_dir):
+    return _window(spark, sf_dir, 4)
+
+
 def q_partition_guard(spark, sf_dir):
     """Rows an extractor that cut days at UTC midnight would land in the wrong
     day partition: (commit_sha, landed_dt, dt)."""
@@ -174,11 +208,35 @@ def q_pk_violations(spark, sf_dir):
     return checks.pk_violations(sc.fact(spark, sf_dir, "fine"), list(FACT_MERGE_KEY))
 
 
+def q_pk_violations_sha(spark, sf_dir):
+    """The declared key of staging: commits that two pages both hold."""
+    rows = sc.staging(spark, sf_dir, "fine").select("commit_sha")
+    again = rows.where(F.col("commit_sha").cast("bigint") % 13 == 0)
+    return checks.pk_violations(rows.union(again), ["commit_sha"])
+
+
+def q_pk_violations_d_date(spark, sf_dir):
+    """The declared key of d_date, after an append in place of a merge."""
+    days = sc.run_days_of(spark, sf_dir)
+    rows = sc.d_date(spark, sf_dir, "dirty")
+    return checks.pk_violations(rows.union(rows.where(F.col("dt") >= F.lit(days[0]))), ["d_date_id"])
+
+
+def q_pk_violations_declared(spark, sf_dir):
+    """The fact's declared key (email, date), which its hourly grain breaks."""
+    return checks.pk_violations(sc.fact(spark, sf_dir, "dirty"), ["committer_email", "d_date_id"])
+
+
 def q_fk_orphans(spark, sf_dir):
-    """Fact rows loaded before their d_date row (the two loads run in
-    parallel): full fact against the snapshot's date dimension."""
-    return checks.fk_orphans(sc.fact(spark, sf_dir, "dirty"), sc.snapshot_d_date(spark, sf_dir),
-                             "d_date_id", broadcast_dim=True)
+    """Fact rows whose day has no d_date row: the full fact against the
+    merge target's date dimension."""
+    return checks.fk_orphans(sc.fact(spark, sf_dir, "dirty"), sc.target_d_date(spark, sf_dir), "d_date_id")
+
+
+def q_fk_orphans_d_time(spark, sf_dir):
+    """The same for hours, against a dimension that lacks every sixth one."""
+    some = d_time(spark, "3h").where(F.col("d_time_id") % 6 != 0)
+    return checks.fk_orphans(sc.fact(spark, sf_dir, "dirty"), some, "d_time_id")
 
 
 def queries() -> dict[str, Query]:
@@ -196,6 +254,8 @@ def queries() -> dict[str, Query]:
         "heatmap": _heat("3h", False),
         "heatmap_distinct_3h": _heat("3h", True),
         "heatmap_literal": _heat("literal", True),
+        "fact_enriched_gaps": q_fact_enriched_gaps,
+        "heatmap_gaps": q_heatmap_gaps,
         "daily_activity": q_daily_activity,
         "streak_boundaries": q_streak_boundaries,
         "streak_groups": q_streak_groups,
@@ -204,10 +264,16 @@ def queries() -> dict[str, Query]:
         "merge_d_date": q_merge_d_date,
         "merge_fact": q_merge_fact,
         "fact_delete_zero": q_fact_delete_zero,
+        "merge_error_policy": q_merge_error_policy,
         "local_day_window": q_local_day_window,
+        "local_day_window_inner": q_local_day_window_inner,
         "partition_guard": q_partition_guard,
         "reject_split": q_reject_split,
         "pk_violations": q_pk_violations,
+        "pk_violations_sha": q_pk_violations_sha,
+        "pk_violations_d_date": q_pk_violations_d_date,
+        "pk_violations_declared": q_pk_violations_declared,
         "fk_orphans": q_fk_orphans,
+        "fk_orphans_d_time": q_fk_orphans_d_time,
         **files.queries(),
     }

@@ -4,14 +4,15 @@ The email mapping per use follows the data's shape: ``fine`` (one committer
 per user) for rankings and streaks, ``coarse`` (five committers) for the heat
 map, ``dirty`` (NULL emails, several ids per key) for merges and checks.
 
-Merge scenario: the warehouse as left by an earlier run that saw only the
-commits made before ``SNAPSHOT_UTC`` (12:00 local on RUN_FIRST, so that day
-was half loaded), then a range re-run over RUN_FIRST..RUN_LAST with all
-commits.  That exercises every arm: matched keys (morning hours), inserted
-keys (afternoon and the next day), target-only keys (NULL emails never match,
-so old NULL-email rows are zeroed and deleted while the new ones are
-inserted), committer_id kept from the target on a match, and days outside the
-run left untouched.
+Merge scenario.  All dates come from the data: the run covers three business
+days from the middle day of the table on.  The target holds what an earlier run
+left, for all days: the commits without those whose ``event_id`` is divisible
+by 3, and nothing on the run's last day.  The source is the commits without
+those divisible by 5, and nothing on the run's middle day.  So the run meets
+keys in both tables (with other counts and ids), keys in the target only
+(non-NULL ones too), keys in the source only, a day that disappears, a day that
+is new, and many days outside the run that stay.  The target's d_date rows of
+even days carry another weekday text, which a matched row must keep.
 """
 
 from __future__ import annotations
@@ -21,16 +22,28 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourglass.functions.clock import local_day
 from hourglass.operators.dims import d_date_rows
 from hourglass.operators.facts import hourly_fact
 from hourglass.operators.merge import combine_duplicate_keys
 from hourglass.operators.normalize import normalize_commits
 from hourglass.sources.events import events_as_bronze, read_events
 
-RUN_FIRST = _dt.date(2024, 1, 15)
-RUN_LAST = _dt.date(2024, 1, 16)
-SNAPSHOT_UTC = _dt.datetime(2024, 1, 15, 5, 0, 0)
-STAGING_DAY = _dt.date(2024, 1, 15)
+RUN_DAYS = 3
+
+
+def bounds(spark: SparkSession, sf_dir: str) -> tuple[_dt.date, _dt.date]:
+    """First and last business day of the table (one row)."""
+    day = local_day(F.col("ts"))
+    r = read_events(spark, sf_dir).agg(F.min(day).alias("a"), F.max(day).alias("b")).first()
+    return r["a"], r["b"]
+
+
+def run_days_of(spark: SparkSession, sf_dir: str) -> list[_dt.date]:
+    """The run's three days, the first of them the middle day of the table."""
+    first, last = bounds(spark, sf_dir)
+    middle = first + _dt.timedelta(days=(last - first).days // 2)
+    return [middle + _dt.timedelta(days=k) for k in range(RUN_DAYS)]
 
 
 def bronze(spark: SparkSession, sf_dir: str, email: str) -> DataFrame:
@@ -42,23 +55,29 @@ def staging(spark: SparkSession, sf_dir: str, email: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str, email: str) -> DataFrame:
-    return hourly_fact(staging(spark, sf_dir, email))
+    return hourly_fact(normalize_commits(bronze(spark, sf_dir, email), carry_time=True))
 
 
 def d_date(spark: SparkSession, sf_dir: str, email: str) -> DataFrame:
     return d_date_rows(staging(spark, sf_dir, email))
 
 
-def snapshot_staging(spark: SparkSession, sf_dir: str, email: str = "dirty") -> DataFrame:
-    """Staging as the earlier run saw it: commits before the snapshot."""
-    b = bronze(spark, sf_dir, email).where(F.col("ts") < F.lit(SNAPSHOT_UTC).cast("timestamp_ntz"))
-    return normalize_commits(b)
+def _without(spark: SparkSession, sf_dir: str, divisor: int, day: _dt.date) -> DataFrame:
+    """``dirty`` commits with local times, but for some ids and one day."""
+    sha = F.col("sha").cast("bigint")
+    rows = normalize_commits(bronze(spark, sf_dir, "dirty").where(sha % divisor != 0), carry_time=True)
+    return rows.where(F.col("dt") != F.lit(day))
+
+
+def target_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combine_duplicate_keys(hourly_fact(_without(spark, sf_dir, 3, run_days_of(spark, sf_dir)[2])))
 
 
-def snapshot_fact(spark: SparkSession, sf_dir: str, email: str = "dirty") -> DataFrame:
-    """Fact table after the earlier run (an upsert into an empty table)."""
-    return combine_duplicate_keys(hourly_fact(snapshot_staging(spark, sf_dir, email)))
+def target_d_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = d_date_rows(_without(spark, sf_dir, 3, run_days_of(spark, sf_dir)[2]))
+    other = F.concat(F.lit("old "), F.col("weekday"))
+    return rows.withColumn("weekday", F.when(F.col("d_date_id") % 2 == 0, other).otherwise(F.col("weekday")))
 
 
-def snapshot_d_date(spark: SparkSession, sf_dir: str, email: str = "dirty") -> DataFrame:
-    return d_date_rows(snapshot_staging(spark, sf_dir, email))
+def source_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _without(spark, sf_dir, 5, run_days_of(spark, sf_dir)[1])

@@ -18,10 +18,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # A folder under a day-partitioned root whose name is not a date (e.g. a
-    # leftover "dt=2024-01-02_old") gets a NULL dt and is excluded by the day
-    # filters, instead of failing every read of the root.
-    "spark.sql.sources.validatePartitionColumns": "false",
     "spark.ui.enabled": "false",
 }
 

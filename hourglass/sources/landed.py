@@ -1,8 +1,9 @@
 """Landed JSON layers (bronze, silver) and the gold Parquet layer.
 
 All three are Hive-style day folders ``<root>/dt=YYYY-MM-DD/``.  Reads declare
-the schema (never inferred), keep only ``*.json`` files and select days with a
-partition filter on ``dt``, so only the wanted folders are listed and read.
+the schema (never inferred), keep only ``*.json`` files and name the exact
+day folders they want (``sources.daystore``), so no other day's files are
+listed or read.
 
 Bronze comes in two layouts, chosen by the caller and never guessed:
 
@@ -20,41 +21,34 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StringType
 
+from hourglass.sources.daystore import read_days
 from hourglass.sources.schemas import BRONZE_COMMIT, CORRUPT_COLUMN, STAGING, with_field
 
 LAYOUTS = ("array", "lines")
 _DT = StructField("dt", DateType())
 
 
-def _json_reader(spark: SparkSession, schema, layout: str, mode: str):
+def _json_reader(spark: SparkSession, layout: str, mode: str, file_glob: str = "*.json"):
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     if mode not in ("strict", "lenient"):
         raise ValueError("mode must be 'strict' or 'lenient'")
-    r = (spark.read.schema(schema)
+    r = (spark.read
          .option("multiLine", layout == "array")
-         .option("pathGlobFilter", "*.json")
+         .option("pathGlobFilter", file_glob)
          .option("mode", "FAILFAST" if mode == "strict" else "PERMISSIVE"))
     if mode == "lenient":
         r = r.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     return r
 
 
-def _days(df: DataFrame, first: _dt.date | None, last: _dt.date | None) -> DataFrame:
-    if first is None and last is None:
-        return df
-    first = first or _dt.date.min
-    last = last or _dt.date.max
-    return df.where(F.col("dt").between(F.lit(first), F.lit(last)))
-
-
 def read_bronze(spark: SparkSession, root: str, first: _dt.date | None = None,
                 last: _dt.date | None = None, layout: str = "array",
-                mode: str = "strict") -> DataFrame:
+                mode: str = "strict", file_glob: str = "*.json") -> DataFrame:
     """Bronze commit objects of days first..last, with the folder's day as
     ``landed_dt``.
 
@@ -67,8 +61,8 @@ def read_bronze(spark: SparkSession, root: str, first: _dt.date | None = None,
     if mode == "lenient":
         schema = with_field(schema, StructField(CORRUPT_COLUMN, StringType()))
     schema = with_field(schema, _DT)
-    df = _json_reader(spark, schema, layout, mode).json(root)
-    return _days(df, first, last).withColumnRenamed("dt", "landed_dt")
+    df = read_days(_json_reader(spark, layout, mode, file_glob), spark, root, "json", schema, first, last)
+    return df.withColumnRenamed("dt", "landed_dt")
 
 
 def land_bronze(bronze: DataFrame, root: str, records_per_file: int | None = None) -> None:
@@ -86,14 +80,29 @@ def land_bronze(bronze: DataFrame, root: str, records_per_file: int | None = Non
     w.json(root)
 
 
+def land_pages(bronze: DataFrame, root: str, page_size: int = 100) -> None:
+    """Write commit objects (with a ``dt`` column) as pages: files that hold
+    one JSON array of at most ``page_size`` commits each, as the REST extractor
+    lands them.  A day's commits are dealt to pages by a hash and the day's
+    count; a page that comes out too long goes on in further ones, so no group
+    is larger than about a page.
+    """
+    rows = bronze.select("dt", F.struct("sha", "committer", "commit").alias("one"), F.xxhash64("sha").alias("place"))
+    pages = rows.groupBy("dt").agg(F.ceil(F.count(F.lit(1)) * 2 / page_size).alias("pages"))
+    dealt = rows.join(pages, "dt").withColumn("page", F.pmod("place", F.col("pages")))
+    row = F.row_number().over(Window.partitionBy("dt", "page").orderBy("place"))
+    dealt = dealt.withColumn("part", F.floor((row - 1) / page_size))
+    arrays = dealt.groupBy("dt", "page", "part").agg(F.to_json(F.collect_list("one")).alias("value")).select("value", "dt")
+    (arrays.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 1)
+     .partitionBy("dt").text(root))
+
+
 def read_silver(spark: SparkSession, root: str, first: _dt.date | None = None,
                 last: _dt.date | None = None, mode: str = "strict") -> DataFrame:
     """Flat commit rows from silver JSON Lines; ``dt`` comes from the folder."""
-    df = _json_reader(spark, STAGING, "lines", mode).json(root)
-    return _days(df, first, last)
+    return read_days(_json_reader(spark, "lines", mode), spark, root, "json", STAGING, first, last)
 
 
 def read_gold(spark: SparkSession, root: str, first: _dt.date | None = None,
               last: _dt.date | None = None) -> DataFrame:
-    df = spark.read.schema(STAGING).parquet(root)
-    return _days(df, first, last)
+    return read_days(spark.read, spark, root, "parquet", STAGING, first, last)

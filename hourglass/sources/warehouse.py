@@ -1,17 +1,20 @@
-"""The star schema as day-partitioned catalog tables over one root folder.
+"""The star schema as day-partitioned tables over one root folder.
 
-Every table is partitioned by ``dt`` and rewritten a whole day at a time:
+Every table is partitioned by ``dt`` and rewritten a whole day at a time (see
+``sources.daystore``).  The folders are the truth: reads and merges go by day
+folder, so a new process, another database or another catalog over the same
+root sees all days that were ever written.
 
-* ``replace_days`` writes the rows of days first..last with *dynamic*
-  partition overwrite, so only days that receive rows are replaced and the
-  rest of the table is untouched.  A day of the range that receives no rows
-  would keep its old files under dynamic overwrite; such days are found from
-  the same write (an observed ``collect_set(dt)``, bounded by the range
-  length) and cleared with a static ``INSERT OVERWRITE .. PARTITION``.
-* A table may be read and rewritten by the same job (the merge reads the
-  target days it replaces): new files are staged and moved into place at job
-  commit, after every task has read its input, so a lost executor is simply
-  recomputed from the old files.
+A table may be read and rewritten by the same job (the merge reads the target
+days it replaces): new files are staged and moved into place at job commit,
+after every task has read its input, so a lost executor is simply recomputed
+from the old files.
+
+For SQL users the tables are also declared in the session's catalog.
+``create`` registers every day folder that exists and each write registers its
+own days, so the catalog follows the folders.  With Spark's default in-memory
+catalog the declarations (and views) end with the process; a persistent
+catalog keeps them.
 
 ``d_date`` is kept partitioned by ``dt`` as well (one row per day), which
 turns its merge into the same day replacement; ``staging_commits`` is declared
@@ -22,17 +25,16 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
-import uuid
-
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from hourglass.operators.dims import d_time
+from hourglass.sources.daystore import DayWrite, day_range, existing_days, read_days, replace_days
 from hourglass.sources.schemas import D_DATE, D_TIME, F_COMMITS_HOURLY, STAGING
 
+__all__ = ["TABLES", "DayWrite", "Warehouse", "day_range"]
+
 # name -> (schema, format, folder below the root, partitioned)
 TABLES: dict[str, tuple[StructType, str, str, bool]] = {
     "silver_commits": (STAGING, "json", "silver/commits", True),
@@ -41,6 +43,7 @@ TABLES: dict[str, tuple[StructType, str, str, bool]] = {
     "f_commits_hourly": (F_COMMITS_HOURLY, "parquet", "warehouse/f_commits_hourly", True),
     "d_time": (D_TIME, "parquet", "warehouse/d_time", False),
 }
+DAYS_PER_STATEMENT = 200
 
 
 def _ddl_columns(schema: StructType) -> str:
@@ -51,19 +54,6 @@ def _quote(path: str) -> str:
     return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-@dataclass
-class DayWrite:
-    """Outcome of one day replacement: rows written, days that received rows,
-    days left empty."""
-    rows: int
-    days: list[_dt.date]
-    empty_days: list[_dt.date]
-
-
-def day_range(first: _dt.date, last: _dt.date) -> list[_dt.date]:
-    return [first + _dt.timedelta(days=i) for i in range((last - first).days + 1)]
-
-
 class Warehouse:
     """Tables of one deployment: ``<database>.<name>`` at ``<root>/<folder>``."""
 
@@ -85,8 +75,9 @@ class Warehouse:
         return os.path.join(self.root, "bronze", "commits")
 
     def create(self) -> "Warehouse":
-        """Create database and tables if missing (idempotent); ``d_time`` is
-        computed once, when it does not exist yet."""
+        """Create database and tables if missing (idempotent), and register
+        the days that the folders hold.  ``d_time`` is computed once, when its
+        folder does not exist yet."""
         s = self.spark
         s.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` "
               f"LOCATION {_quote(os.path.join(self.root, '_catalog'))}")
@@ -94,56 +85,45 @@ class Warehouse:
             part = "PARTITIONED BY (dt)" if partitioned else ""
             s.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({_ddl_columns(schema)}) "
                   f"USING {fmt} {part} LOCATION {_quote(self.path(table))}")
+            if partitioned:
+                self._register(table, list(existing_days(s, self.path(table))), [])
         if self.table("d_time").isEmpty():
-            d_time(s, self.d_time_variant).write.insertInto(self.name("d_time"), overwrite=True)
+            d_time(s, self.d_time_variant).write.mode("overwrite").parquet(self.path("d_time"))
+            s.catalog.refreshTable(self.name("d_time"))
         return self
 
+    def _register(self, table: str, days: list[_dt.date], gone: list[_dt.date]) -> None:
+        """Bring the catalog's partitions in line with the day folders."""
+        for verb, some in (("ADD IF NOT EXISTS", days), ("DROP IF EXISTS", gone)):
+            for at in range(0, len(some), DAYS_PER_STATEMENT):
+                parts = [f"PARTITION (dt = DATE'{d.isoformat()}')" for d in some[at:at + DAYS_PER_STATEMENT]]
+                self.spark.sql(f"ALTER TABLE {self.name(table)} {verb} {(' ' if verb.startswith('ADD') else ', ').join(parts)}")
+        self.spark.catalog.refreshTable(self.name(table))
+
     def table(self, table: str) -> DataFrame:
-        return self.spark.table(self.name(table))
+        if not TABLES[table][3]:
+            return self.spark.table(self.name(table))
+        return self.days(table, None, None)
 
-    def days(self, table: str, first: _dt.date, last: _dt.date) -> DataFrame:
-        return self.table(table).where(F.col("dt").between(F.lit(first), F.lit(last)))
+    def days(self, table: str, first: _dt.date | None, last: _dt.date | None) -> DataFrame:
+        """The rows of days first..last, read from exactly those day folders."""
+        schema, fmt, _, _ = TABLES[table]
+        return read_days(self.spark.read, self.spark, self.path(table), fmt, schema, first, last)
 
     # -- writes -------------------------------------------------------------
     def replace_days(self, table: str, rows: DataFrame, first: _dt.date, last: _dt.date,
                      rebalance: bool = True) -> DayWrite:
         """Make days first..last of ``table`` hold exactly ``rows`` (restricted
-        to those days).  Returns the row count and the days that were cleared
-        for lack of rows, both observed on the write job itself.
+        to those days).  Returns the days written and the days left empty.
 
         ``rebalance``: shuffle rows on ``dt`` before writing; AQE merges small
         days into one task and splits a very large day across several, so a
         day gets a few even files instead of one file per input task.  Pass
-        False when every input task already holds a single day (rows read
-        from day folders through narrow steps), which saves the shuffle.
+        False when every day is already in one input task, which saves the
+        shuffle.
         """
-        schema = TABLES[table][0]
-        cols = [f.name for f in schema.fields]
-        out = rows.where(F.col("dt").between(F.lit(first), F.lit(last))).select(*cols)
-        obs = Observation(f"days_{table}_{uuid.uuid4().hex}")   # names must be unique per session
-        out = out.observe(obs, F.collect_set("dt").alias("days"), F.count(F.lit(1)).alias("rows"))
-        if rebalance:
-            out = out.hint("rebalance", "dt")
-        (out.write
-         .option("partitionOverwriteMode", "dynamic")
-         .insertInto(self.name(table), overwrite=True))
-        try:
-            metrics = obs.get
-        except Exception:
-            # The write succeeded but no task ran the observed node: the input
-            # had no partitions at all, so no day received rows.
-            metrics = {}
-        written = set(metrics.get("days") or [])
-        empty = [d for d in day_range(first, last) if d not in written]
-        for day in empty:
-            self.clear_day(table, day)
-        return DayWrite(int(metrics.get("rows") or 0), sorted(written), empty)
-
-    def clear_day(self, table: str, day: _dt.date) -> None:
-        """Remove one day partition (static overwrite with no rows)."""
-        schema = TABLES[table][0]
-        nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString().upper()})"
-                          for f in schema.fields if f.name != "dt")
-        day = _dt.date.fromordinal(day.toordinal())   # a real date, rendered by isoformat
-        self.spark.sql(f"INSERT OVERWRITE {self.name(table)} PARTITION (dt = DATE'{day.isoformat()}') "
-                       f"SELECT {nulls} WHERE false")
+        schema, fmt, _, _ = TABLES[table]
+        done = replace_days(rows.select(*[f.name for f in schema.fields]), self.path(table), fmt, first, last,
+                            rebalance=rebalance)
+        self._register(table, done.days, done.empty_days)
+        return done

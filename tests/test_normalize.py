@@ -65,10 +65,10 @@ def test_invalid_records(spark, tmp_path, rec, reason):
     assert [(r.commit_sha, r.reject_reason) for r in bad.collect()] == [(rec["sha"], reason)]
 
 
-def test_strict_check_survives_projection(spark, tmp_path):
+def test_strict_check_is_part_of_the_day(spark, tmp_path):
     bronze = _read(spark, tmp_path, [commit("b7", {"id": 1}, drop=("date",))])
     with pytest.raises(Exception, match="invalid commit record"):
-        normalize_commits(bronze).select("commit_sha").collect()
+        normalize_commits(bronze).select("dt").collect()
 
 
 def test_empty_files_and_other_suffixes(spark, tmp_path):

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from hourglass.functions.clock import local_day, local_hour, parse_commit_ts
 from hourglass.operators.merge import merge_fact_table
 from hourglass.operators.ranking import rank_desc
-from hourglass.operators.streaks import longest_streak, longest_streak_islands
+from hourglass.operators.streaks import (daily_activity, longest_streak, longest_streak_from_lengths,
+                                         streak_boundaries, streak_groups, streak_lengths)
 from hourglass.sources.schemas import F_COMMITS_HOURLY
 
 SETTINGS = settings(max_examples=15, deadline=None,
@@ -92,7 +93,8 @@ def test_longest_streak_brute_force(spark, days_by_email):
     fact = _fact(spark, rows)
     want = _py_streak(days_by_email)
     assert sorted(map(tuple, longest_streak(fact).collect())) == want
-    assert sorted(map(tuple, longest_streak_islands(fact).collect())) == want
+    assert sorted(map(tuple, longest_streak_from_lengths(
+        streak_lengths(streak_groups(streak_boundaries(daily_activity(fact))))).collect())) == want
 
 
 D1, D2, D3 = dt.date(2024, 1, 9), dt.date(2024, 1, 10), dt.date(2024, 1, 11)
@@ -142,7 +144,7 @@ def test_merge_fact_model(spark, target_rows, source_rows, run):
 @given(st.lists(st.one_of(st.none(), st.integers(0, 6)), min_size=1, max_size=30))
 def test_rank_desc_brute_force(spark, values):
     df = spark.createDataFrame(list(enumerate(values)), "k bigint, v bigint")
-    got = {r.k: r.r for r in rank_desc(df, "v").collect()}
+    got = {r.k: r.r for r in rank_desc(df, "v", ["k"]).collect()}
     nonnull = [v for v in values if v is not None]
     want = {}
     for k, v in enumerate(values):
