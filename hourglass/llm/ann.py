@@ -14,9 +14,10 @@ Scores are cosines in double precision on the original vectors.  Equal
 vectors have equal scores, so each different vector is filed once with its
 ``k + 1`` smallest ids, which are all that any result can hold of them.
 
-Skew.  Equal vectors are cut to their smallest ids before the shuffle; leaves
-with many rows or queries are dealt to blocks of bounded size, each of which
-is scored as one group, and each group hands on ``k`` rows a query.
+Skew.  Equal vectors are cut to their smallest ids before the shuffle.  Leaves that
+are neighbours in the tree share a block of bounded rows, a leaf with more has
+several, and a block's queries come in slices of bounded size; each block and
+slice is scored as one group, which hands on ``k`` rows a query.
 
 Edge cases: vectors that are null, empty or zero, or hold null or non-finite
 components, take no part, nor do rows with a null id or another dimension than
@@ -41,7 +42,8 @@ from hourglass.llm.common import saved, table
 K = 5
 SAMPLE_ROWS, LEAF_ROWS, BRANCH, ROUNDS = 20_000, 256, 16, 8
 CALIBRATION_QUERIES, RECALL = 128, 0.98
-BLOCK_ROWS, BLOCK_QUERIES = 1024, 2048
+BLOCK_ROWS, BLOCK_QUERIES, QUERIES_AT_ONCE = 8192, 2048, 64
+NOT_VISITED = -9.0
 TIE = 1e-9
 
 
@@ -160,8 +162,8 @@ def _filed(distinct: DataFrame, held) -> DataFrame:
 
 def _nearest(query: np.ndarray, own: int, rows: np.ndarray, near: np.ndarray, ids, k: int) -> list[tuple[int, float, int]]:
     """(id, score, row) of the ``k`` best other ids, from rough scores ``near``."""
-    least = np.partition(near, len(near) - k - 1)[len(near) - k - 1] if len(near) > k + 1 else -2.0
-    at = np.flatnonzero(near >= least - TIE)
+    least = np.partition(near, len(near) - k - 1)[len(near) - k - 1] if len(near) > k + 1 else NOT_VISITED
+    at = np.flatnonzero((near >= least - TIE) & (near > NOT_VISITED))
     found = [(-s, int(i), r) for s, r in zip(cosines(query, rows[at]), at.tolist()) for i in ids[r] if i != own]
     return [(i, -s, r) for s, i, r in heapq.nsmallest(k, found)]
 
@@ -201,6 +203,22 @@ def calibrate(tree: Tree, queries: list[tuple[int, np.ndarray]], truth: dict[int
     return min(visits, every)
 
 
+def _blocks(filed: DataFrame) -> DataFrame:
+    """leaf, first, parts: leaves next to each other in the tree share a block
+    of about ``BLOCK_ROWS`` rows; a leaf with more rows has ``parts`` blocks of
+    its own, numbered from ``first``."""
+    rows, block, held = [], 0, 0
+    for leaf, n in filed.groupBy("leaf").count().orderBy("leaf").collect():
+        parts = -(-n // BLOCK_ROWS)
+        if held and held + n > BLOCK_ROWS:
+            block, held = block + 1, 0
+        if held and parts > 1:
+            block, held = block + 1, 0
+        rows.append((leaf, block, parts))
+        block, held = (block, held + n) if parts == 1 else (block + parts, 0)
+    return filed.sparkSession.createDataFrame(rows, "leaf long, first long, parts long")
+
+
 def search(rows: DataFrame, *, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K,
            sample_rows: int = SAMPLE_ROWS, leaf_rows: int = LEAF_ROWS, recall: float = RECALL,
            calibration_queries: int = CALIBRATION_QUERIES) -> DataFrame:
@@ -227,25 +245,38 @@ def search(rows: DataFrame, *, is_query: Column, id_col: str = "vec_id", vec_col
                 yield pdf
 
     asked = queries.mapInPandas(walk, "vec_id long, vec array<double>, leaf array<long>")
-    asked = saved(asked.select(F.col("vec_id").alias("query_id"), F.col("vec").alias("query"), F.explode("leaf").alias("leaf")), "asked")
-    # Blocks of a leaf: so many of its rows, so many of its queries.
-    blocks = filed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("row_blocks")).join(
-        asked.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_QUERIES).alias("query_blocks")), "leaf")
-    left = (filed.join(blocks, "leaf").withColumn("a", F.pmod(place, F.col("row_blocks")))
-            .withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("query_blocks") - 1))).select("leaf", "a", "b", "vec", "ids"))
-    right = (asked.join(blocks, "leaf").withColumn("b", F.pmod(F.xxhash64("query_id"), F.col("query_blocks")))
-             .withColumn("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("row_blocks") - 1))).select("leaf", "a", "b", "query_id", "query"))
+    asked = asked.select(F.col("vec_id").alias("query_id"), F.col("vec").alias("query"), F.explode("leaf").alias("leaf"))
+    blocks = F.broadcast(_blocks(filed))  # a row per leaf: bounded by the sample that the tree was fitted on
+    left = filed.join(blocks, "leaf").select((F.col("first") + F.pmod(place, F.col("parts"))).alias("block"), "leaf", "vec", "ids")
+    # A query goes to a block once, with all leaves that it visits there.
+    own = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("parts") - 1)).alias("block")
+    asked = asked.join(blocks, "leaf").select("query_id", "query", "leaf", own)
+    right = saved(asked.groupBy("block", "query_id", "query").agg(F.collect_set("leaf").alias("leaves")), "asked")
+    slices = saved(right.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_QUERIES).alias("slices")), "slices")
+    left = left.join(slices, "block").select(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), "leaf", "vec", "ids")
+    right = right.join(slices.withColumnsRenamed({"block": "of_block", "slices": "n"}), F.col("block") == F.col("of_block")).select(
+        "block", F.pmod(F.xxhash64("query_id"), F.col("n")).alias("slice"), "query_id", "query", "leaves")
 
     def score(data: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(data) and len(asked):
-            rows, ids, queries = matrix(data["vec"]), data["ids"].tolist(), matrix(asked["query"])
-            near = unit(queries) @ unit(rows).T
-            for own, q, s in zip(asked["query_id"].tolist(), queries, near):
-                found += [(own, q, i, score) for i, score, _ in _nearest(q, own, rows, s, ids, k)]
+            data = data.sort_values("leaf", kind="stable")
+            rows, ids, leaf = matrix(data["vec"]), data["ids"].tolist(), data["leaf"].to_numpy()
+            scaled = unit(rows)
+            for at in range(0, len(asked), QUERIES_AT_ONCE):
+                part = asked.iloc[at:at + QUERIES_AT_ONCE]
+                queries, visited = matrix(part["query"]), [set(v) for v in part["leaves"]]
+                near = np.full((len(part), len(rows)), NOT_VISITED)
+                for node in sorted(set(leaf.tolist())):
+                    a, b = np.searchsorted(leaf, [node, node + 1])
+                    own = [k for k, v in enumerate(visited) if node in v]
+                    near[own, a:b] = unit(queries[own]) @ scaled[a:b].T if own else 0
+                for own, q, s in zip(part["query_id"].tolist(), queries, near):
+                    found += [(own, q, i, score) for i, score, _ in _nearest(q, own, rows, s, ids, k)]
         return pd.DataFrame(found, columns=["query_id", "query", "vec_id", "score"])
 
-    keys = ["leaf", "a", "b"]
+    keys = ["block", "slice"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         score, "query_id long, query array<double>, vec_id long, score double")
     order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
