@@ -45,7 +45,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from hourglass.llm.common import map_rows, saved, struct, table
 
 LENGTH = 400
-SHARD_BYTES, CROWD_BYTES = 4 << 20, 32 << 20
+SHARD_BYTES, CROWD_BYTES = 2 << 20, 32 << 20
 STARTS_AT_ONCE = 1 << 18
 PLACE = np.uint64((1 << 20) - 1)
 CODES = 60_000
@@ -299,7 +299,8 @@ def repeats(docs: DataFrame, *, length: int = LENGTH, shard_bytes: int = SHARD_B
     the intervals of repeated window starts of that text)."""
     marked = saved(_marked(docs, length), "marked")
     each = marked.select(*KEY, F.inline(F.arrays_zip("h", "r", "first", "last")))
-    met = each.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # Written first, so that the join below has a plain shuffle on either side, whose hot anchors Spark can split.
+    met = saved(each.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "met")
     again = saved(each.join(met, "h", "left_semi"), "again")
     where = F.struct(*KEY, "first", "last")
     equal = saved(again.groupBy("h", "r").agg(F.count("*").alias("n"), F.min(where).alias("at")), "equal")
