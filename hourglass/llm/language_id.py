@@ -1,14 +1,17 @@
 """Language identification by compression.
 
 Each language has a raw-content Zstandard dictionary made of texts in it.  A
-whole text, reduced to its lower-case words, is encoded once with each
-dictionary; the language whose encoding is smallest is predicted.  All texts
-are encoded after the same short run of spaces, whose gain keeps short blocks
-from being stored as they are.  Ties go to the language with more rows.
-
-The score is the margin: the share by which the smallest encoding is smaller
-than the second, both less what the run alone takes.  A text is rejected if
-its margin is below ``reject_margin`` or if it has no letter.
+whole text, reduced to its lower-case words, is encoded with each dictionary
+in blocks of ``BLOCK_BYTES``, each one afresh; the language whose encodings
+are smallest in sum is predicted.  All blocks are encoded after the same short
+run of spaces, whose gain keeps short blocks from being stored as they are.
+Ties go to the language with more rows.
+
+The score is the margin: the share by which the smallest sum is smaller than
+the second, both less what the runs alone take.  A text is rejected if its
+margin is below ``reject_margin`` or if it has no letter.  Blocks keep the
+margin of a long text where that of a block is: encoded in one piece, a text
+soon matches itself, and what a dictionary saves is lost in its length.
 
 Learning takes a bounded sample: about ``sample_rows`` different texts for
 each language, chosen by a hash of the text over all labelled rows, of each
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 from hourglass.llm.common import map_rows, table
 
 DICTIONARY_BYTES, LEVEL = 65536, 6
+BLOCK_BYTES = 16384
 SAMPLE_ROWS, SAMPLE_CHARS = 1024, 500
 REJECT_MARGIN = 0.002
 UNKNOWN = "und"
@@ -83,13 +87,14 @@ class Identifier:
         text = (raw or b"").decode()
         if not self.names or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, True
-        text = _RUN + words_only(text)
-        sizes = [len(c.compress(text)) for c in self.coders]
+        text = words_only(text)
+        blocks = [_RUN + text[at:at + BLOCK_BYTES] for at in range(0, len(text), BLOCK_BYTES)]
+        sizes = [sum(len(c.compress(b)) for b in blocks) for c in self.coders]
         best = sizes.index(min(sizes))
         if len(sizes) == 1:
             return self.names[0], 1.0, False
         second = min(sizes[:best] + sizes[best + 1:])
-        margin = (second - sizes[best]) / max(second - self.base, 1)
+        margin = (second - sizes[best]) / max(second - self.base * len(blocks), 1)
         margin = min(max(margin, 0.0), 1.0)
         return self.names[best], margin, margin < self.reject_margin
 
