@@ -8,8 +8,10 @@ of ``documents``.
 * ``language_id``: documents that the identifier rejects (no letter, or no
   language ahead) go.  It learns from the stage's own labelled rows outside
   the held-out fold.
-* ``simhash_dedup``: of each near-duplicate component the document with the
-  smallest ``doc_id`` stays; of rows with one ``doc_id``, one.
+* ``simhash_dedup``: of each near-duplicate component one row stays, the one
+  with the smallest ``doc_id`` (nulls last), of several the one whose hash over
+  all columns is smallest.  Rows of different components all stay, whatever
+  their ids.
 * ``decontaminate``: documents with any hit word go.
 * ``secret_scan``: each secret becomes ``[SECRET]`` and ``n_chars`` follows.
 * ``bpe``: ids, their number and digest, and the digest of the bytes that
@@ -56,11 +58,17 @@ def stage_language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def stage_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     own = _Renamed(docs)
     doc_id, text = own.of["doc_id"], own.of["text"]
-    found = saved(simhash.near_duplicates(own.docs, id_col=doc_id, text_col=text), "near")
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("rows"))
-    kept = own.docs.join(first.hint("shuffle_hash"), F.col(doc_id).eqNullSafe(first["doc_id"]), "left_semi")
+    # 128 bits over the whole row: with them an id, null or repeated, names one row and its exact repetitions.
+    row = [x for c in own.docs.columns for x in (F.col(c).isNull(), F.col(c).cast("string"))]
+    marked = own.docs.withColumns({"hash_a": F.xxhash64(F.lit(0), *row), "hash_b": F.xxhash64(F.lit(1), *row)})
+    found = saved(simhash.near_duplicates(marked, id_col=doc_id, text_col=text, keep=["hash_a", "hash_b"]), "near")
+    each = found.groupBy("root", "doc_id", "hash_a", "hash_b").agg(F.count("*").alias("rows"))
+    first = each.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash_a", "hash_b", "rows")).alias("first"))
+    first = saved(first.select("first.doc_id", F.col("first.hash_a").alias("a"), F.col("first.hash_b").alias("b"), "first.rows"), "first")
+    same = F.col(doc_id).eqNullSafe(F.col("doc_id")) & (F.col("hash_a") == F.col("a")) & (F.col("hash_b") == F.col("b"))
+    kept = marked.join(first.hint("shuffle_hash"), same, "left_semi")
     if not first.where("rows > 1").isEmpty():
-        kept = kept.dropDuplicates([doc_id])
+        kept = kept.dropDuplicates([doc_id, "hash_a", "hash_b"])
     return own.back(kept)
 
 

@@ -74,13 +74,14 @@ def fingerprint(text: bytes | None, width: int = WIDTH) -> int:
     return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """``doc_id`` and ``fp``, the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
+                 keep: list[str] | None = None) -> DataFrame:
+    """``doc_id``, the columns ``keep`` and ``fp``, the 64 bits as a signed long."""
 
     def make():
         return lambda text: (fingerprint(text, width),)
 
-    return map_rows(docs, [text_col], make, "fp bigint", [id_col]).withColumnRenamed(id_col, "doc_id")
+    return map_rows(docs, [text_col], make, "fp bigint", [id_col, *(keep or [])]).withColumnRenamed(id_col, "doc_id")
 
 
 # --- what the plan of the parts is made from: counts of fixed size over all fingerprints
@@ -272,9 +273,11 @@ def _by_halves(fps: DataFrame, distance: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
-                    distance: int = DISTANCE, parts: int = PARTS, crowd: int = CROWD) -> DataFrame:
-    """One row per document: ``doc_id``, ``fp`` and ``component_id``."""
-    marked = saved(fingerprints(docs, id_col=id_col, text_col=text_col, width=width), "fingerprints")
+                    distance: int = DISTANCE, parts: int = PARTS, crowd: int = CROWD,
+                    keep: list[str] | None = None) -> DataFrame:
+    """One row per document: ``doc_id``, ``fp``, ``component_id``, the
+    component's ``root`` (its smallest fingerprint) and the columns ``keep``."""
+    marked = saved(fingerprints(docs, id_col=id_col, text_col=text_col, width=width, keep=keep), "fingerprints")
     distinct = saved(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
     found = saved(links(distinct, distinct.count(), distance=distance, parts=parts, crowd=crowd), "links")
     roots = connect(found)
@@ -282,7 +285,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     rooted = saved(rooted, "rooted")
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return marked.join(rooted.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return marked.join(rooted.join(ids, "root").select("fp", "component_id", "root"), "fp").select(
+        "doc_id", "fp", "component_id", "root", *(keep or []))
 
 
 def op1_simhash(spark, sf_dir):
