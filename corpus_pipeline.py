@@ -81,7 +81,7 @@ def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def stage_secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     own = _Renamed(docs)
-    clean = own.back(secret_scan.redact(own.docs, text_col=own.of["text"]))
+    clean = own.back(secret_scan.redact(own.docs, text_col=own.of["text"], whole=True))
     return clean.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else clean
 
 

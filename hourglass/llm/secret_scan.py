@@ -11,6 +11,11 @@ that gives the Shannon entropy.  The stretch from the first to the last window
 at or above the class's threshold is a span, unless the candidate matches the
 allow-list or the stretch meets a base span.
 
+That rule loses what stands beside a base span or a placeholder word, so the
+query and the pipeline scan with ``whole``: a span is left out only if one base
+span covers it, and placeholder words cut a run into candidates of their own
+instead of excusing all of it.
+
 Offsets are code points, end exclusive.  They come from the lengths of the
 pieces between matches, so a text is searched a second time only where something matches.
 
@@ -41,6 +46,9 @@ KINDS = ["assign", "access", "hex", *ALPHABETS]
 # Candidates that are not secrets: numbers, words and paths without digits, placeholders, plain sequences.
 ALLOW = [r"^[0-9_=/+-]+$", r"^[A-Za-z/_=+-]+$", r"(?i)example|placeholder|changeme|your[_-]|x{6,}",
          r"(?i)0123456789|abcdefghij", r"^[=/_+-]*[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"]
+# With ``whole``: words that are blanked, character by character, and what excuses a candidate between them.
+PLACEHOLDERS = ["example", "placeholder", "changeme", "your[_-]", "x{6}", "0123456789", "abcdefghij"]
+ALLOW_WHOLE = [a for a in ALLOW if a.startswith("^")]
 MARK = "[SECRET]"
 
 _SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string>>"
@@ -110,7 +118,8 @@ def _entropy_span(kind: str, x: Column, window: int) -> Column:
                                           _span(kind, x["start"] + acc["first"], x["start"] + acc["last"])))
 
 
-def scan(docs: DataFrame, *, text_col: str = "text", window: int = WINDOW, allow: list[str] | None = None) -> DataFrame:
+def scan(docs: DataFrame, *, text_col: str = "text", window: int = WINDOW, allow: list[str] | None = None,
+         whole: bool = False) -> DataFrame:
     """``docs`` with ``secret_spans``: array of (start, kind_no, end, kind),
     by start and then by kind."""
     df = docs.withColumn("scan_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
@@ -122,21 +131,26 @@ def scan(docs: DataFrame, *, text_col: str = "text", window: int = WINDOW, allow
             for kind, found in zip(KINDS, (assigned, F.col("accessed"), F.col("hexed")))]
     df = df.withColumn("base", F.concat(*base)).drop("assigned", "values", "accessed", "hexed")
 
+    if whole:
+        for word, length in zip(PLACEHOLDERS, (7, 11, 8, 5, 6, 10, 10)):
+            df = df.withColumn("scan_text", F.regexp_replace("scan_text", f"(?i){word}", " " * length))
     df = _located(df, "candidates", rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{window},}}")
-    allowed = "|".join(f"(?:{a})" for a in (ALLOW if allow is None else allow)) or r"(?!)"
+    allowed = "|".join(f"(?:{a})" for a in ((ALLOW_WHOLE if whole else ALLOW) if allow is None else allow)) or r"(?!)"
     df = df.withColumn("candidates", F.filter("candidates", lambda x: ~x["value"].rlike(allowed)))
     is_hex = lambda x: x["value"].rlike("^[0-9a-fA-F]+$")
     added = F.transform("candidates", lambda x: F.when(is_hex(x), _entropy_span("entropy_hex", x, window))
                         .otherwise(_entropy_span("entropy_base64", x, window)))
-    clear = lambda s: s.isNotNull() & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    covers = lambda b, s: (b["start"] <= s["start"]) & (s["end"] <= b["end"])
+    meets = lambda b, s: (b["start"] < s["end"]) & (s["start"] < b["end"])
+    clear = lambda s: s.isNotNull() & ~F.exists("base", lambda b: (covers if whole else meets)(b, s))
     df = df.withColumn("added", F.when(F.size("candidates") > 0, F.filter(added, clear)))
     spans = F.array_sort(F.concat("base", F.coalesce("added", _no_spans())))
     return df.withColumn("secret_spans", spans).drop("scan_text", "base", "candidates", "added")
 
 
-def redact(docs: DataFrame, *, text_col: str = "text", mark: str = MARK) -> DataFrame:
+def redact(docs: DataFrame, *, text_col: str = "text", mark: str = MARK, whole: bool = False) -> DataFrame:
     """``docs`` with each maximal run of overlapping spans in ``text_col`` replaced by ``mark``."""
-    df = scan(docs, text_col=text_col)
+    df = scan(docs, text_col=text_col, whole=whole)
 
     def step(acc: Column, s: Column) -> Column:
         before = F.substring(F.col(text_col), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
@@ -155,7 +169,7 @@ def _written(spans: Column) -> Column:
 
 def op8_secret_scan(spark, sf_dir):
     """Per document: base spans by kind, their digest, and all spans."""
-    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"), whole=True)
     n = lambda kind: F.size(F.filter("secret_spans", lambda s: s["kind"] == kind)).cast("long")
     base = F.filter("secret_spans", lambda s: s["kind_no"] < 3)
     return found.select("doc_id", n("assign").alias("n_assign"), n("access").alias("n_access"), n("hex").alias("n_hex"),
