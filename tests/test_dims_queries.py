@@ -1,6 +1,6 @@
 """Dimensions (D1-D3) and the analyst queries (Q1-Q7)."""
 
-from conftest import D
+from commit_records import D
 from hourglass.functions.clock import HOUR_RANGE_LABELS
 from hourglass.operators.dims import d_date_rows, d_time
 from hourglass.operators.heatmap import heatmap

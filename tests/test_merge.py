@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import D
+from commit_records import D
 from hourglass.operators.merge import merge_d_date_table, merge_fact_table, upsert_fact
 from hourglass.operators.dims import d_date_rows
 from hourglass.sources.schemas import D_DATE, F_COMMITS_HOURLY

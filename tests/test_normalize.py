@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import D, commit, write_json
+from commit_records import D, commit, write_json
 from hourglass.operators.normalize import normalize_commits, split_rejects
 from hourglass.sources.landed import read_bronze
 

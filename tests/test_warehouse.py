@@ -8,7 +8,7 @@ import uuid
 
 import pytest
 
-from conftest import D, commit, write_json
+from commit_records import D, commit, write_json
 from hourglass.plans.backfill import run_days
 from hourglass.sources.warehouse import Warehouse
 from hourglass.streaming import contiguous_ranges, start_bronze_trigger
@@ -156,12 +156,12 @@ def test_literal_hour_labels_in_warehouse(spark, tmp_path):
 PROCESS = """
 import sys
 sys.path[:0] = [{repo!r}, {tests!r}]
-from conftest import D
+from commit_records import D
 from test_warehouse import _day_commits
 from hourglass.session import get_session
 from hourglass.plans.backfill import run_days
 from hourglass.sources.warehouse import Warehouse
-from conftest import write_json
+from commit_records import write_json
 spark = get_session("local[2]", shuffle_partitions=2, extra={{"spark.checkpoint.dir": {root!r} + "/ckpt"}})
 wh = Warehouse(spark, {root!r}, "two").create()
 for day in {days!r}:
