@@ -3,7 +3,8 @@ express them on whole tables."""
 
 from __future__ import annotations
 
-from hourglass.llm import ann, bpe, chat_format, decontaminate, language_id, secret_scan, simhash, suffix_dedup, token_count, warc
+from hourglass.llm import (ann, bpe, chat_format, decontaminate, fill_in_middle, hard_negatives, language_id,
+                           secret_scan, simhash, suffix_dedup, token_count, warc)
 
 
 def queries():
@@ -18,6 +19,8 @@ def queries():
         "op8_secret_scan": secret_scan.op8_secret_scan,
         "op9_warc": warc.op9_warc,
         "op10_token_count": token_count.op10_token_count,
+        "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
+        "op13_hard_negatives": hard_negatives.op13_hard_negatives,
     }
 
 
@@ -26,4 +29,6 @@ def oracle_sql():
         "op2_decontaminate": decontaminate.ORACLE_SQL,
         "op5_chat_format": chat_format.ORACLE_SQL,
         "op9_warc": warc.ORACLE_SQL,
+        "op12_fill_in_middle": fill_in_middle.ORACLE_SQL,
+        "op13_hard_negatives": hard_negatives.ORACLE_SQL,
     }
