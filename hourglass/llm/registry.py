@@ -4,7 +4,7 @@ express them on whole tables."""
 from __future__ import annotations
 
 from hourglass.llm import (ann, bpe, chat_format, decontaminate, fill_in_middle, hard_negatives, language_id,
-                           secret_scan, simhash, suffix_dedup, token_count, warc)
+                           pii, secret_scan, simhash, suffix_dedup, token_count, warc)
 
 
 def queries():
@@ -19,6 +19,7 @@ def queries():
         "op8_secret_scan": secret_scan.op8_secret_scan,
         "op9_warc": warc.op9_warc,
         "op10_token_count": token_count.op10_token_count,
+        "op11_pii": pii.op11_pii,
         "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
         "op13_hard_negatives": hard_negatives.op13_hard_negatives,
     }

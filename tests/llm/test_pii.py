@@ -1,0 +1,181 @@
+"""Personal data: base spans and disclosing terms against a plain version, sanitised texts, long texts."""
+
+import hashlib
+import math
+import random
+import time
+from collections import Counter, defaultdict
+
+import regex
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from hourglass.llm import pii
+
+SMALL = "/root/testdata/sf0.01"
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+WORD = regex.compile(r"[\p{L}\p{M}\p{N}_]{2,}")
+
+
+def digits(v):
+    return "".join(c for c in v if c in "0123456789")
+
+
+def passes(kind, v):
+    if kind == "ip":
+        return all(int(p) <= 255 for p in v.split("."))
+    if kind == "phone":
+        return 8 <= len(digits(v)) <= 15
+    if kind == "card":
+        twice = [sum(map(int, str(int(c) * 2))) if k % 2 else int(c) for k, c in enumerate(reversed(digits(v)))]
+        return 16 <= len(digits(v)) <= 19 and sum(twice) % 10 == 0
+    return True
+
+
+def named(kind, v):
+    return v.lower() if kind == "email" else v if kind == "ip" else digits(v)
+
+
+def base(text):
+    return [(k, m.start(), m.end(), named(k, m[0])) for k in pii.BASE for m in regex.finditer(PATTERNS[k], text or "") if passes(k, m[0])]
+
+
+def runs(found):
+    out = []
+    for s in sorted(found, key=lambda s: (s[1], s[2], pii.KINDS.index(s[0]))):
+        if out and s[1] < out[-1][1]:
+            out[-1][1] = max(out[-1][1], s[2])
+        else:
+            out.append([s[1], s[2], s])
+    return out
+
+
+def plain(texts, window=8, contexts=3, share=0.9, open_bits=1.0, remove_bits=0.15):
+    together, seen, holds, has = Counter(), defaultdict(set), Counter(), Counter()
+    for text in texts:
+        text, pairs, entities = text or "", set(), set()
+        has.update(set(WORD.findall(text.lower())))
+        parts = runs(base(text))
+        for k, (start, end, (kind, _, _, value)) in enumerate(parts):
+            entity = f"{kind}:{value}"
+            left = text[parts[k - 1][1] if k else 0:start]
+            right = text[end:parts[k + 1][0] if k + 1 < len(parts) else len(text)]
+            a, b = WORD.findall(left[-200:].lower())[::-1], WORD.findall(right[:200].lower())
+            a, b = a[:len(a) - 1] if len(left) > 200 else a, b[:len(b) - 1] if len(right) > 200 else b
+            terms = tuple(dict.fromkeys(a[:window] + b[:window]))
+            entities.add(entity)
+            for t in terms:
+                pairs.add((entity, t))
+                seen[entity, t].add(terms)
+        together.update(pairs)
+        holds.update(entities)
+    best = {}
+    for (e, t), n in together.items():
+        whole, open_ = math.log2(len(texts) / holds[e]), math.log2(has[t] / n)
+        if len(seen[e, t]) >= contexts and whole > 0 and 1 - open_ / whole >= share and open_ <= open_bits:
+            best[t] = min(best.get(t, 99), open_)
+    out = []
+    for text in texts:
+        own = base(text)
+        added = [("remove" if best[m[0].lower()] <= remove_bits else "generalise", m.start(), m.end(), m[0])
+                 for m in WORD.finditer(text or "") if m[0].lower() in best]
+        own += [s for s in added if not any(b[1] < s[2] and s[1] < b[2] for b in own)]
+        out.append(sorted(own, key=lambda s: (pii.KINDS.index(s[0]), s[1])))
+    return out
+
+
+def written(found):
+    return ",".join(f"{k}:{a}:{b}" for k, a, b, _ in found)
+
+
+def scanned(spark, texts, **how):
+    docs = spark.createDataFrame(list(enumerate(texts)), "n long, text string").selectExpr("*", "1 AS pii_base", "2 AS term", "3 AS spans")
+    rows = pii.scan(docs, spans_col="found", **how).collect()
+    assert all((r.pii_base, r.term, r.spans) == (1, 2, 3) for r in rows)
+    return [[(s.kind, s.start, s.end, s.value) for s in r.found] for r in sorted(rows)]
+
+
+def test_query_on_its_table(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: r for r in pii.op11_pii(spark, SMALL).collect()}
+    assert len(got) == len(rows)
+    for r, found in zip(rows, plain([r.text for r in rows])):
+        own, row = [s for s in found if s[0] in pii.BASE], got[r.doc_id]
+        n = Counter(s[0] for s in own)
+        assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == tuple(n[k] for k in pii.BASE)
+        assert row.base_sha256 == hashlib.sha256(written(own).encode()).hexdigest() and row.spans == written(found)
+    assert all(sum(r[c] for r in got.values()) > 0 for c in ("n_email", "n_ip", "n_card", "n_phone"))
+
+
+ODD = ["a@b.c@d.e", "a@b.c_x@d.e", "x@-.-", "@a.b", "a@b", "a@b.", "..@a..b", "a@b.c.d@e.f.g", "1.2.3.4.5.6.7.8", "1.2.3.256", "0.0.0.0255",
+       "1..2.3.4", "1.2.3", "4111 1111 1111 1111", "4111-1111-1111-1112", "4111  1111 1111 1111", "41111111111111111111", "+12", "+123",
+       "+1 (234) 555-0000.", "+1-----------2345678", "+1 2345678+2 3456789", "+12345678901234567", "a" * 50 + "@" + "b" * 50, "é@b.cü x@y.z"]
+
+
+def test_odd_matches(spark):
+    assert scanned(spark, ODD + [None, ""]) == [base(t) for t in ODD] + [[], []]
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.text(alphabet="aé1+5@. -()_:", max_size=40), min_size=1, max_size=30))
+def test_any_text(spark, texts):
+    assert scanned(spark, texts) == plain(texts)
+
+
+def corpus():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 3)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    texts = [line(40) for _ in range(150)]
+    people = {"ann@x.org": ["Zarathina", "20417"], "10.0.0.7": ["basement_rack"], "+1 555 010 0199": ["Quillwort"], "bo@x.org": ["Hapax"]}
+    for k in range(24):
+        for who, names in people.items():
+            if who != "bo@x.org" or k < 2:  # two contexts are too few
+                texts.append(f"{line(30)} {names[0]} {line(2)} {who}, {line(3)} {names[-1]} {line(30)} {word()}@y.org")
+    texts += [f"{line(5)} ann@x.org and ann@x.org {line(400)} quillwort {line(3)}"] * 3       # copies; the term alone
+    texts += [f"{line(9)} copied passage bo@x.org names Onlycopies {line(5)}"] * 40              # one context, many rows
+    texts += [None, "", "zarathina@x.org Zarathina", "Ωmega +1 555 010 0199 Quillwort"] + [f"{line(5)} 20417 {line(5)}"] * 4
+    rng.shuffle(texts)
+    return texts
+
+
+def test_disclosing_terms_and_copies(spark):
+    texts = corpus()
+    want = plain(texts)
+    assert scanned(spark, texts) == want
+    found = {(s[0], s[3].lower()) for own in want for s in own if s[0] not in pii.BASE}
+    assert found == {("remove", "zarathina"), ("generalise", "20417"), ("remove", "basement_rack"), ("generalise", "quillwort")}
+    assert scanned(spark, texts, contexts=2, window=3) == plain(texts, contexts=2, window=3)
+
+
+def test_sanitised_texts(spark):
+    texts = corpus()
+    docs = spark.createDataFrame(list(enumerate(texts)), "n long, text string").selectExpr("*", "1 AS pii_key")
+    got = dict(pii.sanitise(docs).select("n", "text").collect())
+    for n, (text, found) in enumerate(zip(texts, plain(texts))):
+        out, at = [], 0
+        for start, end, (kind, _, _, value) in runs(found):
+            mark = pii.MARKS.get(kind, "" if kind == "remove" else "[NUMBER]" if value.isnumeric() else "[NAME]" if value[0].isupper() else "[WORD]")
+            out += [text[at:start], mark]
+            at = end
+        assert got[n] == (text if text is None else "".join(out) + text[at:])
+
+
+def test_many_matches_and_long_runs_in_one_text(spark):
+    texts = ["é ann@x.org +1 555 010 0199 " * 16_000, "a" * 1_000_000, "1" * 1_000_000, "a@" * 300_000, "+1 " * 300_000 + " " * 500_000, "1.1.1" * 100_000]
+    start = time.time()
+    got = scanned(spark, texts)
+    assert [len(x) for x in got] == [32_000, 0, 0, 0, 0, 50_000] and got[0] == base(texts[0])
+    docs = spark.createDataFrame([(0, texts[0])], "n long, text string")
+    assert pii.sanitise(docs).first().text == "é [EMAIL] [PHONE] " * 16_000
+    assert time.time() - start < 60
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert pii.scan(docs).collect() == [] and pii.sanitise(docs).where(F.lit(True)).collect() == []

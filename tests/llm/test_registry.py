@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_every_number_has_one_query():
     names = list(registry.queries())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == [*range(1, 11), 12, 13]
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert {*names, "pipeline"} <= set(E.queries()) and set(registry.oracle_sql()) <= set(names)
 
 
@@ -33,7 +33,7 @@ def test_queries_read_tables_with_more_columns(spark, tmp_path):
     """Columns named like results do not clash."""
     for table in ("documents", "benchmark", "pages", "embeddings", "conversations"):
         df = spark.read.parquet(f"{SMALL}/{table}.parquet").limit(60)
-        for c in ("fp", "n_hit", "ids", "spans", "payload", "leaf", "block", "h", "kept", "key", "found", "msg", "form", "place"):
+        for c in ("fp", "n_hit", "ids", "spans", "payload", "leaf", "block", "h", "kept", "key", "found", "msg", "form", "place", "pii_text", "term"):
             df = df.selectExpr("*", f"1 AS {c}")
         df.write.parquet(str(tmp_path / f"{table}.parquet"))
     for name, query in registry.queries().items():
