@@ -18,8 +18,11 @@ found inside it.  Each cell hands on that many rows, and a window over them
 gives the best of all.
 
 Scale.  Every row meets every anchor, as the task asks, in blocks: candidates
-travel once per block of ``ANCHORS`` anchors, and a cell holds at most about
-``GROUP_ROWS`` candidates, fewer for wide vectors (``GROUP_BYTES``).  Rows are
+travel once per block of ``ANCHORS`` anchors.  A cell holds its anchors and
+streams its candidates past them, ``ROWS_AT_ONCE`` at a time, so its memory is
+bounded however many there are.  There are ``GROUPS`` groups, so what the cells
+hand on grows with the anchors alone, and more only where a group would pass
+``MOST_ROWS`` rows, which bounds the work that a lost task repeats.  Rows are
 dealt by a hash over the whole row, so neither a common label nor a common
 vector makes a cell larger.  On vectors without any structure the bounds
 exclude little, and nearly all candidates are scored.
@@ -37,6 +40,7 @@ label columns are read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +53,7 @@ from hourglass.llm.common import saved, struct, table
 SCALE = 256
 POSITIVES, NEGATIVES, LOW, HIGH = 5, 10, 30, 90
 ANCHORS = 512
-GROUP_ROWS, GROUP_BYTES, LEAST_ROWS, LEAST_GROUPS = 65_536, 1 << 25, 512, 64
+GROUPS, LEAST_ROWS, MOST_ROWS = 16, 512, 1 << 22
 ROWS_AT_ONCE = 8192
 EXACT = 1 << 53
 SLACK = 1e-9
@@ -71,12 +75,12 @@ def usable(rows: DataFrame, id_col: str, vec_col: str, label_col: str, scale: in
     return first
 
 
-def _of_common_size(rows: DataFrame) -> tuple[DataFrame, int, int]:
-    """Rows of the most common dimension (of equally common ones the largest), their number, the dimension."""
+def _of_common_size(rows: DataFrame) -> tuple[DataFrame, int]:
+    """Rows of the most common dimension (of equally common ones the largest), and their number."""
     sizes = rows.groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).limit(1).collect()
     if not sizes:
-        return rows, 0, 0
-    return rows.where(F.size("vec") == sizes[0]["size"]), sizes[0]["count"], sizes[0]["size"]
+        return rows, 0
+    return rows.where(F.size("vec") == sizes[0]["size"]), sizes[0]["count"]
 
 
 def spanning_tree(anchors: np.ndarray) -> list[tuple[int, int, float]]:
@@ -200,57 +204,68 @@ def negatives_in(anchors: dict, rows: Iterator[dict], k: int, low: int, high: in
             yield from ((a, number, i, s) for i, s in zip(best.ids.tolist(), best.scores.tolist()))
 
 
-def _columns(data: pa.Table, labels: dict) -> dict:
-    """id, label (as a number) and vec of a group as arrays."""
-    data = data.combine_chunks()
-    vec = data.column("vec").combine_chunks()
-    width = len(vec.flatten()) // max(len(vec), 1)
-    return {"id": data.column("vec_id").to_numpy(),
-            "label": np.array([labels.setdefault(x, len(labels)) for x in data.column("label").to_pylist()], np.int64),
-            "vec": vec.flatten().to_numpy().reshape(len(vec), width).astype(np.int64)}
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """The batches, cut where (cell_block, cell_group, kind) changes, under that key."""
+    names = ("cell_block", "cell_group", "kind")
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy() for c in names])
+        ends = [*(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for at, end in zip([0, *ends], ends):
+            for start in range(at, end, ROWS_AT_ONCE):
+                yield tuple(keys[:, start].tolist()), batch.slice(start, min(ROWS_AT_ONCE, end - start))
 
 
-def _parts(rows: dict) -> Iterator[dict]:
-    for at in range(0, len(rows["id"]), ROWS_AT_ONCE):
-        yield {k: v[at:at + ROWS_AT_ONCE] for k, v in rows.items()}
+def _columns(batch: pa.RecordBatch, labels: dict) -> dict:
+    """id, label (as a number) and vec of some rows as arrays."""
+    vec = batch.column("vec").flatten()
+    return {"id": batch.column("vec_id").to_numpy(),
+            "label": np.array([labels.setdefault(x, len(labels)) for x in batch.column("label").to_pylist()], np.int64),
+            "vec": vec.to_numpy().reshape(batch.num_rows, len(vec) // max(batch.num_rows, 1)).astype(np.int64)}
 
 
 def _each_cell(rows: DataFrame, anchors: DataFrame, groups: int, blocks: int, ddl: str, found_in: Callable) -> DataFrame:
     """Every block of anchors against every group of rows: what ``found_in``
-    gives, behind the anchor's id and place."""
+    gives, behind the anchor's id and place.  A cell's anchors come first and
+    are held; its rows stream by."""
     schema = struct(f"anchor_id long, anchor_place long, {ddl}")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = rows.withColumn("cell_group", F.pmod("place", F.lit(groups)).cast("int")).withColumn("cell_block", every(blocks))
-    right = anchors.withColumn("cell_block", F.pmod(F.xxhash64("place"), F.lit(blocks)).cast("int")).withColumn("cell_group", every(groups))
-
-    def run(data: pa.Table, asked: pa.Table) -> pa.Table:
+    scores = "positives.positive_score" if "positives" in anchors.columns else F.lit(None).cast("array<long>")
+    common = ["vec_id", "label", "vec", "place"]
+    left = rows.select(*common, F.lit(None).cast("array<long>").alias("positives"), F.lit(1).alias("kind"),
+                       F.pmod("place", F.lit(groups)).cast("int").alias("cell_group"), every(blocks).alias("cell_block"))
+    right = anchors.select(*common, (F.col(scores) if isinstance(scores, str) else scores).alias("positives"), F.lit(0).alias("kind"),
+                           every(groups).alias("cell_group"), F.pmod(F.xxhash64("place"), F.lit(blocks)).cast("int").alias("cell_block"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = to_arrow_schema(schema)
-        if not len(data) or not len(asked):
-            return out.empty_table()
-        labels: dict = {}
-        own, place = _columns(asked, labels), asked.column("place").to_pylist()
-        if "positives" in asked.column_names:
-            own["positives"] = [[p["positive_score"] for p in x] for x in asked.column("positives").to_pylist()]
-        ids = own["id"].tolist()
-        found = [(ids[a], place[a], *rest) for a, *rest in found_in(own, _parts(_columns(data, labels)))]
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), out)] if found else
-                                    [pa.array([], f.type) for f in out], schema=out)
-
-    keys = ["cell_block", "cell_group"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
+        for _, cell in groupby(_slices(batches), lambda x: x[0][:2]):
+            labels: dict = {}
+            kinds = groupby(cell, lambda x: x[0][2])
+            kind, own = next(kinds)
+            if kind:
+                continue  # rows that meet no anchor
+            asked = pa.Table.from_batches([batch for _, batch in own]).combine_chunks().to_batches()[0]
+            held = _columns(asked, labels) | {"positives": asked.column("positives").to_pylist()}
+            ids, place = held["id"].tolist(), asked.column("place").to_pylist()
+            parts = (_columns(batch, labels) for _, stream in kinds for _, batch in stream)  # noqa: B031
+            found = [(ids[a], place[a], *rest) for a, *rest in found_in(held, parts)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), out)], schema=out)
+
+    cells = left.unionByName(right).repartition("cell_block", "cell_group")
+    return cells.sortWithinPartitions("cell_block", "cell_group", "kind").mapInArrow(run, schema)
 
 
 def mine(rows: DataFrame, *, is_anchor: Column, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
          scale: int = SCALE, positives: int = POSITIVES, negatives: int = NEGATIVES, low: int = LOW, high: int = HIGH,
-         anchors_at_once: int = ANCHORS, group_rows: int | None = None) -> DataFrame:
+         anchors_at_once: int = ANCHORS, groups: int | None = None) -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score and
     negative_score, for the rows of ``is_anchor`` (a condition on vec_id)."""
     own = saved(usable(rows, id_col, vec_col, label_col, scale), "integers")
-    own, n, size = _of_common_size(own)
+    own, n = _of_common_size(own)
     anchors = own.where(is_anchor)
     blocks = max(1, -(-anchors.count() // anchors_at_once))
-    most = group_rows or max(LEAST_ROWS, min(GROUP_ROWS, GROUP_BYTES // (8 * max(size, 1))))
-    groups = max(1, -(-n // most), min(LEAST_GROUPS, n // LEAST_ROWS))
+    groups = groups or max(1, min(GROUPS, n // LEAST_ROWS), n // MOST_ROWS)
 
     found = _each_cell(own, anchors, groups, blocks, "positive_id long, positive_score long",
                        lambda asked, parts: positives_in(asked, parts, positives))

@@ -125,6 +125,7 @@ def _mentions(work: DataFrame, window: int) -> DataFrame:
     found = some.select(near.alias("mentions"))
     pairs = F.flatten(F.transform("mentions", lambda m: F.transform(m["terms"], lambda t: F.concat(m["entity"], F.lit(PAIR), t))))
     return found.select("mentions", F.array_distinct(pairs).alias("pairs"),
+                        F.array_distinct(F.flatten(F.transform("mentions", lambda m: m["terms"]))).alias("terms"),
                         F.array_distinct(F.transform("mentions", lambda m: m["entity"])).alias("entities"))
 
 
@@ -139,7 +140,10 @@ def disclosing(work: DataFrame, *, window: int = WINDOW, contexts: int = CONTEXT
     seen = near.select(F.explode("mentions").alias("m")).select("m.entity", F.explode("m.terms").alias("term"), F.lit(0).alias("row"),
                                                                  F.xxhash64("m.terms").alias("context"))
     pairs = held.unionByName(seen).groupBy("entity", "term").agg(F.sum("row").alias("together"), F.count_distinct("context").alias("contexts"))
-    pairs = saved(pairs.where(F.col("contexts") >= contexts), "pairs")
+    # A term stands in at least as many rows as it stands beside any entity in: what is too common there is too common anyway.
+    near_rows = near.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("near_rows"))
+    pairs = pairs.where(F.col("contexts") >= contexts).join(near_rows, "term")
+    pairs = saved(pairs.where(F.log2(F.col("near_rows") / F.col("together")) <= open_bits).drop("near_rows"), "pairs")
     entities = near.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("entity_rows"))
     asked = saved(pairs.select("term").distinct(), "asked")
     each = work.select(F.explode(F.array_distinct(words(F.col("pii_text")))).alias("term"))

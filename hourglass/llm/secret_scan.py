@@ -17,7 +17,8 @@ span covers it, and placeholder words cut a run into candidates of their own
 instead of excusing all of it.
 
 Offsets are code points, end exclusive.  They come from the lengths of the
-pieces between matches, so a text is searched a second time only where something matches.
+pieces between matches (see ``spans``), so a text is searched a second time only
+where something matches, and time stays near its length and its matches.
 
 Everything is a projection: no shuffle, and a row's memory follows its text.
 
@@ -31,6 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourglass.llm import spans as S
 from hourglass.llm.common import table
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -51,11 +53,12 @@ PLACEHOLDERS = ["example", "placeholder", "changeme", "your[_-]", "x{6}", "01234
 ALLOW_WHOLE = [a for a in ALLOW if a.startswith("^")]
 MARK = "[SECRET]"
 
-_SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string>>"
+_SPAN = "struct<start:int,kind_no:int,end:int,kind:string>"
+_SPANS = f"array<{_SPAN}>"
 
 
 def _no_spans() -> Column:
-    return F.expr(f"cast(array() as {_SPAN})")
+    return F.expr(f"cast(array() as {_SPANS})")
 
 
 def _span(kind: str, start: Column, end: Column) -> Column:
@@ -63,34 +66,8 @@ def _span(kind: str, start: Column, end: Column) -> Column:
                     end.cast("int").alias("end"), F.lit(kind).alias("kind"))
 
 
-def _starts(found: str) -> Column:
-    """Start offsets of the matches ``found``: what lies before each one, in matches and pieces between them."""
-    def step(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.char_length(F.get("pieces", i))
-        return F.struct((start + F.char_length(F.get(found, i))).alias("at"),
-                        F.concat(acc["starts"], F.array(start)).alias("starts"))
-
-    return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1),
-                       F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("starts")),
-                       step, lambda acc: acc["starts"])
-
-
-def _located(df: DataFrame, name: str, pattern: str) -> DataFrame:
-    """Adds ``name``: array of (start, value), the pattern's matches in ``scan_text``."""
-    found = df.withColumn("found", F.regexp_extract_all("scan_text", F.lit(pattern), F.lit(0)))
-    some = F.size("found") > 0
-    found = found.withColumn("pieces", F.when(some, F.split("scan_text", pattern, -1)))
-    found = found.withColumn("starts", F.when(some, _starts("found")))
-    pairs = F.when(some, F.arrays_zip(F.col("starts").alias("start"), F.col("found").alias("value")))
-    return found.withColumn(name, pairs).drop("found", "pieces", "starts")
-
-
-def _end(x: Column) -> Column:
-    return x["start"] + F.char_length(x["value"])
-
-
 def _spans(kind: str, found: Column) -> Column:
-    return F.transform(found, lambda x: _span(kind, x["start"], _end(x)))
+    return F.transform(found, lambda x: _span(kind, x["start"], S.end_of(x))).cast(_SPANS)
 
 
 def _entropy_span(kind: str, x: Column, window: int) -> Column:
@@ -100,10 +77,10 @@ def _entropy_span(kind: str, x: Column, window: int) -> Column:
     codes = F.transform(F.regexp_extract_all(value, F.lit("."), F.lit(0)), lambda c: F.instr(F.lit(alphabet), c) - 1)
     log = lambda n: n * F.log2(F.greatest(n, F.lit(1)))
     zero = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0.0).cast("double").alias("sum"),
-                    F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"), codes.alias("codes"))
+                    F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"))
 
-    def step(acc: Column, i: Column) -> Column:
-        into, out = F.get(acc["codes"], i), F.when(i >= window, F.get(acc["codes"], i - window))
+    def step(codes: Column, acc: Column, i: Column) -> Column:
+        into, out = F.get(codes, i), F.when(i >= window, F.get(codes, i - window))
         n_in = F.get(acc["counts"], into)
         n_out = F.get(acc["counts"], out) + F.when(into == out, 1).otherwise(0)
         total = acc["sum"] - log(n_in) + log(n_in + 1) + F.coalesce(log(n_out - 1) - log(n_out), F.lit(0.0))
@@ -111,11 +88,13 @@ def _entropy_span(kind: str, x: Column, window: int) -> Column:
         counts = F.transform(acc["counts"], lambda n, k: n + F.when(k == into, 1).otherwise(0) - F.when(k == out, 1).otherwise(0))
         return F.struct(counts.alias("counts"), total.alias("sum"),
                         F.coalesce(acc["first"], F.when(hot, i - window + 1)).alias("first"),
-                        F.when(hot, i + 1).otherwise(acc["last"]).alias("last"), acc["codes"].alias("codes"))
+                        F.when(hot, i + 1).otherwise(acc["last"]).alias("last"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.char_length(x["value"]) - 1), zero, step,
-                       lambda acc: F.when(acc["first"].isNotNull(),
-                                          _span(kind, x["start"] + acc["first"], x["start"] + acc["last"])))
+    def fold(codes: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, lambda acc, i: step(codes, acc, i),
+                           lambda acc: F.when(acc["first"].isNotNull(), _span(kind, x["start"] + acc["first"], x["start"] + acc["last"])))
+
+    return S.let(codes, fold)
 
 
 def scan(docs: DataFrame, *, text_col: str = "text", window: int = WINDOW, allow: list[str] | None = None,
@@ -123,27 +102,22 @@ def scan(docs: DataFrame, *, text_col: str = "text", window: int = WINDOW, allow
     """``docs`` with ``secret_spans``: array of (start, kind_no, end, kind),
     by start and then by kind."""
     df = docs.withColumn("scan_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    df = _located(df, "assigned", ASSIGN)
-    df = df.withColumn("values", F.when(F.col("assigned").isNotNull(), F.regexp_extract_all("scan_text", F.lit(ASSIGN), F.lit(2))))
-    df = _located(_located(df, "accessed", ACCESS), "hexed", HEX)
-    assigned = F.filter("assigned", lambda x, i: F.char_length(F.get("values", i)) >= ASSIGN_LENGTH)
-    base = [F.coalesce(_spans(kind, found), _no_spans())
-            for kind, found in zip(KINDS, (assigned, F.col("accessed"), F.col("hexed")))]
-    df = df.withColumn("base", F.concat(*base)).drop("assigned", "values", "accessed", "hexed")
+    text = F.col("scan_text")
+    assigned = F.filter(S.matches(text, ASSIGN, 2), lambda x: F.char_length(x["part"]) >= ASSIGN_LENGTH)
+    base = [_spans(kind, found) for kind, found in zip(KINDS, (assigned, S.matches(text, ACCESS), S.matches(text, HEX)))]
+    df = df.withColumn("base", F.concat(*base))
 
     if whole:
         for word, length in zip(PLACEHOLDERS, (7, 11, 8, 5, 6, 10, 10)):
             df = df.withColumn("scan_text", F.regexp_replace("scan_text", f"(?i){word}", " " * length))
-    df = _located(df, "candidates", rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{window},}}")
+    df = df.withColumn("candidates", S.matches(text, rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{window},}}"))
     allowed = "|".join(f"(?:{a})" for a in ((ALLOW_WHOLE if whole else ALLOW) if allow is None else allow)) or r"(?!)"
     df = df.withColumn("candidates", F.filter("candidates", lambda x: ~x["value"].rlike(allowed)))
     is_hex = lambda x: x["value"].rlike("^[0-9a-fA-F]+$")
     added = F.transform("candidates", lambda x: F.when(is_hex(x), _entropy_span("entropy_hex", x, window))
                         .otherwise(_entropy_span("entropy_base64", x, window)))
-    covers = lambda b, s: (b["start"] <= s["start"]) & (s["end"] <= b["end"])
-    meets = lambda b, s: (b["start"] < s["end"]) & (s["start"] < b["end"])
-    clear = lambda s: s.isNotNull() & ~F.exists("base", lambda b: (covers if whole else meets)(b, s))
-    df = df.withColumn("added", F.when(F.size("candidates") > 0, F.filter(added, clear)))
+    added = F.filter(added, lambda s: s.isNotNull()).cast(_SPANS)
+    df = df.withColumn("added", F.when(F.size("candidates") > 0, S.beside(F.col("base"), added, whole, _SPAN)))
     spans = F.array_sort(F.concat("base", F.coalesce("added", _no_spans())))
     return df.withColumn("secret_spans", spans).drop("scan_text", "base", "candidates", "added")
 
@@ -152,14 +126,8 @@ def redact(docs: DataFrame, *, text_col: str = "text", mark: str = MARK, whole:
     """``docs`` with each maximal run of overlapping spans in ``text_col`` replaced by ``mark``."""
     df = scan(docs, text_col=text_col, whole=whole)
 
-    def step(acc: Column, s: Column) -> Column:
-        before = F.substring(F.col(text_col), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        fresh = F.when(s["start"] >= acc["at"], F.concat(before, F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(fresh)).alias("out"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col(text_col), acc["at"] + 1, F.char_length(text_col)))
-    clean = F.when(F.size("secret_spans") > 0, F.aggregate("secret_spans", zero, step, rest)).otherwise(F.col(text_col))
+    clean = S.replaced(F.col(text_col), S.runs(F.col("secret_spans"), lambda _: F.lit(mark)))
+    clean = F.when(F.size("secret_spans") > 0, clean).otherwise(F.col(text_col))
     return df.withColumn(text_col, clean).select(*docs.columns)
 
 

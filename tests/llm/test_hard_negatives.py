@@ -49,9 +49,9 @@ def _mix(n, dims, spread, seed, scale=1.0):
 
 @pytest.mark.parametrize("n, dims, spread, scale, how", [
     (700, 4, 0.05, 0.02, {}),                                           # few different scores: ties everywhere
-    (900, 8, 0.1, 1.0, {"group_rows": 100, "anchors_at_once": 2}),      # many cells
-    (600, 16, 1.5, 1.0, {"group_rows": 80, "anchors_at_once": 3}),      # no structure
-    (500, 4, 0.3, 2.0 ** 19, {"group_rows": 60})])                      # scores beyond what doubles hold exactly
+    (900, 8, 0.1, 1.0, {"groups": 9, "anchors_at_once": 2}),      # many cells
+    (600, 16, 1.5, 1.0, {"groups": 7, "anchors_at_once": 3}),      # no structure
+    (500, 4, 0.3, 2.0 ** 19, {"groups": 8})])                      # scores beyond what doubles hold exactly
 def test_equal_to_brute_force(spark, n, dims, spread, scale, how):
     rows = _mix(n, dims, spread, n, scale)
     want = brute(rows)
