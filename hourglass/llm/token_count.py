@@ -3,13 +3,14 @@
 The tokenizer file of a byte-level BPE becomes a deterministic transducer
 over the bytes of a piece.  After any prefix its state holds
 
-* the longest end of the prefix that some token begins with, and
-* for each position in that end, the last token of the encoding up to there,
-  with the count since.
+* the longest end of the prefix that a longer token begins with, and
+* for each position in that end from which a token can still go on, the last
+  token of the encoding up to there, with the count since.
 
 That is all that later bytes can depend on: a token can only end the encoding
 of a longer prefix if it starts in that end, and it does so exactly if it and
-the token before it are the encoding of their own bytes.  Each transition is
+the token before it are the encoding of their own bytes.  Whether they are
+follows from the parts that meet between them while both are merged.  Each transition is
 annotated with the change of the token count, which may be negative where
 tokens merge.  States are numbered as they are first reached.
 
@@ -33,7 +34,6 @@ from __future__ import annotations
 import functools
 import json
 import unicodedata
-from itertools import accumulate
 
 import public_tokenizers
 import regex
@@ -48,6 +48,7 @@ LIMIT = 512
 STATES = 200_000
 PAIRS = 1 << 18
 START = 0
+NEVER = 1 << 60
 
 
 def _byte_of() -> dict[str, int]:
@@ -64,8 +65,13 @@ class Transducer:
     def __init__(self, merges: dict[tuple[bytes, bytes], int]):
         self.merges = merges
         tokens = {a + b for a, b in merges} | {bytes([b]) for b in range(256)}
-        self.tokens = {t for t in tokens if self.plain(t) == [t]}
-        self.begins = {t[:n] for t in self.tokens for n in range(len(t) + 1)}
+        made = {t: self._made(t) for t in tokens}
+        self.tokens = {t for t, (parts, _) in made.items() if parts == [t]}
+        self.opens = {t[:n] for t in self.tokens for n in range(len(t))}
+        self.last = {t: made[t][1] for t in self.tokens}  # token -> (left, right, rank) of the merge that makes it
+        rank = lambda t: self.last[t][2] if self.last.get(t) else -1
+        self.ordered = all(not m or m[0] in self.last and m[1] in self.last and m[2] > max(rank(m[0]), rank(m[1])) for m in self.last.values())
+        self.ends: tuple[dict, dict] = {}, {}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
         self.reset()
 
@@ -75,35 +81,70 @@ class Transducer:
         self.steps: list[dict[int, tuple[int, int]]] = [{}]
 
     def plain(self, data: bytes) -> list[bytes]:
-        parts = [data[i:i + 1] for i in range(len(data))]
+        return self._made(data)[0]
+
+    def _made(self, data: bytes) -> tuple[list[bytes], tuple[bytes, bytes, int] | None]:
+        """The encoding by plain merging, and the last merge."""
+        parts, last = [data[i:i + 1] for i in range(len(data))], None
         while len(parts) > 1:
-            ranks = [self.merges.get(p, 1 << 60) for p in zip(parts, parts[1:])]
+            ranks = [self.merges.get(p, NEVER) for p in zip(parts, parts[1:])]
             low = min(ranks)
-            if low == 1 << 60:
+            if low == NEVER:
                 break
             i = ranks.index(low)
+            last = parts[i], parts[i + 1], low
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+        return parts, last
+
+    def _edge(self, token: bytes, side: int) -> list[tuple[bytes, int]]:
+        """What stands at the token's left (0) or right (1) edge while it is
+        merged, from its byte on, with the rank of the merge that ends it."""
+        found = self.ends[side].get(token)
+        if found is None:
+            found, part, rank = [], token, NEVER
+            while True:
+                found.append((part, rank))
+                if not self.last[part]:
+                    break
+                part, rank = self.last[part][side], self.last[part][2]
+            found.reverse()
+            self.ends[side][token] = found
+        return found
 
     def follows(self, a: bytes | None, b: bytes) -> bool:
+        """Whether a and b stay apart when a + b is encoded."""
         if a is None:
             return True
         found = self.pairs.get((a, b))
         if found is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            found = self.pairs[a, b] = self.plain(a + b) == [a, b]
+            found = self.pairs[a, b] = self._apart(a, b) if self.ordered else self.plain(a + b) == [a, b]
         return found
 
+    def _apart(self, a: bytes, b: bytes) -> bool:
+        """Follows the two edges that face each other through the merges, in
+        the order of their ranks: the pair between them must never come first.
+        Of equal ranks the leftmost merge does, which is a's, then the pair, then b's."""
+        left, right, i, j = self._edge(a, 1), self._edge(b, 0), 0, 0
+        while True:
+            (x, x_ends), (y, y_ends) = left[i], right[j]
+            rank = self.merges.get((x, y), NEVER)
+            if rank < x_ends and rank <= y_ends and rank != NEVER:
+                return False
+            if x_ends == y_ends == NEVER:
+                return True
+            i, j = (i + 1, j) if x_ends <= y_ends else (i, j + 1)
+
     def step(self, state: int, byte: int) -> tuple[int, int]:
         """The transition, compiled when it is first taken: (state, change of the count)."""
         end, tail = self.states[state]
         end += bytes([byte])
-        k = next(k for k in range(len(end)) if end[k:] in self.tokens and self.follows(tail[k][0], end[k:]))
+        k = next(k for k, held in enumerate(tail) if held and end[k:] in self.tokens and self.follows(held[0], end[k:]))
         emitted = 1 - tail[k][1]
-        drop = next(d for d in range(len(end) + 1) if end[d:] in self.begins)
-        after = tuple((t, n + emitted) for t, n in tail[drop:]) + ((end[k:], 0),)
-        key = (end[drop:], after)
+        drop = next(d for d in range(len(end) + 1) if end[d:] in self.opens)
+        after = tuple((held[0], held[1] + emitted) if held and end[d:] in self.opens else None for d, held in enumerate(tail[drop:], drop))
+        key = (end[drop:], after + ((end[k:], 0),))
         if key not in self.number:
             self.number[key] = len(self.states)
             self.states.append(key)
@@ -155,11 +196,7 @@ class Counter:
 
     def count(self, text: str) -> int:
         parts = self.added.split(text) if self.added else [text]
-        scan = accumulate((n for part in parts for n in self.units(part)), initial=len(parts) - 1)
-        total = 0
-        for total in scan:  # noqa: B007  the last prefix is the whole
-            pass
-        return total
+        return sum(sum(self.units(part)) for part in parts) + len(parts) - 1
 
 
 _COUNTERS: dict[str, Counter] = {}

@@ -21,13 +21,17 @@ class _Open(Exception):
 
 
 class Memo(dict):
-    """unit -> result of ``fn(prefix + unit)``; emptied when full.  Long units
-    are not kept."""
+    """unit -> result of ``fn(prefix + unit)``.  When full it becomes the older
+    half, from which what is asked for again comes back: frequent units stay.
+    Long units are not kept."""
 
     def __init__(self, fn: Callable[[str], object], prefix: str):
-        self.fn, self.prefix = fn, prefix
+        self.fn, self.prefix, self.older = fn, prefix, {}
 
     def __missing__(self, unit: str):
+        if (found := self.older.get(unit)) is not None:
+            self._keep(unit, found)
+            return found
         if not unit or unit[-1].isspace():
             raise _Open
         return self.of(unit)
@@ -35,11 +39,15 @@ class Memo(dict):
     def of(self, unit: str):
         found = self.fn(self.prefix + unit)
         if len(unit) <= MEMO_KEY and unit and not unit[-1].isspace():
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[unit] = found
+            self._keep(unit, found)
         return found
 
+    def _keep(self, unit: str, found) -> None:
+        if len(self) >= MEMO_ENTRIES:
+            self.older = self.copy()
+            self.clear()
+        self[unit] = found
+
 
 class Units:
     """``fn`` of every unit of a text, in order."""
