@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from struct import pack
 
 import numpy as np
 import public_tokenizers
@@ -33,7 +34,9 @@ from pyspark.sql import functions as F
 from hourglass.llm.common import map_rows, table
 from hourglass.llm.units import Units
 
-LEAF = 24
+LEAF = 8
+LEAVES = 1 << 18
+IDS_AT_ONCE = 4096
 NAIVE = 64
 PAIRS = 1 << 18
 
@@ -46,7 +49,8 @@ class Bpe:
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, number in ranks.items():
             self.bytes_of[number] = token
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[tuple[int, int], tuple[int, ...]] = {}
+        self.leaves: dict[bytes, list[int]] = {}
 
     def piece(self, piece: bytes) -> list[int]:
         """Ids of one piece; a piece that is a token stays whole."""
@@ -55,29 +59,47 @@ class Bpe:
 
     def tree(self, data: bytes) -> list[int]:
         if len(data) <= LEAF:
-            return self.plain(data)
+            found = self.leaves.get(data)
+            if found is None:
+                if len(self.leaves) >= LEAVES:
+                    self.leaves.clear()
+                found = self.leaves[data] = self.plain(data)
+            return found
         half = len(data) // 2
         return self.join(self.tree(data[:half]), self.tree(data[half:]))
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         width = 1
         while True:
-            a, b = left[-width:], right[:width]
-            middle = self.plain(b"".join(map(self.bytes_of.__getitem__, a + b)))
+            if width == 1:
+                middle = [*self.pair(left[-1], right[0])]
+            else:
+                middle = self.plain(b"".join(map(self.bytes_of.__getitem__, left[-width:] + right[:width])))
             if ((width >= len(left) or self.stable(left[-width - 1], middle[0]))
                     and (width >= len(right) or self.stable(middle[-1], right[width]))):
                 return left[:-width] + middle + right[width:]
             width *= 2
 
-    def stable(self, a: int, b: int) -> bool:
-        """Whether the two tokens are the encoding of their own bytes."""
+    def pair(self, a: int, b: int) -> tuple[int, ...]:
+        """The encoding of two tokens' bytes."""
         found = self.pairs.get((a, b))
         if found is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            found = self.pairs[a, b] = self.plain(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            found = self.pairs[a, b] = tuple(self.plain(self.bytes_of[a] + self.bytes_of[b]))
         return found
 
+    def stable(self, a: int, b: int) -> bool:
+        """Whether the two tokens are the encoding of their own bytes."""
+        return self.pair(a, b) == (a, b)
+
+    def text(self, ids: np.ndarray) -> bytes:
+        """The bytes of token ids: leaves of ``IDS_AT_ONCE``, concatenated up the tree."""
+        if len(ids) <= IDS_AT_ONCE:
+            return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+        half = len(ids) // 2
+        return self.text(ids[:half]) + self.text(ids[half:])
+
     def plain(self, data: bytes) -> list[int]:
         """Merges the neighbours of lowest rank, the leftmost first, until none is left."""
         if len(data) > NAIVE:
@@ -137,7 +159,7 @@ def _coder(held) -> tuple[Bpe, Units]:
 
         def unit(text: str) -> bytes:
             ids = [i for piece in split(text) for i in bpe.piece(piece.encode())]
-            return np.array(ids, "<u4").tobytes()
+            return pack(f"<{len(ids)}I", *ids)
 
         _CODERS[path + pattern] = bpe, Units(unit)
     return _CODERS[path + pattern]
@@ -165,9 +187,8 @@ def decode(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "ids",
     held = _sent(encoded, ranks_path, public_tokenizers.PATTERN)
 
     def make():
-        of = _coder(held)[0].bytes_of.__getitem__
-
-        return lambda ids: (b"".join(map(of, np.frombuffer(ids or b"", "<u4").tolist())),)
+        up = _coder(held)[0].text
+        return lambda ids: (up(np.frombuffer(ids or b"", "<u4")),)
 
     return map_rows(encoded, [ids_col], make, "decoded binary", [id_col, ids_col])
 

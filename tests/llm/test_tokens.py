@@ -10,7 +10,7 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-from hourglass.llm import bpe, token_count
+from hourglass.llm import bpe, token_count, units
 
 RANKS = bpe.read_ranks(P.path("byte_bpe_50k.tiktoken"))
 ODD = ["", " ", "  ", "a", " a", "a  b", "a \n b\n\n", "\n", "don't we'll 'twas ''s'rex", "x" * 300, "ab" * 200, "aaaa" * 77 + "b",
@@ -29,9 +29,9 @@ def texts():
 def test_encoding_is_the_librarys(texts):
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
     held = type("Held", (), {"value": ("p", P.PATTERN, RANKS)})
-    coder, units = bpe._coder(held)
+    encode = bpe._coder(held)[1]
     for text in texts:
-        ids = b"".join(units(text))
+        ids = b"".join(encode(text))
         assert [int.from_bytes(ids[i:i + 4], "little") for i in range(0, len(ids), 4)] == library.encode_ordinary(text)
 
 
@@ -64,6 +64,46 @@ def test_state_maps_compose():
         assert (after, n + m) == whole
 
 
+def test_whether_tokens_stay_apart():
+    """The walk along two edges gives what merging anew gives."""
+    machine, rng = token_count.Counter(json.load(open(P.path("byte_bpe_50k.json"), encoding="utf-8")), "").machine, random.Random(4)
+    tokens = sorted(machine.tokens)
+    short = [t for t in tokens if len(t) < 4]
+    assert machine.ordered
+    for _ in range(20_000):
+        a, b = (rng.choice(rng.choice((tokens, short))) for _ in "ab")
+        assert machine._apart(a, b) == (machine.plain(a + b) == [a, b])
+
+
+def test_memo_keeps_what_is_asked_for(monkeypatch):
+    monkeypatch.setattr(units, "MEMO_ENTRIES", 8)
+    made = []
+    memo = units.Memo(lambda x: made.append(x) or len(x), "")
+    for k in range(100):
+        assert memo["often"] == 5 and memo[f"once{k}"] == len(f"once{k}")
+    assert made.count("often") == 1 and len(memo) + len(memo.older) <= 16
+
+
+def test_queries_are_the_librarys(spark):
+    """Both registered queries on their whole table."""
+    at = "/root/testdata/sf0.01"
+    texts = dict(spark.read.parquet(f"{at}/documents.parquet").select("doc_id", "text").collect())
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+    got = bpe.op4_bpe(spark, at).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = library.encode_ordinary(texts[r.doc_id] or "")
+        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
+            len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest())
+    other = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    got = token_count.op10_token_count(spark, at).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        n = len(other.encode(texts[r.doc_id] or "", add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len((texts[r.doc_id] or "").encode()), n, n > 512)
+
+
 def test_frames(spark):
     rows = [(1, None, "x"), (2, "", "y"), (3, "hello  world\n", "z"), (3, "hello  world\n", "z"), (None, "a" * 70000, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
