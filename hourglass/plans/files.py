@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.clock import local_day
@@ -17,12 +17,13 @@ from hourglass.operators.normalize import normalize_commits
 from hourglass.plans import scenarios as sc
 from hourglass.sources.events import events_as_bronze, events_as_faulty_bronze, read_events
 from hourglass.sources.daystore import replace_days
-from hourglass.sources.landed import land_bronze, land_pages, read_bronze, read_gold, read_silver
+from hourglass.sources.landed import land_arrays, land_bronze, land_pages, read_bronze, read_gold, read_silver
 from hourglass.sources.schemas import STAGING_COLUMNS
 from hourglass.sources.warehouse import Warehouse
 from hourglass.session import scratch_path
 
 API_PAGE_SIZE = 100   # commits per page of the extractor
+RANGE_SIZE, RANGE_BYTES = "spark.sql.files.maxPartitionBytes", "65536"
 
 
 def _landed(spark: SparkSession, sf_dir: str, email: str) -> DataFrame:
@@ -75,6 +76,35 @@ def q_pages_union_array(spark, sf_dir):
     return _array_scan(spark, sf_dir, API_PAGE_SIZE)
 
 
+def q_bronze_scan_ranges(spark, sf_dir):
+    """Each day landed as one array file, parsed in byte ranges of 64 KB."""
+    root, read = scratch_path(spark, "bigarrays"), scratch_path(spark, "ranges")
+    land_arrays(_landed(spark, sf_dir, "fine"), root)
+    first, last = sc.bounds(spark, sf_dir)
+    rows = normalize_commits(read_bronze(spark, root, first, last, layout="array_ranges", file_glob="*.txt")).select(*STAGING_COLUMNS)
+    size = spark.conf.get(RANGE_SIZE)
+    spark.conf.set(RANGE_SIZE, RANGE_BYTES)      # read when the job is planned, so the job runs here
+    try:
+        rows.write.parquet(read)
+    finally:
+        spark.conf.set(RANGE_SIZE, size)
+    return spark.read.schema(rows.schema).parquet(read)
+
+
+def q_pages_until_empty(spark, sf_dir):
+    """Days landed as numbered pages of 100 commits, with an empty page after
+    the second: what lies behind it is not read."""
+    root = scratch_path(spark, "endofpages")
+    rows = _landed(spark, sf_dir, "fine").withColumn("n", F.row_number().over(Window.partitionBy("dt").orderBy(F.col("sha").cast("long"))) - 1)
+    page = F.floor(F.col("n") / API_PAGE_SIZE)
+    rows = rows.withColumn("page", page + F.when(page >= 2, 1).otherwise(0))
+    pages = rows.groupBy("dt", "page").agg(F.to_json(F.collect_list(F.struct("sha", "committer", "commit"))).alias("value"))
+    empty = rows.select("dt").distinct().select("dt", F.lit(2).cast("long").alias("page"), F.lit("[]").alias("value"))
+    pages.unionByName(empty).repartition("dt", "page").write.partitionBy("dt", "page").text(root)
+    first, last = sc.bounds(spark, sf_dir)
+    return normalize_commits(read_bronze(spark, root, first, last, layout="array", file_glob="*.txt", page_pattern=r"/page=(\d+)/")).select(*STAGING_COLUMNS)
+
+
 def q_silver_scan(spark, sf_dir):
     wh = _warehouse(spark, "silver")
     first, last = _land(spark, sf_dir, "fine", wh.bronze_path())
@@ -196,6 +226,8 @@ def queries() -> dict:
         "pages_union": q_pages_union,
         "bronze_scan_array": q_bronze_scan_array,
         "pages_union_array": q_pages_union_array,
+        "bronze_scan_ranges": q_bronze_scan_ranges,
+        "pages_until_empty": q_pages_until_empty,
         "silver_scan": q_silver_scan,
         "gold_parquet": q_gold_parquet,
         "backfill_range": q_backfill_range,
@@ -220,6 +252,10 @@ SELECT d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FRO
         "bronze_scan_array": staging,
         "pages_union": staging,
         "pages_union_array": staging,
+        "bronze_scan_ranges": staging,
+        "pages_until_empty": f"""WITH {commits_cte('fine')}
+SELECT commit_sha, committer_id, committer_name, committer_email, committer_date, dt FROM commits
+QUALIFY row_number() OVER (PARTITION BY dt ORDER BY CAST(commit_sha AS BIGINT)) <= 200""",
         "silver_scan": staging,
         "gold_parquet": staging,
         "backfill_range": backfill,

@@ -70,6 +70,17 @@ def _files(spark: SparkSession, folders: dict[_dt.date, str]) -> dict[_dt.date,
     return out
 
 
+def zero_byte_files(spark: SparkSession, folders: dict[_dt.date, str], file_glob: str) -> list[tuple[_dt.date, str]]:
+    """(day, path) of the files without a byte, which no reader of Spark's shows."""
+    out = []
+    for day, folder in folders.items():
+        fs, path = _fs(spark, folder)
+        for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, file_glob)):
+            if status.isFile() and status.getLen() == 0:
+                out.append((day, status.getPath().toString()))
+    return out
+
+
 def read_days(reader, spark: SparkSession, root: str, fmt: str, schema: StructType,
               first: _dt.date | None = None, last: _dt.date | None = None, column: str = "dt") -> DataFrame:
     """The rows of days first..last (all days if not given); ``reader`` holds the format's options."""

@@ -5,11 +5,13 @@ the schema (never inferred), keep only ``*.json`` files and name the exact
 day folders they want (``sources.daystore``), so no other day's files are
 listed or read.
 
-Bronze comes in two layouts, chosen by the caller and never guessed:
+Bronze comes in three layouts, chosen by the caller and never guessed:
 
 * ``array``: one JSON array per file, as the REST extractor lands it.  Spark
   must read such a file whole (``multiLine``), one task per file, so
   parallelism comes from the number of files (days x pages).
+* ``array_ranges``: the same files, parsed in byte ranges however large they
+  are (``sources.array_ranges``).
 * ``lines``: JSON Lines, splittable; what Spark itself writes and the layout
   to prefer at scale.
 
@@ -23,20 +25,26 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StringType
+from pyspark.sql.types import BinaryType, DateType, LongType, StringType, StructField, StructType, TimestampType
 
-from hourglass.sources.daystore import read_days
+from hourglass.sources.array_ranges import read_array_ranges
+from hourglass.sources.daystore import existing_days, read_days, zero_byte_files
 from hourglass.sources.schemas import BRONZE_COMMIT, CORRUPT_COLUMN, STAGING, with_field
 
-LAYOUTS = ("array", "lines")
+LAYOUTS = ("array", "array_ranges", "lines")
 _DT = StructField("dt", DateType())
+_BINARY = [("path", StringType()), ("modificationTime", TimestampType()), ("length", LongType()), ("content", BinaryType())]
 
 
-def _json_reader(spark: SparkSession, layout: str, mode: str, file_glob: str = "*.json"):
+def _checked(layout: str, mode: str) -> None:
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
     if mode not in ("strict", "lenient"):
         raise ValueError("mode must be 'strict' or 'lenient'")
+
+
+def _json_reader(spark: SparkSession, layout: str, mode: str, file_glob: str = "*.json"):
+    _checked(layout, mode)
     r = (spark.read
          .option("multiLine", layout == "array")
          .option("pathGlobFilter", file_glob)
@@ -48,10 +56,15 @@ def _json_reader(spark: SparkSession, layout: str, mode: str, file_glob: str = "
 
 def read_bronze(spark: SparkSession, root: str, first: _dt.date | None = None,
                 last: _dt.date | None = None, layout: str = "array",
-                mode: str = "strict", file_glob: str = "*.json") -> DataFrame:
+                mode: str = "strict", file_glob: str = "*.json", page_pattern: str | None = None) -> DataFrame:
     """Bronze commit objects of days first..last, with the folder's day as
     ``landed_dt``.
 
+    ``page_pattern``: a regular expression whose group is a page's number in
+    the file's path.  Then a day ends at its first page without records, as
+    an extractor that pages until nothing comes back ends it, and later pages
+    are left out.
+
     strict: a malformed file fails the read.  lenient: a malformed record
     becomes a row whose ``_corrupt_record`` holds the text, which
     ``operators.normalize.split_rejects`` routes to the rejects.  Empty files
@@ -60,9 +73,38 @@ def read_bronze(spark: SparkSession, root: str, first: _dt.date | None = None,
     schema = BRONZE_COMMIT
     if mode == "lenient":
         schema = with_field(schema, StructField(CORRUPT_COLUMN, StringType()))
+    if layout == "array_ranges":
+        _checked(layout, mode)
+        if page_pattern:
+            raise ValueError("pages are whole files: read them as layout array or lines")
+        return read_array_ranges(spark, root, schema, first, last, mode, file_glob, CORRUPT_COLUMN).withColumnRenamed("dt", "landed_dt")
     schema = with_field(schema, _DT)
     df = read_days(_json_reader(spark, layout, mode, file_glob), spark, root, "json", schema, first, last)
-    return df.withColumnRenamed("dt", "landed_dt")
+    if page_pattern and existing_days(spark, root, first, last):
+        pages = pages_to_read(spark, root, first, last, file_glob, page_pattern)
+        df = df.withColumn("_file", F.col("_metadata.file_path")).join(pages, "_file", "left_semi")
+    return df.select(*schema.fieldNames()).withColumnRenamed("dt", "landed_dt")
+
+
+def pages_to_read(spark: SparkSession, root: str, first: _dt.date | None, last: _dt.date | None,
+                  file_glob: str, page_pattern: str) -> DataFrame:
+    """``_file`` of the pages before each day's first page without records.
+
+    Which files exist comes from their listing (Spark skips files without a
+    byte, so those are listed apart, in the day folder itself); which hold a
+    record, from a ``{`` in their text."""
+    one = lambda fields: StructType([StructField(n, t) for n, t in fields] + [_DT])
+    listed = read_days(spark.read.option("pathGlobFilter", file_glob), spark, root, "binaryFile", one(_BINARY), first, last)
+    listed = listed.select(F.col("_metadata.file_path").alias("_file"), "dt")
+    blank = [(path, day) for day, path in zero_byte_files(spark, existing_days(spark, root, first, last), file_glob)]
+    listed = listed.unionByName(spark.createDataFrame(blank, "_file string, dt date"))
+    text = read_days(spark.read.option("pathGlobFilter", file_glob), spark, root, "text", one([("value", StringType())]), first, last)
+    filled = text.where(F.contains("value", F.lit("{"))).select(F.col("_metadata.file_path").alias("_file"), F.lit(True).alias("filled"))
+    pages = listed.join(filled.distinct(), "_file", "left")
+    pages = pages.withColumn("page", F.regexp_extract("_file", page_pattern, 1).cast("long"))
+    number = F.when(F.col("page").isNull(), F.raise_error(F.concat(F.lit("no page number in "), F.col("_file"))).cast("long")).otherwise(F.col("page"))
+    end = F.min(F.when(F.col("filled").isNull(), number)).over(Window.partitionBy("dt"))
+    return pages.withColumn("end", end).where(F.col("end").isNull() | (number < F.col("end"))).select("_file")
 
 
 def land_bronze(bronze: DataFrame, root: str, records_per_file: int | None = None) -> None:
@@ -97,6 +139,18 @@ def land_pages(bronze: DataFrame, root: str, page_size: int = 100) -> None:
      .partitionBy("dt").text(root))
 
 
+def land_arrays(bronze: DataFrame, root: str) -> None:
+    """Write commit objects (with a ``dt`` column) as one file per day that
+    holds one JSON array, a commit per line."""
+    day = Window.partitionBy("dt")
+    rows = bronze.select("dt", F.to_json(F.struct("sha", "committer", "commit")).alias("one"))
+    n, rows_of_day = F.row_number().over(day.orderBy("one")), F.count(F.lit(1)).over(day)
+    rows = rows.withColumns({"n": n, "of": rows_of_day})
+    value = F.concat(F.when(F.col("n") == 1, "[").otherwise(","), F.col("one"), F.when(F.col("n") == F.col("of"), "]").otherwise(""))
+    (rows.select("dt", "n", value.alias("value")).repartition("dt").sortWithinPartitions("dt", "n").drop("n")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").text(root))
+
+
 def read_silver(spark: SparkSession, root: str, first: _dt.date | None = None,
                 last: _dt.date | None = None, mode: str = "strict") -> DataFrame:
     """Flat commit rows from silver JSON Lines; ``dt`` comes from the folder."""
