@@ -77,7 +77,7 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
     # a few even files.  Gold is converted from silver's compacted days.
     if write_silver:
         writes["silver_commits"] = wh.replace_days("silver_commits", rows, first, last)
-        gold_in = read_silver(spark, wh.path("silver_commits"), first, last)
+        gold_in = wh.days("silver_commits", first, last) if wh.isolated else read_silver(spark, wh.path("silver_commits"), first, last)
     else:
         gold_in = rows
     writes["staging_commits"] = wh.replace_days("staging_commits", gold_in, first, last, rebalance=not write_silver)

@@ -37,10 +37,10 @@ def _land(spark: SparkSession, sf_dir: str, email: str, root: str,
     return sc.bounds(spark, sf_dir)
 
 
-def _warehouse(spark: SparkSession, label: str) -> Warehouse:
+def _warehouse(spark: SparkSession, label: str, **how) -> Warehouse:
     root = scratch_path(spark, label)
     db = "hg_" + root.rsplit("-", 1)[-1]
-    return Warehouse(spark, root, db).create()
+    return Warehouse(spark, root, db, **how).create()
 
 
 def q_bronze_scan(spark, sf_dir):
@@ -123,9 +123,9 @@ def q_gold_parquet(spark, sf_dir):
     return read_gold(spark, wh.path("staging_commits"), first, last).select(*STAGING_COLUMNS)
 
 
-def _backfilled(spark, sf_dir, label: str, runs: int = 1) -> Warehouse:
+def _backfilled(spark, sf_dir, label: str, runs: int = 1, **how) -> Warehouse:
     from hourglass.plans.backfill import run_days
-    wh = _warehouse(spark, label)
+    wh = _warehouse(spark, label, **how)
     first, last = _land(spark, sf_dir, "dirty", wh.bronze_path())
     for _ in range(runs):
         run_days(wh, first, last, layout="lines")
@@ -142,6 +142,23 @@ def q_backfill_rerun(spark, sf_dir):
     return _backfilled(spark, sf_dir, "rerun", runs=2).table("f_commits_hourly")
 
 
+def q_backfill_switched(spark, sf_dir):
+    """A range run into an isolated warehouse; then the run's days again with
+    the middle one emptied.  The fact is read as it was before the second run,
+    and as it is after it: ``state`` old and new."""
+    from hourglass.plans.backfill import run_days
+    wh = _backfilled(spark, sf_dir, "switched", isolated=True)
+    days = sc.run_days_of(spark, sf_dir)
+    old = wh.switched("f_commits_hourly").pinned()
+    b = _landed(spark, sf_dir, "dirty").where(F.col("dt").between(F.lit(days[0]), F.lit(days[-1])))
+    replace_days(b.where(F.col("dt") != F.lit(days[1])).select("sha", "committer", "commit", "dt"),
+                 wh.bronze_path(), "json", days[0], days[-1])
+    run_days(wh, days[0], days[-1], layout="lines")
+    new = wh.table("f_commits_hourly")
+    state = lambda rows, name: rows.select(F.lit(name).alias("state"), *new.columns)
+    return state(old, "old").unionByName(state(new, "new"))
+
+
 def q_empty_day_rerun(spark, sf_dir):
     """A range run, then a re-run with the run's middle day re-landed without
     commits: the fact has lost that day and nothing else."""
@@ -233,6 +250,7 @@ def queries() -> dict:
         "backfill_range": q_backfill_range,
         "backfill_rerun": q_backfill_rerun,
         "staging_day": q_staging_day,
+        "backfill_switched": q_backfill_switched,
         "empty_day_rerun": q_empty_day_rerun,
         "merge_reopened": q_merge_reopened,
         "lenient_rejects_rerun": q_lenient_rejects_rerun,
@@ -260,6 +278,10 @@ QUALIFY row_number() OVER (PARTITION BY dt ORDER BY CAST(commit_sha AS BIGINT))
         "gold_parquet": staging,
         "backfill_range": backfill,
         "backfill_rerun": backfill,
+        "backfill_switched": f"""WITH {RUN}, {commits_cte('dirty')}, {fact_cte()}, {combined_cte('fact', 'f')}
+SELECT 'old' AS state, d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FROM f
+UNION ALL
+SELECT 'new', d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FROM f, run WHERE dt <> run.day + 1""",
         "empty_day_rerun": f"""WITH {RUN}, {commits_cte('dirty')}, {fact_cte()}, {combined_cte('fact', 'f')}
 SELECT d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FROM f, run WHERE dt <> run.day + 1""",
         # NULL emails never match, so their rows are inserted anew, with the second run's ids

@@ -101,10 +101,11 @@ def pages_to_read(spark: SparkSession, root: str, first: _dt.date | None, last:
     text = read_days(spark.read.option("pathGlobFilter", file_glob), spark, root, "text", one([("value", StringType())]), first, last)
     filled = text.where(F.contains("value", F.lit("{"))).select(F.col("_metadata.file_path").alias("_file"), F.lit(True).alias("filled"))
     pages = listed.join(filled.distinct(), "_file", "left")
-    pages = pages.withColumn("page", F.regexp_extract("_file", page_pattern, 1).cast("long"))
-    number = F.when(F.col("page").isNull(), F.raise_error(F.concat(F.lit("no page number in "), F.col("_file"))).cast("long")).otherwise(F.col("page"))
-    end = F.min(F.when(F.col("filled").isNull(), number)).over(Window.partitionBy("dt"))
-    return pages.withColumn("end", end).where(F.col("end").isNull() | (number < F.col("end"))).select("_file")
+    number = F.regexp_extract("_file", page_pattern, 1).try_cast("long")
+    unnamed = F.raise_error(F.concat(F.lit("no page number in "), F.col("_file"))).cast("long")
+    pages = pages.withColumn("page", F.coalesce(number, unnamed)).where(F.col("page") >= 0)
+    end = F.min(F.when(F.col("filled").isNull(), F.col("page"))).over(Window.partitionBy("dt"))
+    return pages.withColumn("end", end).where(F.col("end").isNull() | (F.col("page") < F.col("end"))).select("_file")
 
 
 def land_bronze(bronze: DataFrame, root: str, records_per_file: int | None = None) -> None:

@@ -8,7 +8,9 @@ root sees all days that were ever written.
 A table may be read and rewritten by the same job (the merge reads the target
 days it replaces): new files are staged and moved into place at job commit,
 after every task has read its input, so a lost executor is simply recomputed
-from the old files.
+from the old files.  A reader that lists a day during those moves may see it
+half replaced; an ``isolated`` warehouse switches whole days instead, and then
+the catalog is the truth.
 
 For SQL users the tables are also declared in the session's catalog.
 ``create`` registers every day folder that exists and each write registers its
@@ -31,6 +33,7 @@ from pyspark.sql.types import StructType
 
 from hourglass.operators.dims import d_time
 from hourglass.sources.daystore import DayWrite, day_range, existing_days, read_days, replace_days
+from hourglass.sources.switched import SwitchedTable
 from hourglass.sources.schemas import D_DATE, D_TIME, F_COMMITS_HOURLY, STAGING
 
 __all__ = ["TABLES", "DayWrite", "Warehouse", "day_range"]
@@ -58,8 +61,11 @@ class Warehouse:
     """Tables of one deployment: ``<database>.<name>`` at ``<root>/<folder>``."""
 
     def __init__(self, spark: SparkSession, root: str, database: str = "hourglass",
-                 d_time_variant: str = "3h"):
+                 d_time_variant: str = "3h", isolated: bool = False):
+        """``isolated``: days are switched in the catalog instead of
+        overwritten, so that no reader sees one half replaced (``sources.switched``)."""
         self.spark = spark
+        self.isolated = isolated
         self.root = root.rstrip("/")
         self.database = database
         self.d_time_variant = d_time_variant
@@ -85,7 +91,9 @@ class Warehouse:
             part = "PARTITIONED BY (dt)" if partitioned else ""
             s.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({_ddl_columns(schema)}) "
                   f"USING {fmt} {part} LOCATION {_quote(self.path(table))}")
-            if partitioned:
+            if partitioned and self.isolated:
+                self.switched(table).opened()
+            elif partitioned:
                 self._register(table, list(existing_days(s, self.path(table))), [])
         if self.table("d_time").isEmpty():
             d_time(s, self.d_time_variant).write.mode("overwrite").parquet(self.path("d_time"))
@@ -100,6 +108,13 @@ class Warehouse:
                 self.spark.sql(f"ALTER TABLE {self.name(table)} {verb} {(' ' if verb.startswith('ADD') else ', ').join(parts)}")
         self.spark.catalog.refreshTable(self.name(table))
 
+    def switched(self, table: str) -> SwitchedTable:
+        return SwitchedTable(self.spark, self.name(table), self.path(table), TABLES[table][1])
+
+    def retire(self, older_than_hours: float) -> dict[str, list[str]]:
+        """Remove the replaced runs of an isolated warehouse that are older than that, and so not read any more."""
+        return {t: self.switched(t).retire(older_than_hours) for t, spec in TABLES.items() if spec[3]} if self.isolated else {}
+
     def table(self, table: str) -> DataFrame:
         if not TABLES[table][3]:
             return self.spark.table(self.name(table))
@@ -108,6 +123,8 @@ class Warehouse:
     def days(self, table: str, first: _dt.date | None, last: _dt.date | None) -> DataFrame:
         """The rows of days first..last, read from exactly those day folders."""
         schema, fmt, _, _ = TABLES[table]
+        if self.isolated:
+            return self.switched(table).days(first, last)
         return read_days(self.spark.read, self.spark, self.path(table), fmt, schema, first, last)
 
     # -- writes -------------------------------------------------------------
@@ -123,7 +140,9 @@ class Warehouse:
         shuffle.
         """
         schema, fmt, _, _ = TABLES[table]
-        done = replace_days(rows.select(*[f.name for f in schema.fields]), self.path(table), fmt, first, last,
-                            rebalance=rebalance)
+        rows = rows.select(*[f.name for f in schema.fields])
+        if self.isolated:
+            return self.switched(table).replace_days(rows, first, last, rebalance)
+        done = replace_days(rows, self.path(table), fmt, first, last, rebalance=rebalance)
         self._register(table, done.days, done.empty_days)
         return done
