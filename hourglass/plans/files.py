@@ -16,9 +16,10 @@ from hourglass.functions.clock import local_day
 from hourglass.operators.normalize import normalize_commits
 from hourglass.plans import scenarios as sc
 from hourglass.sources.events import events_as_bronze, events_as_faulty_bronze, read_events
-from hourglass.sources.daystore import replace_days
+from hourglass.operators.streak_months import StreakMonths
+from hourglass.sources.daystore import read_days, replace_days
 from hourglass.sources.landed import land_arrays, land_bronze, land_pages, read_bronze, read_gold, read_silver
-from hourglass.sources.schemas import STAGING_COLUMNS
+from hourglass.sources.schemas import F_COMMITS_HOURLY, STAGING_COLUMNS
 from hourglass.sources.warehouse import Warehouse
 from hourglass.session import scratch_path
 
@@ -187,6 +188,22 @@ def q_merge_reopened(spark, sf_dir):
     return again.table("f_commits_hourly")
 
 
+def q_longest_streak_incremental(spark, sf_dir):
+    """Streaks from monthly summaries: the fact is landed without the run's
+    days and summarised, then those days are added and only their months are
+    summarised again."""
+    root, months = scratch_path(spark, "streakfact"), scratch_path(spark, "streakmonths")
+    fact = sc.fact(spark, sf_dir, "fine")
+    (first, last), days = sc.bounds(spark, sf_dir), sc.run_days_of(spark, sf_dir)
+    run = F.col("dt").between(F.lit(days[0]), F.lit(days[-1]))
+    replace_days(fact.where(~run), root, "parquet", first, last)
+    kept = StreakMonths(spark, months, lambda a, b: read_days(spark.read, spark, root, "parquet", F_COMMITS_HOURLY, a, b))
+    kept.update(first, last)
+    replace_days(fact.where(run), root, "parquet", days[0], days[-1])
+    kept.update(days[0], days[-1])
+    return kept.longest_streak()
+
+
 def _lenient_run(spark, sf_dir, mended: bool = False) -> tuple[Warehouse, str]:
     """Faulty records landed as bronze, then a lenient range run: valid rows
     are loaded, the rest written to a reject folder.  ``mended``: the run's
@@ -253,6 +270,7 @@ def queries() -> dict:
         "backfill_switched": q_backfill_switched,
         "empty_day_rerun": q_empty_day_rerun,
         "merge_reopened": q_merge_reopened,
+        "longest_streak_incremental": q_longest_streak_incremental,
         "lenient_rejects_rerun": q_lenient_rejects_rerun,
         "lenient_rejects": q_lenient_rejects,
         "lenient_fact": q_lenient_fact,
@@ -260,7 +278,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    from hourglass.plans.oracle import FAULTY, RUN, combined_cte, commits_cte, fact_cte, reject_sql
+    from hourglass.plans.oracle import FAULTY, RUN, STREAK_CTES, combined_cte, commits_cte, fact_cte, reject_sql
     staging = f"""WITH {commits_cte('fine')}
 SELECT commit_sha, committer_id, committer_name, committer_email, committer_date, dt FROM commits"""
     backfill = f"""WITH {commits_cte('dirty')}, {fact_cte()}, {combined_cte('fact', 'f')}
@@ -274,6 +292,8 @@ SELECT d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FRO
         "pages_until_empty": f"""WITH {commits_cte('fine')}
 SELECT commit_sha, committer_id, committer_name, committer_email, committer_date, dt FROM commits
 QUALIFY row_number() OVER (PARTITION BY dt ORDER BY CAST(commit_sha AS BIGINT)) <= 200""",
+        "longest_streak_incremental": f"""WITH {STREAK_CTES}
+SELECT DISTINCT committer_email, run AS longest_streak FROM runs WHERE run = (SELECT max(run) FROM runs)""",
         "silver_scan": staging,
         "gold_parquet": staging,
         "backfill_range": backfill,

@@ -1,7 +1,9 @@
 """One explicit schema per layer; nothing is inferred."""
 
 from pyspark.sql.types import (
+    BooleanType,
     DateType,
+    IntegerType,
     LongType,
     MapType,
     StringType,
@@ -61,6 +63,18 @@ F_COMMITS_HOURLY = StructType([
     StructField("dt", DateType()),
 ])
 
+# A committer's summary of one month (operators.streak_months); dt is its first day.
+STREAK_MONTH = StructType([
+    StructField("committer_email", StringType()),
+    StructField("first_month", IntegerType()),
+    StructField("last_month", IntegerType()),
+    StructField("head", LongType()),
+    StructField("tail", LongType()),
+    StructField("best", LongType()),
+    StructField("whole", BooleanType()),
+    StructField("dt", DateType()),
+])
+
 # Merge key of the fact (what the upsert matches on).  The declared primary
 # key (committer_email, d_date_id) is coarser than the table's hourly grain, so
 # checks use this key instead.
