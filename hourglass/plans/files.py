@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.clock import local_day
+from hourglass.operators.facts import hourly_fact
 from hourglass.operators.normalize import normalize_commits
 from hourglass.plans import scenarios as sc
+from hourglass.sources.bucketed import BucketedFact
 from hourglass.sources.events import events_as_bronze, events_as_faulty_bronze, read_events
 from hourglass.operators.streak_months import StreakMonths
 from hourglass.sources.daystore import read_days, replace_days
 from hourglass.sources.landed import land_arrays, land_bronze, land_pages, read_bronze, read_gold, read_silver
-from hourglass.sources.schemas import F_COMMITS_HOURLY, STAGING_COLUMNS
+from hourglass.sources.schemas import F_COMMITS_HOURLY, FACT_MERGE_KEY, STAGING_COLUMNS
 from hourglass.sources.warehouse import Warehouse
 from hourglass.session import scratch_path
 
@@ -188,6 +190,19 @@ def q_merge_reopened(spark, sf_dir):
     return again.table("f_commits_hourly")
 
 
+def q_merge_fact_bucketed(spark, sf_dir):
+    """The merge scenario on a fact bucketed on its merge key; the table read back."""
+    root = scratch_path(spark, "bucketed")
+    database = "hg_" + root.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_catalog'")
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (first, last), days = sc.bounds(spark, sf_dir), sc.run_days_of(spark, sf_dir)
+    fact = BucketedFact(spark, f"{database}.f_commits_hourly", f"{root}/fact", buckets).create()
+    fact.replace_days(sc.target_fact(spark, sf_dir, days).repartition(buckets, *FACT_MERGE_KEY), first, last)
+    fact.merge(hourly_fact(sc.source_staging(spark, sf_dir, days)), days[0], days[-1])
+    return fact.table()
+
+
 def q_longest_streak_incremental(spark, sf_dir):
     """Streaks from monthly summaries: the fact is landed without the run's
     days and summarised, then those days are added and only their months are
@@ -270,6 +285,7 @@ def queries() -> dict:
         "backfill_switched": q_backfill_switched,
         "empty_day_rerun": q_empty_day_rerun,
         "merge_reopened": q_merge_reopened,
+        "merge_fact_bucketed": q_merge_fact_bucketed,
         "longest_streak_incremental": q_longest_streak_incremental,
         "lenient_rejects_rerun": q_lenient_rejects_rerun,
         "lenient_rejects": q_lenient_rejects,
@@ -278,7 +294,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    from hourglass.plans.oracle import FAULTY, RUN, STREAK_CTES, combined_cte, commits_cte, fact_cte, reject_sql
+    from hourglass.plans.oracle import FAULTY, RUN, STREAK_CTES, combined_cte, commits_cte, fact_cte, merge_fact_sql, reject_sql
     staging = f"""WITH {commits_cte('fine')}
 SELECT commit_sha, committer_id, committer_name, committer_email, committer_date, dt FROM commits"""
     backfill = f"""WITH {commits_cte('dirty')}, {fact_cte()}, {combined_cte('fact', 'f')}
@@ -292,6 +308,7 @@ SELECT d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FRO
         "pages_until_empty": f"""WITH {commits_cte('fine')}
 SELECT commit_sha, committer_id, committer_name, committer_email, committer_date, dt FROM commits
 QUALIFY row_number() OVER (PARTITION BY dt ORDER BY CAST(commit_sha AS BIGINT)) <= 200""",
+        "merge_fact_bucketed": merge_fact_sql(delete_zero=True),
         "longest_streak_incremental": f"""WITH {STREAK_CTES}
 SELECT DISTINCT committer_email, run AS longest_streak FROM runs WHERE run = (SELECT max(run) FROM runs)""",
         "silver_scan": staging,

@@ -69,11 +69,9 @@ def q_d_date(spark, sf_dir):
 
 def _fact_and_dates(spark, sf_dir, email):
     """The fact and the date rows of its days.  A fact row exists for every
-    staging row, so its days are the staging days.  (Catalyst prunes the date
-    branch down to a DISTINCT on dt over its own scan, so the input is still
-    read twice; on written tables d_date is simply read.)"""
-    f = sc.fact(spark, sf_dir, email)
-    return f, d_date_rows(f)
+    commit, so its days are those of the commits (read from their times alone;
+    on written tables d_date is simply read)."""
+    return sc.fact(spark, sf_dir, email), d_date_rows(sc.observed_days(read_events(spark, sf_dir)))
 
 
 def _gaps(d_date):
@@ -139,12 +137,12 @@ def q_longest_streak(spark, sf_dir):
 # --- step 4: merges ------------------------------------------------------------
 def q_merge_d_date(spark, sf_dir):
     days = sc.run_days_of(spark, sf_dir)
-    return merge_d_date_table(sc.target_d_date(spark, sf_dir), d_date_rows(sc.source_staging(spark, sf_dir)), days[0], days[-1])
+    return merge_d_date_table(sc.target_d_date(spark, sf_dir, days), d_date_rows(sc.source_staging(spark, sf_dir, days)), days[0], days[-1])
 
 
 def _merged(spark, sf_dir, delete_zero: bool):
     days = sc.run_days_of(spark, sf_dir)
-    return merge_fact_table(sc.target_fact(spark, sf_dir), hourly_fact(sc.source_staging(spark, sf_dir)),
+    return merge_fact_table(sc.target_fact(spark, sf_dir, days), hourly_fact(sc.source_staging(spark, sf_dir, days)),
                             days[0], days[-1], "combine", delete_zero=delete_zero)
 
 
@@ -163,7 +161,7 @@ def q_merge_error_policy(spark, sf_dir):
     source holds twice match nothing and are inserted twice (a second run
     would fail)."""
     days = sc.run_days_of(spark, sf_dir)
-    target = sc.target_fact(spark, sf_dir).where(~F.col("dt").between(F.lit(days[0]), F.lit(days[-1])))
+    target = sc.target_fact(spark, sf_dir, days).where(~F.col("dt").between(F.lit(days[0]), F.lit(days[-1])))
     return merge_fact_table(target, sc.fact(spark, sf_dir, "dirty"), days[0], days[-1], "error")
 
 
@@ -230,7 +228,7 @@ def q_pk_violations_declared(spark, sf_dir):
 def q_fk_orphans(spark, sf_dir):
     """Fact rows whose day has no d_date row: the full fact against the
     merge target's date dimension."""
-    return checks.fk_orphans(sc.fact(spark, sf_dir, "dirty"), sc.target_d_date(spark, sf_dir), "d_date_id")
+    return checks.fk_orphans(sc.fact(spark, sf_dir, "dirty"), sc.target_d_date(spark, sf_dir, sc.run_days_of(spark, sf_dir)), "d_date_id")
 
 
 def q_fk_orphans_d_time(spark, sf_dir):

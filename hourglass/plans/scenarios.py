@@ -62,6 +62,11 @@ def d_date(spark: SparkSession, sf_dir: str, email: str) -> DataFrame:
     return d_date_rows(staging(spark, sf_dir, email))
 
 
+def observed_days(events: DataFrame) -> DataFrame:
+    """The different business days of events, without turning them into commits."""
+    return events.select(local_day(F.col("ts")).alias("dt")).distinct()
+
+
 def _without(spark: SparkSession, sf_dir: str, divisor: int, day: _dt.date) -> DataFrame:
     """``dirty`` commits with local times, but for some ids and one day."""
     sha = F.col("sha").cast("bigint")
@@ -69,15 +74,18 @@ def _without(spark: SparkSession, sf_dir: str, divisor: int, day: _dt.date) -> D
     return rows.where(F.col("dt") != F.lit(day))
 
 
-def target_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return combine_duplicate_keys(hourly_fact(_without(spark, sf_dir, 3, run_days_of(spark, sf_dir)[2])))
+# ``days``: the run's days (``run_days_of``), found once per query.
+def target_fact(spark: SparkSession, sf_dir: str, days: list[_dt.date]) -> DataFrame:
+    return combine_duplicate_keys(hourly_fact(_without(spark, sf_dir, 3, days[2])))
 
 
-def target_d_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = d_date_rows(_without(spark, sf_dir, 3, run_days_of(spark, sf_dir)[2]))
+def target_d_date(spark: SparkSession, sf_dir: str, days: list[_dt.date]) -> DataFrame:
+    """Of the same commits; only their days are needed."""
+    rows = observed_days(read_events(spark, sf_dir).where(F.col("event_id") % 3 != 0)).where(F.col("dt") != F.lit(days[2]))
+    rows = d_date_rows(rows)
     other = F.concat(F.lit("old "), F.col("weekday"))
     return rows.withColumn("weekday", F.when(F.col("d_date_id") % 2 == 0, other).otherwise(F.col("weekday")))
 
 
-def source_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _without(spark, sf_dir, 5, run_days_of(spark, sf_dir)[1])
+def source_staging(spark: SparkSession, sf_dir: str, days: list[_dt.date]) -> DataFrame:
+    return _without(spark, sf_dir, 5, days[1])
