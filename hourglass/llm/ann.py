@@ -8,7 +8,9 @@ is then filed under one leaf.  A query walks the tree through a priority queue
 of nodes, the nearest centre first, and takes leaves as they come out.  How
 many leaves are visited is calibrated: for a bounded number of queries the
 true neighbours are found by brute force over all rows, and the visits are
-widened, doubling, until the wanted share of them lies in visited leaves.
+widened, doubling, until the wanted share of them lies in visited leaves.  A
+query goes on beyond that while its leaves hold fewer than ``k + 1`` ids, so each has ``k``
+neighbours if there are that many candidates.
 
 Scores are cosines in double precision on the original vectors.  Equal
 vectors have equal scores, so each different vector is filed once with its
@@ -84,14 +86,16 @@ class Tree:
             todo += [(c, rows[near == k]) for k, c in enumerate(self.children[node])]
         return out
 
-    def visit(self, query: np.ndarray, leaves: int) -> list[int]:
-        """The first ``leaves`` leaves, best bin first."""
-        out, queue = [], [(0.0, 0)]
-        while queue and len(out) < leaves:
+    def visit(self, query: np.ndarray, leaves: int, held: dict[int, int] | None = None, least: int = 0) -> list[int]:
+        """The first ``leaves`` leaves, best bin first, and more of them while
+        those hold fewer than ``least`` ids (``held``: ids in each leaf)."""
+        out, queue, ids = [], [(0.0, 0)], 0
+        while queue and (len(out) < leaves or held is not None and ids < least):
             _, node = heapq.heappop(queue)
             kids = self.children[node]
             if not kids:
                 out.append(node)
+                ids += held.get(node, 0) if held else 0
                 continue
             for c, near in zip(kids, np.array([self.centres[c] for c in kids]) @ query):
                 heapq.heappush(queue, (-near, c))
@@ -203,6 +207,11 @@ def calibrate(tree: Tree, queries: list[tuple[int, np.ndarray]], truth: dict[int
     return min(visits, every)
 
 
+def _ids_in_leaves(filed: DataFrame) -> dict[int, int]:
+    """Leaf -> ids filed there: a row per leaf, so bounded by the sample that the tree was fitted on."""
+    return {r["leaf"]: r["n"] for r in filed.groupBy("leaf").agg(F.sum(F.size("ids")).alias("n")).collect()}
+
+
 def _blocks(filed: DataFrame) -> DataFrame:
     """leaf, first, parts: leaves next to each other in the tree share a block
     of about ``BLOCK_ROWS`` rows; a leaf with more rows has ``parts`` blocks of
@@ -238,10 +247,13 @@ def search(rows: DataFrame, *, is_query: Column, id_col: str = "vec_id", vec_col
     tried = [(r["vec_id"], np.array(r["vec"])) for r in queries.orderBy(F.xxhash64("vec", "vec_id")).limit(calibration_queries).collect()]
     visits = calibrate(tree, tried, _truth(filed, tried, k), recall) if tried else 1
 
+    sizes = spark.sparkContext.broadcast(_ids_in_leaves(filed))
+
     def walk(batches):
         for pdf in batches:
             if len(pdf):
-                pdf["leaf"] = [held.value.visit(q, visits) for q in unit(matrix(pdf["vec"]))]
+                # The query's own id may be among the ids held, so one more than wanted.
+                pdf["leaf"] = [held.value.visit(q, visits, sizes.value, k + 1) for q in unit(matrix(pdf["vec"]))]
                 yield pdf
 
     asked = queries.mapInPandas(walk, "vec_id long, vec array<double>, leaf array<long>")

@@ -260,16 +260,20 @@ def links(fps: DataFrame, n: int, *, distance: int = DISTANCE, parts: int = PART
 
 
 def _by_halves(fps: DataFrame, distance: int) -> DataFrame:
-    """Fingerprints within ``distance`` share a value within half of it
-    (rounded up) of both: each is grouped under all those values.  The
-    distinct fingerprints under one value are at most as many as the values."""
-    half = -(-distance // 2)
-    flips = [sum(1 << b for b in f) for d in range(half + 1) for f in combinations(range(BITS), d)]
-    signed = [f - (1 << 64) if f >= 1 << 63 else f for f in flips]
-    values = F.explode(F.transform(F.array(*map(F.lit, signed)), lambda x: x.bitwiseXOR(F.col("fp")))).alias("value")
-    met = fps.select("fp", values).groupBy("value").agg(F.sort_array(F.collect_set("fp")).alias("fps")).where(F.size("fps") > 1)
-    pairs = met.select(F.col("fps")[0].alias("a"), F.explode(F.slice("fps", 2, 1 << 30)).alias("b"))
-    return pairs if distance % 2 == 0 else pairs.where(_near("a", "b", distance))
+    """Fingerprints within ``distance`` share a value that lies within half of
+    it, rounded down, of one and half of it, rounded up, of the other: each is
+    grouped under all values within the larger half.  Under one value the
+    smallest fingerprint within the smaller half, if there is any, is close
+    enough to all the others, so a star from it links what is linked there.
+    The distinct fingerprints under one value are at most as many as the values."""
+    low, half = distance // 2, -(-distance // 2)
+    flips = [(sum(1 << b for b in f), d > low) for d in range(half + 1) for f in combinations(range(BITS), d)]
+    signed = F.array(*(F.struct(F.lit(f - (1 << 64) if f >= 1 << 63 else f).alias("flip"), F.lit(far).alias("far")) for f, far in flips))
+    values = F.explode(F.transform(signed, lambda x: F.struct(x["flip"].bitwiseXOR(F.col("fp")).alias("value"), x["far"].alias("far")))).alias("at")
+    met = fps.select("fp", values).groupBy("at.value").agg(F.sort_array(F.collect_set("fp")).alias("fps"),
+                                                           F.min(F.struct("at.far", "fp")).alias("first")).where(F.size("fps") > 1)
+    pairs = met.where(~F.col("first.far")).select(F.col("first.fp").alias("a"), F.explode("fps").alias("b")).where(F.col("a") != F.col("b"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,

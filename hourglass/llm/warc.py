@@ -13,7 +13,8 @@ no half file behind.
 Reading.  A file is scanned for every place where a record could begin, magic
 inside payloads included.  Each candidate's header gives the offset of its
 successor; a candidate without a whole header, or whose payload does not end
-in the record's end mark, has none.  Pointer jumping from the start of the
+in the record's end mark, has none.  Headers may have any length: header ends
+and lengths are found in one pass each, which all candidates share.  Pointer jumping from the start of the
 file, doubling the hops in each step, keeps the candidates that are reachable,
 which are the records.  A chain that does not end with the file is an error
 (``strict=False``: what was reached is returned).
@@ -30,6 +31,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +47,7 @@ FILE_BYTES = 8 << 20
 MIN_BYTES = 0
 BROADCAST_ROWS = 100_000
 MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
-HEADER_BYTES = 1 << 16
+LENGTH = re.compile(rb"\r\nContent-Length: *(\d{1,18})(?=\r\n)", re.I)
 END = b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
@@ -101,13 +103,18 @@ def candidates(data: bytes) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int
     """Offsets where a record could begin, the offset that follows each (-1:
     not a record), and each one's header end, payload start and payload end."""
     starts, after, parts = [], [], []
+    lengths = [(m.start(), int(m[1])) for m in LENGTH.finditer(data)]
+    end = -1
     for found in MAGIC.finditer(data):
         at = found.start()
-        end = data.find(END, found.end() - 2, at + HEADER_BYTES)
-        length = re.search(rb"\r\nContent-Length: *(\d{1,18})(?:\r\n|$)", data[at:end], re.I) if end >= 0 else None
+        if end < found.end() - 2:  # otherwise the same end of a header is the next one
+            end = data.find(END, found.end() - 2)
+            end = end if end >= 0 else len(data)
+        k = bisect_left(lengths, (at, -1))
+        known = end < len(data) and k < len(lengths) and lengths[k][0] < end
         body = end + len(END)
-        stop = body + int(length[1]) if length else -1
-        good = length is not None and data[stop:stop + len(END)] == END
+        stop = body + lengths[k][1] if known else -1
+        good = known and data[stop:stop + len(END)] == END
         starts.append(at)
         after.append(stop + len(END) if good else -1)
         parts.append((end, body, stop))

@@ -52,6 +52,18 @@ def test_the_query_on_its_table(spark):
     got = by_query(ann.op3_ann(spark, "/root/testdata/sf0.01"))
     want = brute(vectors, [v for v in vectors if v[0] % 50 == 0], 5)
     assert set(got) == set(want) and recall(got, want) >= 0.9
+    assert all([r.rank for r in rows] == [1, 2, 3, 4, 5] for rows in got.values())
+
+
+def test_queries_in_tiny_leaves_find_enough(spark):
+    """Outliers that sit in leaves of one or two rows."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(6, 12)) * 5
+    x = centres[rng.integers(0, 6, 1500)] + 0.01 * rng.normal(size=(1500, 12))
+    x[:12] = rng.normal(size=(12, 12)) * 50
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = by_query(ann.search(frame, is_query=F.col("vec_id") < 12, leaf_rows=16, recall=0.05, calibration_queries=4))
+    assert len(got) == 12 and all(len(rows) == 5 for rows in got.values())
 
 
 def test_ties_copies_and_odd_vectors(spark):

@@ -68,6 +68,17 @@ def test_pointer_jumping_is_walking():
         assert kept.tolist() == walked and whole == (at == 400)
 
 
+def test_headers_of_any_length(spark, tmp_path):
+    """A URL of 300 KB, and a payload of many magics without the end of a header."""
+    data = [(1, "https://x/" + "a" * 300_000, "one"), (2, "u", "WARC/1.1\r\nContent-Length: 3\r\n" * 40_000), (3, "WARC/1.0", "three" + FAKE)]
+    warc.write(spark.createDataFrame(data, "page_id long, url string, html string").coalesce(1), str(tmp_path / "w"))
+    got = {r.record_id: r for r in warc.read(spark, str(tmp_path / "w"), payload=True).collect()}
+    assert len(got) == 3
+    for page_id, url, text in data:
+        r = got[f"<urn:page:{page_id}>"]
+        assert (r.target_uri, bytes(r.payload).decode(), r.payload_bytes) == (url, text, len(text))
+
+
 def test_broken_archives():
     good = FAKE.encode()
     assert len(list(warc.records_of("f", good * 5))) == 5
