@@ -52,16 +52,23 @@ def words_only(text: str) -> bytes:
 
 def learn(labelled: DataFrame, *, text_col: str = "text", label_col: str = "lang", sample_rows: int = SAMPLE_ROWS,
           sample_chars: int = SAMPLE_CHARS, dictionary_bytes: int = DICTIONARY_BYTES) -> list[tuple[str, bytes]]:
-    """(language, dictionary), the language with most rows first."""
+    """(language, dictionary), the language with most different texts first.
+
+    Copies count once, so a language whose rows are mostly copies of one text is
+    sampled as fully as the others; a text teaches by ``sample_chars``
+    characters from a place that its hash gives."""
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(label_col).alias("lang"), F.col(text_col).alias("text"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    different = rows.groupBy("lang", "hash").agg(F.lit(1).alias("one"))
+    counts = {r["lang"]: r["n"] for r in different.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return []
     share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sample_rows / n))))
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+    place = F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)
+    start = F.pmod(F.xxhash64("hash"), F.greatest(F.char_length("text") - sample_chars, F.lit(0)) + 1).cast("int") + 1
     rows = rows.withColumn("place", place).where(F.col("place") < F.element_at(share, F.col("lang")))
-    sample = rows.select("lang", "place", F.substring("text", 1, sample_chars).alias("text")).distinct()
+    sample = rows.select("lang", "place", F.substring("text", start, F.lit(sample_chars)).alias("text")).distinct()
     texts: dict[str, list[bytes]] = {}
     for r in sorted(sample.collect(), key=lambda r: (r["place"], r["text"])):
         own = texts.setdefault(r["lang"], [])

@@ -35,3 +35,14 @@ def test_edges(spark):
     one = L.identify(docs, L.learn(docs.where("lang = 'de'")), keep=["doc_id"]).where("doc_id = 1").collect()
     assert (one[0].lang_pred, one[0].lang_score, one[0].lang_rejected) == ("de", 1.0, False)
     assert L.identify(docs.limit(0), L.learn(docs), keep=["doc_id"]).count() == 0
+
+
+def test_a_language_of_copies_is_sampled_fully(spark):
+    """40 different texts among 4,000 copies of another: each of them teaches."""
+    word = lambda k: "".join(chr(97 + (k * 7 + j * j) % 26) for j in range(6))
+    rows = [("xx", "copied copied text")] * 4000 + [("xx", " ".join(word(k * 50 + j) for j in range(20))) for k in range(40)]
+    docs = spark.createDataFrame([(t, lang) for lang, t in rows], "text string, lang string")
+    learned = dict(L.learn(docs, sample_rows=50))["xx"].decode()
+    assert all(word(k * 50) in learned for k in range(40))
+    long = spark.createDataFrame([("first " * 500 + "last " * 500, "xx"), ("a" * 10, "xx")], "text string, lang string")
+    assert len(dict(L.learn(long, sample_chars=400))["xx"]) > 300
