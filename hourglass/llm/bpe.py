@@ -35,7 +35,7 @@ from hourglass.llm.common import map_rows, table
 from hourglass.llm.units import Units
 
 LEAF = 8
-LEAVES = 1 << 18
+LEAVES = 1 << 17
 IDS_AT_ONCE = 4096
 NAIVE = 64
 PAIRS = 1 << 18
@@ -193,9 +193,27 @@ def decode(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "ids",
     return map_rows(encoded, [ids_col], make, "decoded binary", [id_col, ids_col])
 
 
+def round_trip(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None,
+               pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """``encode`` and ``decode`` of its ids in one pass, so that each task
+    needs one Python worker instead of two, which both would hold the memos."""
+    held = _sent(docs, ranks_path, pattern)
+
+    def make():
+        coder, units = _coder(held)
+
+        def row(text: bytes | None) -> tuple[bytes, bytes]:
+            ids = b"".join(units((text or b"").decode()))
+            return ids, coder.text(np.frombuffer(ids, "<u4"))
+
+        return row
+
+    return map_rows(docs, [text_col], make, "ids binary, decoded binary", [id_col])
+
+
 def op4_bpe(spark, sf_dir):
     """Per document: tokens, digest of the ids, digest of the decoded bytes."""
-    return digests(decode(encode(table(spark, sf_dir, "documents"))))
+    return digests(round_trip(table(spark, sf_dir, "documents")))
 
 
 def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

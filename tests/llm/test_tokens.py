@@ -110,6 +110,7 @@ def test_frames(spark):
     got = bpe.digests(bpe.decode(bpe.encode(docs))).collect()
     assert sorted((r.doc_id or 0, r.decoded_sha256) for r in got) == sorted(
         (a or 0, hashlib.sha256((t or "").encode()).hexdigest()) for a, t, _ in rows)
+    assert sorted(map(str, bpe.digests(bpe.round_trip(docs)).collect())) == sorted(map(str, got))
     counts = token_count.count_tokens(docs).collect()
     assert sorted((r.doc_id or 0, r.n_bytes, r.n_tokens) for r in counts) == sorted(
         (r.doc_id or 0, len((t or "").encode()), r.n_tokens) for r, (_, t, _) in zip(got, rows))
