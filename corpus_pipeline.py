@@ -86,7 +86,7 @@ def stage_secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def stage_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    decoded = bpe.decode(bpe.encode(docs))
+    decoded = bpe.round_trip(docs)
     return decoded.select("doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                           F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
