@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import map_rows, table
+from hourglass.llm.common import cache, map_rows, table
 from hourglass.llm.units import Units
 
 LEAF = 8
@@ -148,7 +148,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(number) for token, number in map(bytes.split, lines)}
 
 
-_CODERS: dict[str, tuple[Bpe, Units]] = {}
+_CODERS: dict[str, tuple[Bpe, Units]] = cache("bpe")
 
 
 def _coder(held) -> tuple[Bpe, Units]:
@@ -179,7 +179,7 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", r
         units = _coder(held)[1]
         return lambda text: (b"".join(units((text or b"").decode())),)
 
-    return map_rows(docs, [text_col], make, "ids binary", [id_col])
+    return map_rows(docs, [text_col], make, "ids binary", [id_col], "bpe")
 
 
 def decode(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "ids", ranks_path: str | None = None) -> DataFrame:
@@ -190,7 +190,7 @@ def decode(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "ids",
         up = _coder(held)[0].text
         return lambda ids: (up(np.frombuffer(ids or b"", "<u4")),)
 
-    return map_rows(encoded, [ids_col], make, "decoded binary", [id_col, ids_col])
+    return map_rows(encoded, [ids_col], make, "decoded binary", [id_col, ids_col], "bpe")
 
 
 def round_trip(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None,
@@ -208,7 +208,7 @@ def round_trip(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
         return row
 
-    return map_rows(docs, [text_col], make, "ids binary, decoded binary", [id_col])
+    return map_rows(docs, [text_col], make, "ids binary, decoded binary", [id_col], "bpe")
 
 
 def op4_bpe(spark, sf_dir):

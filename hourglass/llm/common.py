@@ -15,6 +15,21 @@ from hourglass.session import scratch_path
 ROWS_AT_ONCE = 256
 
 
+_CACHES: dict[str, dict] = {}
+
+
+def cache(owner: str) -> dict:
+    """What an operator keeps in a Python worker from task to task."""
+    return _CACHES.setdefault(owner, {})
+
+
+def release(owner: str | None = None) -> None:
+    """Drop what other operators keep here: workers are used again by the next stage."""
+    for name, held in _CACHES.items():
+        if name != owner:
+            held.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -32,11 +47,11 @@ def struct(ddl: str) -> StructType:
 
 
 def map_rows(df: DataFrame, args: list[str], make: Callable[[], Callable[..., tuple]], ddl: str,
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None, owner: str | None = None) -> DataFrame:
     """The columns ``keep`` of ``df`` as they are, and those of ``ddl``: the
     row function's results for the columns ``args``, of which strings arrive
     as UTF-8 bytes.  ``make()`` runs once in each task and returns the row
-    function.  Rows are taken a few at a time, so that memory follows the
+    function; ``owner`` names the cache that it may use.  Rows are taken a few at a time, so that memory follows the
     texts at hand.
     """
     keep = keep or []
@@ -44,6 +59,7 @@ def map_rows(df: DataFrame, args: list[str], make: Callable[[], Callable[..., tu
     schema = StructType([f for f in df.schema if f.name in keep] + struct(ddl).fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(owner)
         row, out = make(), to_arrow_schema(schema)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):

@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import map_rows, table
+from hourglass.llm.common import cache, map_rows, table
 
 DICTIONARY_BYTES, LEVEL = 65536, 6
 BLOCK_BYTES = 16384
@@ -106,7 +106,7 @@ class Identifier:
         return self.names[best], margin, margin < self.reject_margin
 
 
-_KNOWN: dict[str, Identifier] = {}
+_KNOWN: dict[str, Identifier] = cache("language_id")
 
 
 def _identifier(held) -> Identifier:
@@ -121,7 +121,7 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], *, text_col
              level: int = LEVEL, reject_margin: float = REJECT_MARGIN) -> DataFrame:
     """The columns ``keep`` with ``lang_pred``, ``lang_score`` and ``lang_rejected``."""
     held = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, (dictionaries, level, reject_margin)))
-    return map_rows(docs, [text_col], lambda: _identifier(held), "lang_pred string, lang_score double, lang_rejected boolean", keep)
+    return map_rows(docs, [text_col], lambda: _identifier(held), "lang_pred string, lang_score double, lang_rejected boolean", keep, "language_id")
 
 
 def held_out(id_col: str):

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
-from hourglass.llm.common import map_rows, table
+from hourglass.llm.common import cache, map_rows, table
 from hourglass.llm.units import Units
 
 LIMIT = 512
@@ -199,7 +199,7 @@ class Counter:
         return sum(sum(self.units(part)) for part in parts) + len(parts) - 1
 
 
-_COUNTERS: dict[str, Counter] = {}
+_COUNTERS: dict[str, Counter] = cache("token_count")
 
 
 def _counter(held) -> Counter:
@@ -220,7 +220,7 @@ def count_tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         counter = _counter(held)
         return lambda text: (len(text or b""), counter.count((text or b"").decode()))
 
-    return map_rows(docs, [text_col], make, "n_bytes bigint, n_tokens bigint", [id_col])
+    return map_rows(docs, [text_col], make, "n_bytes bigint, n_tokens bigint", [id_col], "token_count")
 
 
 def op10_token_count(spark, sf_dir):

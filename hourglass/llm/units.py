@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-MEMO_ENTRIES = 200_000
+MEMO_ENTRIES = 150_000
 MEMO_KEY = 64
 
 
