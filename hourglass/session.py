@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -72,3 +74,20 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused folder below the checkpoint root."""
     return os.path.join(checkpoint_root(spark), f"hourglass-{label}-{uuid.uuid4().hex[:12]}")
+
+
+def clear_scratch(spark: SparkSession, older_than_hours: float) -> list[str]:
+    """Remove the scratch folders that nothing was written to for that long;
+    returns their names.  Only folders that ``scratch_path`` named are touched.
+    DataFrames that read one of them cannot be read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_root(spark))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    limit, gone = int((time.time() - older_than_hours * 3600) * 1000), []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if status.isDirectory() and re.fullmatch(r"hourglass-.+-[0-9a-f]{12}", name) and status.getModificationTime() <= limit:
+            fs.delete(status.getPath(), True)
+            gone.append(name)
+    return gone
