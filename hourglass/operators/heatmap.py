@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.functions.clock import HOUR_RANGE_LABELS
@@ -36,7 +36,8 @@ def fact_enriched(fact: DataFrame, d_date: DataFrame, d_time: DataFrame) -> Data
 
 def heatmap(fact: DataFrame, d_date: DataFrame, d_time: DataFrame,
             distinct_first: bool = False,
-            labels: tuple[str, ...] = HOUR_RANGE_LABELS) -> DataFrame:
+            labels: tuple[str, ...] = HOUR_RANGE_LABELS,
+            dates: Column | None = None) -> DataFrame:
     """One row per weekday, one BIGINT column per hour-range label.
 
     The fact meets the dimensions as sums per date and hour, so at most 24
@@ -46,12 +47,25 @@ def heatmap(fact: DataFrame, d_date: DataFrame, d_time: DataFrame,
     ``labels`` is not counted; a missing dimension row gives a NULL weekday
     row, sorted first.  Each cell is SUM(CASE WHEN label = x THEN count ELSE 0
     END): one hash aggregate, partial on the map side.
+
+    ``dates`` is a condition on d_date's columns (a weekday, a month): only
+    the chosen dates count, and a fact row without a date row does not.  The
+    join then carries ``dt`` as well, so that Spark prunes the fact's day
+    folders by the chosen dates before it reads them.
     """
-    keys = fact.select("d_date_id", "d_time_id", "commit_count")
+    by = ["d_date_id", "d_time_id"] if dates is None else ["dt", "d_date_id", "d_time_id"]
+    keys = fact.select(*by, "commit_count")
     # The form that drops equal rows needs every different count; the other one only their sum.
-    keys = keys.distinct() if distinct_first else keys.groupBy("d_date_id", "d_time_id").agg(F.sum("commit_count").alias("commit_count"))
-    rows = (keys.join(d_date.select("d_date_id", "weekday", "weekday_number"), "d_date_id", "left")
-            .join(d_time.select("d_time_id", "hour_range_str"), "d_time_id", "left")
+    keys = keys.distinct() if distinct_first else keys.groupBy(*by).agg(F.sum("commit_count").alias("commit_count"))
+    if dates is None:
+        rows = keys.join(d_date.select("d_date_id", "weekday", "weekday_number"), "d_date_id", "left")
+    else:
+        # Days are pruned by the very rows that are broadcast (counted first).  The columns stay in the
+        # table's order: for another one Spark does not see that both are the same, and reads every day.
+        used = ("dt", "d_date_id", "weekday", "weekday_number")
+        chosen = counted(d_date.where(dates).select(*(c for c in d_date.columns if c in used)))
+        rows = keys.join(chosen, ["dt", "d_date_id"])
+    rows = (rows.join(d_time.select("d_time_id", "hour_range_str"), "d_time_id", "left")
             .select("weekday", "weekday_number", "hour_range_str", "commit_count"))
     if distinct_first:
         rows = rows.distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.operators.heatmap import heatmap
@@ -33,5 +33,5 @@ def committers_longest_streak(fact: DataFrame) -> DataFrame:
 
 
 def weekday_hour_heatmap(fact: DataFrame, d_date: DataFrame, d_time: DataFrame,
-                         distinct_first: bool = False) -> DataFrame:
-    return heatmap(fact, d_date, d_time, distinct_first=distinct_first)
+                         distinct_first: bool = False, dates: Column | None = None) -> DataFrame:
+    return heatmap(fact, d_date, d_time, distinct_first=distinct_first, dates=dates)

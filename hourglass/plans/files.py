@@ -16,12 +16,14 @@ from hourglass.functions.clock import local_day
 from hourglass.operators.facts import hourly_fact
 from hourglass.operators.normalize import normalize_commits
 from hourglass.plans import scenarios as sc
+from hourglass.plans.analytics import weekday_hour_heatmap
 from hourglass.sources.bucketed import BucketedFact
 from hourglass.sources.events import events_as_bronze, events_as_faulty_bronze, read_events
 from hourglass.operators.streak_months import StreakMonths
 from hourglass.sources.daystore import read_days, replace_days
+from hourglass.sources.key_filters import KeyFilters
 from hourglass.sources.landed import land_arrays, land_bronze, land_pages, read_bronze, read_gold, read_silver
-from hourglass.sources.schemas import F_COMMITS_HOURLY, FACT_MERGE_KEY, STAGING_COLUMNS
+from hourglass.sources.schemas import F_COMMITS_HOURLY, FACT_MERGE_KEY, STAGING, STAGING_COLUMNS
 from hourglass.sources.warehouse import Warehouse
 from hourglass.session import scratch_path
 
@@ -219,6 +221,30 @@ def q_longest_streak_incremental(spark, sf_dir):
     return kept.longest_streak()
 
 
+def q_pk_violations_filtered(spark, sf_dir):
+    """Staging's declared key, checked by a run that probes the days' filters:
+    all days are landed, then the run's days again with a copy of every commit
+    whose sha is divisible by 13."""
+    root, filters = scratch_path(spark, "keystaging"), scratch_path(spark, "keyfilters")
+    rows = sc.staging(spark, sf_dir, "fine")
+    (first, last), days = sc.bounds(spark, sf_dir), sc.run_days_of(spark, sf_dir)
+    kept = KeyFilters(spark, filters, ["commit_sha"], lambda a, b: read_days(spark.read, spark, root, "parquet", STAGING, a, b))
+    replace_days(rows, root, "parquet", first, last)
+    kept.update(first, last)
+    run = F.col("dt").between(F.lit(days[0]), F.lit(days[-1]))
+    copies = rows.where(F.col("commit_sha").cast("bigint") % 13 == 0).withColumn("dt", F.lit(days[1]))
+    replace_days(rows.where(run).unionByName(copies), root, "parquet", days[0], days[-1])
+    kept.update(days[0], days[-1])
+    return kept.violations(days[0], days[-1])
+
+
+def q_heatmap_weekend(spark, sf_dir):
+    """The heat map of Saturdays and Sundays, over the warehouse: the fact's
+    other days are not read."""
+    wh = _backfilled(spark, sf_dir, "weekend")
+    return weekday_hour_heatmap(wh.table("f_commits_hourly"), wh.table("d_date"), wh.table("d_time"), dates=F.col("weekday_number") >= 6)
+
+
 def _lenient_run(spark, sf_dir, mended: bool = False) -> tuple[Warehouse, str]:
     """Faulty records landed as bronze, then a lenient range run: valid rows
     are loaded, the rest written to a reject folder.  ``mended``: the run's
@@ -287,6 +313,8 @@ def queries() -> dict:
         "merge_reopened": q_merge_reopened,
         "merge_fact_bucketed": q_merge_fact_bucketed,
         "longest_streak_incremental": q_longest_streak_incremental,
+        "pk_violations_filtered": q_pk_violations_filtered,
+        "heatmap_weekend": q_heatmap_weekend,
         "lenient_rejects_rerun": q_lenient_rejects_rerun,
         "lenient_rejects": q_lenient_rejects,
         "lenient_fact": q_lenient_fact,
@@ -294,7 +322,8 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    from hourglass.plans.oracle import FAULTY, RUN, STREAK_CTES, combined_cte, commits_cte, fact_cte, merge_fact_sql, reject_sql
+    from hourglass.plans.oracle import (D_TIME_3H, FAULTY, RUN, STREAK_CTES, combined_cte, commits_cte, fact_cte, heatmap_sql,
+                                        merge_fact_sql, reject_sql)
     staging = f"""WITH {commits_cte('fine')}
 SELECT commit_sha, committer_id, committer_name, committer_email, committer_date, dt FROM commits"""
     backfill = f"""WITH {commits_cte('dirty')}, {fact_cte()}, {combined_cte('fact', 'f')}
@@ -311,6 +340,9 @@ QUALIFY row_number() OVER (PARTITION BY dt ORDER BY CAST(commit_sha AS BIGINT))
         "merge_fact_bucketed": merge_fact_sql(delete_zero=True),
         "longest_streak_incremental": f"""WITH {STREAK_CTES}
 SELECT DISTINCT committer_email, run AS longest_streak FROM runs WHERE run = (SELECT max(run) FROM runs)""",
+        "pk_violations_filtered": f"""WITH {commits_cte('fine')}
+SELECT commit_sha, CAST(2 AS BIGINT) AS n FROM commits WHERE CAST(commit_sha AS BIGINT) % 13 = 0""",
+        "heatmap_weekend": heatmap_sql(D_TIME_3H, distinct=False, email="dirty", rows="isodow(dt) >= 6"),
         "silver_scan": staging,
         "gold_parquet": staging,
         "backfill_range": backfill,

@@ -83,15 +83,16 @@ SELECT t.d_time_id, t.hour_range_str, CAST(COALESCE(p.commit_count, 0) AS BIGINT
 FROM d_time t LEFT JOIN per p ON t.d_time_id = p.d_time_id"""
 
 
-def heatmap_sql(d_time_cte: str, distinct: bool, days: str = "TRUE") -> str:
+def heatmap_sql(d_time_cte: str, distinct: bool, days: str = "TRUE", email: str = "coarse", rows: str = "TRUE") -> str:
     """Each cell as a filtered sum over (day, label, count) rows."""
     cells = ",\n    ".join(
         f"CAST(coalesce(sum(n) FILTER (WHERE label = '{x}'), 0) AS BIGINT) AS \"{x}\"" for x in LABELS)
-    return f"""WITH {commits_cte('coarse')}, {fact_cte()}, {d_date_cte()}, {d_time_cte},
+    return f"""WITH {commits_cte(email)}, {fact_cte()}, {d_date_cte()}, {d_time_cte},
 known AS (SELECT d_date_id AS k, weekday, weekday_number FROM d_date WHERE {days}),
 counts AS (
   SELECT {'DISTINCT ' if distinct else ''}known.weekday, known.weekday_number, d_time.hour_range_str AS label, fact.commit_count AS n
-  FROM fact LEFT JOIN known ON known.k = fact.d_date_id LEFT JOIN d_time USING (d_time_id))
+  FROM fact LEFT JOIN known ON known.k = fact.d_date_id LEFT JOIN d_time USING (d_time_id)
+  WHERE {rows})
 SELECT weekday,
     {cells}
 FROM counts GROUP BY ALL ORDER BY min(weekday_number) NULLS FIRST"""
