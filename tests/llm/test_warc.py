@@ -59,13 +59,27 @@ def test_pointer_jumping_is_walking():
     rng = np.random.default_rng(3)
     for _ in range(200):
         starts = np.unique(np.append(rng.integers(0, 400, 60), 0))
-        after = np.where(rng.random(len(starts)) < 0.1, -1, [rng.choice([*starts[starts > s], 400]) for s in starts])
-        at, walked = 0, []
-        while at in starts:
-            walked.append(int(np.searchsorted(starts, at)))
-            at = int(after[walked[-1]])
-        kept, whole = warc.reachable(starts, after, 400)
-        assert kept.tolist() == walked and whole == (at == 400)
+        after = np.where(rng.random(len(starts)) < 0.1, -1, [rng.choice([*starts[starts > s], 400, 500]) for s in starts])
+        last, leaves = warc.leave(starts, after)
+        for k in range(len(starts)):
+            at = k
+            while after[at] in starts:
+                at = int(np.searchsorted(starts, after[at]))
+            assert last[k] == at and leaves[k] == after[at]
+
+
+@pytest.mark.parametrize("range_bytes", [37, 150, 1000, 20_000])
+def test_ranges_cut_anywhere(spark, tmp_path, monkeypatch, range_bytes):
+    """Borders inside headers, end marks and magic; the plan sent in several turns."""
+    monkeypatch.setattr(warc, "RANGES_SENT", 40)
+    data = rows()[:40] + [(900, "u" * 200, FAKE * 5, 1), (901, None, "", 1)]
+    warc.write(spark.createDataFrame(data, "page_id long, url string, html string, sha1 long").coalesce(1), str(tmp_path / "w"), file_bytes=6000 if range_bytes < 100 else 1 << 30)
+    text = {f"<urn:page:{i}>": (t or "").encode() for i, _, t, _ in data}
+    got = warc.read(spark, str(tmp_path / "w"), payload=True, range_bytes=range_bytes).collect()
+    assert sorted(r.record_id for r in got) == sorted(text)
+    for r in got:
+        assert r.payload_digest == base64.b32encode(hashlib.sha1(text[r.record_id]).digest()).decode()
+        assert bytes(r.payload) == (text[r.record_id] if r.record_type == "response" else b"")
 
 
 def test_headers_of_any_length(spark, tmp_path):
@@ -79,11 +93,19 @@ def test_headers_of_any_length(spark, tmp_path):
         assert (r.target_uri, bytes(r.payload).decode(), r.payload_bytes) == (url, text, len(text))
 
 
-def test_broken_archives():
+def _read(spark, folder, data, **how):
+    folder.mkdir()
+    (folder / "part-0").write_bytes(data)
+    return warc.read(spark, str(folder), **how).count()
+
+
+def test_broken_archives(spark, tmp_path):
     good = FAKE.encode()
-    assert len(list(warc.records_of("f", good * 5))) == 5
-    for bad in (good + good[:-1], b"x" + good, good + b"junk", good.replace(b"Length: 3", b"Length: 99999")):
+    assert _read(spark, tmp_path / "good", good * 5, range_bytes=50) == 5
+    for k, bad in enumerate((good + good[:-1], b"x" + good, good + b"junk", good.replace(b"Length: 3", b"Length: 99999"))):
         with pytest.raises(ValueError):
-            list(warc.records_of("f", bad))
-    assert len(list(warc.records_of("f", good + good[:-1], strict=False))) == 1
-    assert list(warc.records_of("f", b"")) == []
+            _read(spark, tmp_path / f"bad{k}", bad, range_bytes=50)
+    assert _read(spark, tmp_path / "cut", good + good[:-1], strict=False) == 1
+    assert _read(spark, tmp_path / "cut50", good * 3 + good[:-1], strict=False, range_bytes=50) == 3
+    assert _read(spark, tmp_path / "junk", good + b"junk" + good, strict=False, range_bytes=50) == 1
+    assert _read(spark, tmp_path / "none", b"") == 0
