@@ -36,13 +36,14 @@ def hourly_fact(staging: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS) -> D
             .select(*FACT_COLUMNS))
 
 
-def hourly_fact_by_key(staging: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS) -> DataFrame:
+def hourly_fact_by_key(staging: DataFrame, offset_hours: int = LOCAL_OFFSET_HOURS,
+                       several: Column | None = None) -> DataFrame:
     """The hourly fact already combined on the merge key (email, hour, date):
     COUNT(1) and the largest committer_id per key, in one aggregation.
 
     Equal to ``operators.merge.combine_duplicate_keys(hourly_fact(staging))``
     but with one shuffle instead of two, partitioned on the merge key the
-    upsert joins on.
+    upsert joins on.  ``several``: one more aggregate, kept as column ``several``.
     """
     hour = _hour(staging, offset_hours)
     keyed = staging.select(F.col("committer_email"), hour.alias("d_time_id"),
@@ -50,5 +51,5 @@ def hourly_fact_by_key(staging: DataFrame, offset_hours: int = LOCAL_OFFSET_HOUR
     return (keyed.groupBy(*FACT_MERGE_KEY)
             .agg(F.max("committer_id").alias("committer_id"),
                  F.count(F.lit(1)).alias("commit_count"),
-                 F.max("dt").alias("dt"))
-            .select(*FACT_COLUMNS))
+                 F.max("dt").alias("dt"), *([] if several is None else [several.alias("several")]))
+            .select(*FACT_COLUMNS, *([] if several is None else ["several"])))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from hourglass.functions.clock import LOCAL_OFFSET_HOURS
 from hourglass.operators.dims import d_date_rows
 from hourglass.operators.facts import hourly_fact, hourly_fact_by_key
+from hourglass.operators.gates import Gates, Watch, check, orphan, several_ids
 from hourglass.operators.merge import upsert_d_date, upsert_fact
 from hourglass.operators.normalize import normalize_commits, split_tagged, tag_rejects
 from hourglass.session import scratch_path
@@ -24,6 +25,8 @@ from hourglass.sources.daystore import replace_days
 from hourglass.sources.landed import read_bronze, read_silver
 from hourglass.sources.warehouse import Warehouse
 
+HOURS = 24
+
 
 @dataclass
 class RunResult:
@@ -37,7 +40,7 @@ class RunResult:
 def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
              bronze_root: str | None = None, layout: str = "array", mode: str = "strict",
              offset_hours: int = LOCAL_OFFSET_HOURS, on_duplicate: str = "combine",
-             write_silver: bool = True, reject_root: str | None = None) -> RunResult:
+             write_silver: bool = True, reject_root: str | None = None, gates: Gates | None = None) -> RunResult:
     """Re-run business days first..last end to end.
 
     ``mode="strict"`` fails on any invalid record or on a record whose day
@@ -46,7 +49,15 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
     run parses bronze once: the flattened records are written with their
     reject reason to the shared scratch folder, and both sides read from there.
     The rejects of the range's days are replaced like every other layer.
+
+    ``gates``: limits on rejects, duplicate keys and orphans (``operators.gates``).
+    A run that breaks the first leaves every layer as it was; one that breaks the
+    others leaves the fact as it was (they need an isolated warehouse and
+    ``on_duplicate="combine"``).
     """
+    gates = gates or Gates()
+    if gates.on_fact() and not (wh.isolated and on_duplicate == "combine"):
+        raise ValueError("gates on the fact need an isolated warehouse and on_duplicate='combine'")
     if first > last:
         raise ValueError(f"first day {first} is after last day {last}")
     spark = wh.spark
@@ -65,7 +76,11 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
                            F.lit("wrong_day_folder"))
         tagged = tagged.withColumn("reject_reason", F.coalesce(F.col("reject_reason"), misplaced))
         held = scratch_path(spark, "tagged")
-        tagged.write.parquet(held)
+        watch = Watch(rejected=F.col("reject_reason").isNotNull())
+        watch.over(tagged).write.parquet(held)
+        if gates.reject_share is not None:
+            seen = watch.counts()
+            check("share of rejected records", seen["rejected"] / max(seen["rows"], 1), gates.reject_share)
         rows, rejects = split_tagged(spark.read.schema(tagged.schema).parquet(held), keep=("landed_dt",))
         if reject_root:
             replace_days(rejects, reject_root, "json", first, last, column="landed_dt")
@@ -90,13 +105,27 @@ def run_days(wh: Warehouse, first: _dt.date, last: _dt.date, *,
     new_dates = upsert_d_date(wh.days("d_date", first, last), d_date_rows(staged), first, last)
     # One row per day: no rebalance needed for one file per day.
     writes["d_date"] = wh.replace_days("d_date", new_dates, first, last, rebalance=False)
+    # Without staging days there is no source row to look at.
+    watched = gates.on_fact() and bool(writes["staging_commits"].days)
+    keys = Watch(duplicates=F.col("several"))
     if on_duplicate == "combine":
-        source = hourly_fact_by_key(staging, offset_hours)      # one aggregation, keyed for the join
+        source = hourly_fact_by_key(staging, offset_hours, several_ids() if watched else None)      # one aggregation, keyed for the join
     else:
         source = hourly_fact(staging, offset_hours)             # as-written grain, duplicates kept
+    if watched:
+        source = keys.over(source).drop("several")
     new_fact = upsert_fact(wh.days("f_commits_hourly", first, last), source, first, last,
                            on_duplicate=on_duplicate, delete_zero=True,
                            source_combined=on_duplicate == "combine")
-    writes["f_commits_hourly"] = wh.replace_days("f_commits_hourly", new_fact, first, last)
+    gate = None
+    if watched:
+        hours = [r["d_time_id"] for r in wh.table("d_time").select("d_time_id").distinct().limit(HOURS).collect()]
+        links = Watch(orphans=orphan(writes["d_date"].days, hours))
+        new_fact = links.over(new_fact)
+
+        def gate():
+            check("merge keys with several committer ids", keys.counts()["duplicates"], gates.duplicate_keys)
+            check("fact rows without a date or hour row", links.counts()["orphans"], gates.orphans)
+    writes["f_commits_hourly"] = wh.replace_days("f_commits_hourly", new_fact, first, last, gate=gate)
     return RunResult(first, last, {t: w.empty_days for t, w in writes.items()},
                      {t: w.days for t, w in writes.items()}, rejects)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from hourglass.functions.clock import local_day
 from hourglass.operators.facts import hourly_fact
+from hourglass.operators.gates import GateClosed, Gates
 from hourglass.operators.normalize import normalize_commits
 from hourglass.plans import scenarios as sc
 from hourglass.plans.analytics import weekday_hour_heatmap
@@ -263,6 +264,25 @@ def _lenient_run(spark, sf_dir, mended: bool = False) -> tuple[Warehouse, str]:
     return wh, rejects
 
 
+def q_backfill_gated(spark, sf_dir):
+    """A lenient range run that allows no reject; then the run's days are
+    landed with faulty records and run again: the run stops, and the fact is
+    what it was."""
+    from hourglass.plans.backfill import run_days
+    wh = _warehouse(spark, "gated")
+    first, last = _land(spark, sf_dir, "fine", wh.bronze_path())
+    how = {"layout": "lines", "mode": "lenient", "gates": Gates(reject_share=0.0)}
+    run_days(wh, first, last, **how)
+    days = sc.run_days_of(spark, sf_dir)
+    faulty = events_as_faulty_bronze(read_events(spark, sf_dir)).withColumn("dt", local_day(F.col("ts")))
+    land_bronze(faulty.where(F.col("dt").between(F.lit(days[0]), F.lit(days[-1]))), wh.bronze_path())
+    try:
+        run_days(wh, days[0], days[-1], **how)
+    except GateClosed:
+        pass
+    return wh.table("f_commits_hourly")
+
+
 def _rejects(spark, sf_dir, mended: bool):
     _, rejects = _lenient_run(spark, sf_dir, mended)
     return (spark.read.schema("commit_sha STRING, committer_date STRING, reject_reason STRING")
@@ -315,6 +335,7 @@ def queries() -> dict:
         "longest_streak_incremental": q_longest_streak_incremental,
         "pk_violations_filtered": q_pk_violations_filtered,
         "heatmap_weekend": q_heatmap_weekend,
+        "backfill_gated": q_backfill_gated,
         "lenient_rejects_rerun": q_lenient_rejects_rerun,
         "lenient_rejects": q_lenient_rejects,
         "lenient_fact": q_lenient_fact,
@@ -359,6 +380,8 @@ SELECT d_date_id, d_time_id,
        CASE WHEN committer_email IS NULL AND dt BETWEEN run.day AND run.day + 2 AND committer_id >= 0
             THEN committer_id + 100 ELSE committer_id END AS committer_id,
        committer_email, commit_count, dt FROM f, run""",
+        "backfill_gated": f"""WITH {commits_cte('fine')}, {fact_cte()}, {combined_cte('fact', 'f')}
+SELECT d_date_id, d_time_id, committer_id, committer_email, commit_count, dt FROM f""",
         "lenient_rejects": reject_sql(),
         "lenient_rejects_rerun": f"""WITH {RUN}
 SELECT r.commit_sha, r.committer_date, r.reject_reason FROM ({reject_sql(', CAST(ts + INTERVAL 7 HOUR AS DATE) AS dt')}) AS r, run

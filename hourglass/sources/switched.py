@@ -24,6 +24,7 @@ from __future__ import annotations
 import datetime as _dt
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,8 +95,13 @@ class SwitchedTable:
         self.spark.catalog.refreshTable(self.name)
         return DayWrite(list(new), empty)
 
-    def replace_days(self, rows: DataFrame, first: _dt.date, last: _dt.date, rebalance: bool = True) -> DayWrite:
-        return self.switch(self.write(rows, first, last, rebalance), first, last)
+    def replace_days(self, rows: DataFrame, first: _dt.date, last: _dt.date, rebalance: bool = True,
+                     gate: Callable[[], None] | None = None) -> DayWrite:
+        """``gate`` is called between the write and the switch; if it raises, the table stays as it was."""
+        run = self.write(rows, first, last, rebalance)
+        if gate:
+            gate()
+        return self.switch(run, first, last)
 
     def days(self, first: _dt.date | None, last: _dt.date | None) -> DataFrame:
         """The rows of days first..last as the catalog has them now."""

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -129,7 +130,7 @@ class Warehouse:
 
     # -- writes -------------------------------------------------------------
     def replace_days(self, table: str, rows: DataFrame, first: _dt.date, last: _dt.date,
-                     rebalance: bool = True) -> DayWrite:
+                     rebalance: bool = True, gate: Callable[[], None] | None = None) -> DayWrite:
         """Make days first..last of ``table`` hold exactly ``rows`` (restricted
         to those days).  Returns the days written and the days left empty.
 
@@ -137,12 +138,15 @@ class Warehouse:
         days into one task and splits a very large day across several, so a
         day gets a few even files instead of one file per input task.  Pass
         False when every day is already in one input task, which saves the
-        shuffle.
+        shuffle.  ``gate`` (isolated warehouses only) is called when the rows
+        are written but not yet seen; if it raises, they never are.
         """
         schema, fmt, _, _ = TABLES[table]
+        if gate and not self.isolated:
+            raise ValueError("a gate needs an isolated warehouse: elsewhere a write is seen as soon as it ends")
         rows = rows.select(*[f.name for f in schema.fields])
         if self.isolated:
-            return self.switched(table).replace_days(rows, first, last, rebalance)
+            return self.switched(table).replace_days(rows, first, last, rebalance, gate)
         done = replace_days(rows, self.path(table), fmt, first, last, rebalance=rebalance)
         self._register(table, done.days, done.empty_days)
         return done
