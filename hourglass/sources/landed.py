@@ -22,18 +22,19 @@ each file, so the flag is tied to the declared layout.
 from __future__ import annotations
 
 import datetime as _dt
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DateType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from hourglass.sources.array_ranges import read_array_ranges
-from hourglass.sources.daystore import existing_days, read_days, zero_byte_files
+from hourglass.sources.daystore import existing_days, read_days, read_paths, zero_byte_files
 from hourglass.sources.schemas import BRONZE_COMMIT, CORRUPT_COLUMN, STAGING, with_field
 
 LAYOUTS = ("array", "array_ranges", "lines")
 _DT = StructField("dt", DateType())
-_BINARY = [("path", StringType()), ("modificationTime", TimestampType()), ("length", LongType()), ("content", BinaryType())]
 
 
 def _checked(layout: str, mode: str) -> None:
@@ -63,7 +64,7 @@ def read_bronze(spark: SparkSession, root: str, first: _dt.date | None = None,
     ``page_pattern``: a regular expression whose group is a page's number in
     the file's path.  Then a day ends at its first page without records, as
     an extractor that pages until nothing comes back ends it, and later pages
-    are left out.
+    are left out.  Which pages that are is found when this is called.
 
     strict: a malformed file fails the read.  lenient: a malformed record
     becomes a row whose ``_corrupt_record`` holds the text, which
@@ -79,33 +80,46 @@ def read_bronze(spark: SparkSession, root: str, first: _dt.date | None = None,
             raise ValueError("pages are whole files: read them as layout array or lines")
         return read_array_ranges(spark, root, schema, first, last, mode, file_glob, CORRUPT_COLUMN).withColumnRenamed("dt", "landed_dt")
     schema = with_field(schema, _DT)
-    df = read_days(_json_reader(spark, layout, mode, file_glob), spark, root, "json", schema, first, last)
-    if page_pattern and existing_days(spark, root, first, last):
-        pages = pages_to_read(spark, root, first, last, file_glob, page_pattern)
-        df = df.withColumn("_file", F.col("_metadata.file_path")).join(pages, "_file", "left_semi")
+    reader = _json_reader(spark, layout, mode, file_glob)
+    if page_pattern:
+        df = read_paths(reader, spark, root, "json", schema, pages_to_read(spark, root, first, last, file_glob, page_pattern))
+    else:
+        df = read_days(reader, spark, root, "json", schema, first, last)
     return df.select(*schema.fieldNames()).withColumnRenamed("dt", "landed_dt")
 
 
 def pages_to_read(spark: SparkSession, root: str, first: _dt.date | None, last: _dt.date | None,
-                  file_glob: str, page_pattern: str) -> DataFrame:
-    """``_file`` of the pages before each day's first page without records.
-
-    Which files exist comes from their listing (Spark skips files without a
-    byte, so those are listed apart, in the day folder itself); which hold a
-    record, from a ``{`` in their text."""
-    one = lambda fields: StructType([StructField(n, t) for n, t in fields] + [_DT])
-    listed = read_days(spark.read.option("pathGlobFilter", file_glob), spark, root, "binaryFile", one(_BINARY), first, last)
-    listed = listed.select(F.col("_metadata.file_path").alias("_file"), "dt")
-    blank = [(path, day) for day, path in zero_byte_files(spark, existing_days(spark, root, first, last), file_glob)]
-    listed = listed.unionByName(spark.createDataFrame(blank, "_file string, dt date"))
-    text = read_days(spark.read.option("pathGlobFilter", file_glob), spark, root, "text", one([("value", StringType())]), first, last)
-    filled = text.where(F.contains("value", F.lit("{"))).select(F.col("_metadata.file_path").alias("_file"), F.lit(True).alias("filled"))
-    pages = listed.join(filled.distinct(), "_file", "left")
+                  file_glob: str, page_pattern: str) -> list[str]:
+    """Paths that hold the pages before each day's first page without records:
+    the folder of a day that is read whole, otherwise the day's files.
+
+    A page holds a record if there is a ``{`` in its text.  Every file with a
+    byte gives a line of text; Spark skips the others, so those are listed
+    apart, in the day folder itself."""
+    folders = existing_days(spark, root, first, last)
+    if not folders:
+        return []
+    schema = StructType([StructField("value", StringType()), _DT])
+    text = read_days(spark.read.option("pathGlobFilter", file_glob), spark, root, "text", schema, first, last)
+    pages = (text.groupBy(F.col("_metadata.file_path").alias("_file"), "dt")
+             .agg(F.max(F.contains("value", F.lit("{"))).alias("filled")))
+    blank = [(path, day, False) for day, path in zero_byte_files(spark, folders, file_glob)]
+    pages = pages.unionByName(spark.createDataFrame(blank, "_file string, dt date, filled boolean"))
     number = F.regexp_extract("_file", page_pattern, 1).try_cast("long")
     unnamed = F.raise_error(F.concat(F.lit("no page number in "), F.col("_file"))).cast("long")
-    pages = pages.withColumn("page", F.coalesce(number, unnamed)).where(F.col("page") >= 0)
-    end = F.min(F.when(F.col("filled").isNull(), F.col("page"))).over(Window.partitionBy("dt"))
-    return pages.withColumn("end", end).where(F.col("end").isNull() | (F.col("page") < F.col("end"))).select("_file")
+    day, page = Window.partitionBy("dt"), F.col("page")
+    pages = pages.withColumn("page", F.coalesce(number, unnamed))
+    pages = pages.withColumn("end", F.min(F.when((page >= 0) & ~F.col("filled"), page)).over(day))
+    pages = pages.withColumn("kept", (page >= 0) & (F.col("end").isNull() | (page < F.col("end"))))
+    pages = pages.withColumn("whole", F.min("kept").over(day)).where("kept")
+    # Names only, and of a day that is read whole only the day's.
+    found = pages.select("dt", F.when(~F.col("whole"), F.col("_file")).alias("_file")).distinct().collect()
+    return sorted(folders[r["dt"]] if r["_file"] is None else _path_of(r["_file"]) for r in found)
+
+
+def _path_of(file: str) -> str:
+    """The path to load for a ``_metadata.file_path``: that is a URI, and paths are loaded as glob patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file))
 
 
 def land_bronze(bronze: DataFrame, root: str, records_per_file: int | None = None) -> None:

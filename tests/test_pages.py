@@ -35,3 +35,21 @@ def test_pages_need_a_number_and_whole_files(spark, tmp_path):
         _read(spark, str(tmp_path / "b"))
     with pytest.raises(ValueError):
         _read(spark, str(tmp_path / "b"), layout="array_ranges")
+
+
+def test_folders_are_listed_by_few_tasks_and_pages_behind_the_end_are_not_parsed(spark, tmp_path):
+    """A folder for each page, many more than cores; names that are URI-encoded or look like patterns."""
+    root, pages = str(tmp_path / "b c"), 150
+    for k in range(pages):
+        write_json(f"{root}/dt=2024-01-01/page={k}/a {{b}} [1]%20.json", {2: "[]", 9: "[{no json"}.get(k, [commit(sha=f"s{k}")]), raw=k in (2, 9))
+        write_json(f"{root}/dt=2024-01-02/page={k}/a.json", [commit(sha=f"t{k:03}")])
+    sc = spark.sparkContext
+    sc.setJobGroup("pages", "pages")
+    try:
+        got = sorted(r.sha for r in read_bronze(spark, root, page_pattern=r"/page=(\d+)/").collect())
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert got == ["s0", "s1"] + [f"t{k:03}" for k in range(pages)]
+    told = sc.statusTracker()
+    stages = [told.getStageInfo(s) for job in told.getJobIdsForGroup("pages") for s in told.getJobInfo(job).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) <= 4 * sc.defaultParallelism
