@@ -34,6 +34,7 @@ from hourglass.sources.daystore import existing_days, read_days, read_paths, zer
 from hourglass.sources.schemas import BRONZE_COMMIT, CORRUPT_COLUMN, STAGING, with_field
 
 LAYOUTS = ("array", "array_ranges", "lines")
+GROUP_PAGES = 64    # pages that land_pages fills together
 _DT = StructField("dt", DateType())
 
 
@@ -140,18 +141,24 @@ def land_bronze(bronze: DataFrame, root: str, records_per_file: int | None = Non
 def land_pages(bronze: DataFrame, root: str, page_size: int = 100) -> None:
     """Write commit objects (with a ``dt`` column) as pages: files that hold
     one JSON array of at most ``page_size`` commits each, as the REST extractor
-    lands them.  A day's commits are dealt to pages by a hash and the day's
-    count; a page that comes out too long goes on in further ones, so no group
-    is larger than about a page.
+    lands them.  A day's commits are dealt by a hash to groups of about
+    ``GROUP_PAGES`` pages, so no group is larger, and a group's pages are full
+    but for its last.
+
+    Files are the cost: tasks move their own into the write's staging folder
+    (committer version 2), and the days are switched when the job commits.
     """
     rows = bronze.select("dt", F.struct("sha", "committer", "commit").alias("one"), F.xxhash64("sha").alias("place"))
-    pages = rows.groupBy("dt").agg(F.ceil(F.count(F.lit(1)) * 2 / page_size).alias("pages"))
-    dealt = rows.join(pages, "dt").withColumn("page", F.pmod("place", F.col("pages")))
-    row = F.row_number().over(Window.partitionBy("dt", "page").orderBy("place"))
-    dealt = dealt.withColumn("part", F.floor((row - 1) / page_size))
-    arrays = dealt.groupBy("dt", "page", "part").agg(F.to_json(F.collect_list("one")).alias("value")).select("value", "dt")
+    groups = bronze.groupBy("dt").agg(F.ceil(F.count(F.lit(1)) / (GROUP_PAGES * page_size)).alias("groups"))
+    dealt = rows.join(groups, "dt").withColumn("group", F.pmod("place", F.col("groups")))
+    spark = bronze.sparkSession
+    # A number given is kept: by their bytes, pages would be written by a few tasks.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    row = F.row_number().over(Window.partitionBy("dt", "group").orderBy("place"))
+    dealt = dealt.repartition(tasks, "dt", "group").withColumn("page", F.floor((row - 1) / page_size))
+    arrays = dealt.groupBy("dt", "group", "page").agg(F.to_json(F.collect_list("one")).alias("value")).select("value", "dt")
     (arrays.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 1)
-     .partitionBy("dt").text(root))
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("dt").text(root))
 
 
 def land_arrays(bronze: DataFrame, root: str) -> None:

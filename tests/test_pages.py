@@ -1,9 +1,13 @@
 """A day's pages end at its first empty one."""
 
+import json
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from commit_records import D, commit, write_json
-from hourglass.sources.landed import read_bronze
+from hourglass.sources.landed import land_pages, read_bronze
 
 PAGE = r"/page-(\d+)\.json$"
 
@@ -53,3 +57,24 @@ def test_folders_are_listed_by_few_tasks_and_pages_behind_the_end_are_not_parsed
     told = sc.statusTracker()
     stages = [told.getStageInfo(s) for job in told.getJobIdsForGroup("pages") for s in told.getJobInfo(job).stageIds]
     assert stages and max(s.numTasks for s in stages if s) <= 4 * sc.defaultParallelism
+
+
+def test_landed_pages_are_full_but_for_one_of_each_group(spark, tmp_path):
+    """At most ``page_size`` commits each, and hardly more pages than that needs; null and repeated shas are rows too."""
+    root = str(tmp_path / "b")
+    sha = F.when(F.col("id") % 50 != 0, (F.col("id") % 900).cast("string"))
+    person = F.create_map(F.lit("name"), F.lit("n"), F.lit("email"), F.lit("e"), F.lit("date"), F.lit("2024-01-01T18:00:00Z"))
+    rows = spark.range(1003).select(sha.alias("sha"), F.create_map(F.lit("id"), F.lit("1")).alias("committer"), F.struct(person.alias("committer")).alias("commit"),
+                                    F.when(F.col("id") < 1000, D("2024-01-01")).otherwise(D("2024-01-02")).alias("dt"))
+    land_pages(rows, root, page_size=10)
+    sizes = {}
+    for folder, _, names in os.walk(root):
+        for name in names:
+            if name.endswith(".txt"):
+                with open(f"{folder}/{name}") as page:
+                    sizes.setdefault(os.path.basename(folder), []).append(len(json.load(page)))
+    assert set(sizes) == {"dt=2024-01-01", "dt=2024-01-02"} and sizes["dt=2024-01-02"] == [3]
+    first = sizes["dt=2024-01-01"]
+    assert sum(first) == 1000 and max(first) == 10 and len(first) <= 102 and sum(n < 10 for n in first) <= 2
+    got = sorted((str(r.landed_dt), str(r.sha)) for r in read_bronze(spark, root, file_glob="*.txt").collect())
+    assert got == sorted((str(r.dt), str(r.sha)) for r in rows.collect())
